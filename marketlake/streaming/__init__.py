@@ -1 +1,9 @@
-"""Structured Streaming forms of the Bronze read, dedup and Gold (STR-1..6)."""
+"""Structured Streaming forms of the Bronze read, dedup, Gold and candles (STR-1..6)."""
+
+from marketlake.streaming.bronze_stream import (  # noqa: F401
+    dedup_tickers,
+    gold_daily_stream,
+    run_to_completion,
+    start,
+    stream_bronze,
+)
