@@ -84,14 +84,16 @@ def with_path_partitions(df: DataFrame, file_col: str = "_file") -> DataFrame:
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """SRC-2: (good documents, quarantine rows ``(_file, _corrupt_record)``).
+    """SRC-2: (good documents, quarantine rows ``(_file, metadata, _corrupt_record)``).
 
-    The quarantine keeps the file path so a damaged file can be found and
-    re-landed; all other files are unaffected.
+    The quarantine keeps the file path and raw text so a damaged file can be
+    found and re-landed, plus whatever metadata could be parsed (also needed
+    because Spark refuses a raw-JSON query that references only the corrupt
+    record column); all other files are unaffected.
     """
     bad_flag = F.col(CORRUPT).isNotNull()
     good = df.filter(~bad_flag).drop(CORRUPT)
-    bad = df.filter(bad_flag).select("_file", CORRUPT)
+    bad = df.filter(bad_flag).select("_file", "metadata", CORRUPT)
     return good, bad
 
 
