@@ -7,3 +7,4 @@ from marketlake.streaming.bronze_stream import (  # noqa: F401
     start,
     stream_bronze,
 )
+from marketlake.streaming.candle_upsert import candle_upsert_query, upsert_candles  # noqa: F401,E402
