@@ -105,3 +105,14 @@ def test_candle_day_volume(spark):
     c = si.candles(si.events(spark, SF_SMALL))
     v = gold.candle_day_volume(c)
     assert abs(v.agg(F.sum("day_volume")).collect()[0][0] - c.agg(F.sum("volume")).collect()[0][0]) < 1e-6
+
+
+def test_publish_table_catalog_and_blank_url(spark, tmp):
+    from marketlake.sinks import publish_table
+    t = dt.datetime(2024, 1, 1, 10)
+    g = gold.build_gold_daily(ticks(spark, [("A", t, 1.0, 1.0, 1.0, 2.0)]), with_processed_at=False)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS market LOCATION '{tmp}/market.db'")
+    where = publish_table(g, "market.crypto_daily", url="none")
+    assert where == "catalog"
+    assert spark.table("market.crypto_daily").collect()[0].pct_return == 100.0
+    spark.sql("DROP TABLE market.crypto_daily")
