@@ -80,8 +80,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="marketlake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
+        try:
+            spark.conf.set("spark.checkpoint.dir", root)
+        except Exception:  # core confs may be read-only at run time
+            pass
     return root.rstrip("/")
 
 
