@@ -27,6 +27,37 @@ def _slot(df: DataFrame, time: str, unit: str):
     return slot
 
 
+# Chunk used to spread grid generation over tasks, per slot unit.
+_GRID_CHUNK = {"second": "HOUR", "minute": "DAY", "hour": "DAY", "day": None}
+
+
+def _slot_grid(spark, bounds: DataFrame, symbols: list[str], unit: str) -> DataFrame:
+    """(symbol, slot) for every listed symbol and every slot in [lo, hi].
+
+    Generated from the one-row bounds: first one row per (symbol, chunk) --
+    #symbols x #days for hourly slots -- spread over the cluster with an
+    explicit-width repartition (not coalesced away by AQE), then each chunk
+    expands to its slots in its own task.  No cross join, no single task
+    producing the whole grid.
+    """
+    unit = unit.lower()
+    step = F.expr(f"INTERVAL 1 {unit.upper()}")
+    syms = bounds.select(F.explode(F.array(*[F.lit(s) for s in symbols])).alias("symbol"), "lo", "hi")
+    chunk = _GRID_CHUNK.get(unit)
+    if chunk is None:
+        return syms.select("symbol", F.explode(F.sequence("lo", "hi", step)).alias("slot"))
+    width = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    cstep = F.expr(f"INTERVAL 1 {chunk}")
+    chunks = syms.select("symbol", "lo", "hi",
+                         F.explode(F.sequence(F.date_trunc(chunk, "lo"), "hi", cstep)).alias("_c"))
+    if dict(bounds.dtypes)["lo"] == "timestamp_ntz":
+        chunks = chunks.withColumn("_c", F.col("_c").cast("timestamp_ntz"))
+    chunks = chunks.repartition(width, "symbol", "_c")
+    first = F.greatest(F.col("_c"), F.col("lo"))
+    last = F.least(F.col("_c") + cstep - step, F.col("hi"))
+    return chunks.select("symbol", F.explode(F.sequence(first, last, step)).alias("slot"))
+
+
 def missing_partitions(present: DataFrame, symbols: Iterable[str], time: str = "ingested_at",
                        symbol_col: str = "symbol", unit: str = "hour", start=None, end=None,
                        strict: bool = False) -> DataFrame:
@@ -47,10 +78,7 @@ def missing_partitions(present: DataFrame, symbols: Iterable[str], time: str = "
     lo = F.lit(start) if start is not None else F.min("slot")
     hi = F.lit(end) if end is not None else F.max("slot")
     bounds = seen.agg(lo.alias("lo"), hi.alias("hi"))
-    step = F.expr(f"INTERVAL 1 {unit.upper()}")
-    grid = (bounds
-            .select(F.explode(F.array(*[F.lit(s) for s in symbols])).alias("symbol"), "lo", "hi")
-            .select("symbol", F.explode(F.sequence("lo", "hi", step)).alias("slot")))
+    grid = _slot_grid(present.sparkSession, bounds, symbols, unit)
     missing = grid.join(seen, on=["symbol", "slot"], how="left_anti")
     if strict and not missing.isEmpty():
         raise QualityError("missing partitions found")
