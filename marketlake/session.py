@@ -77,14 +77,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     Only when it is unset -- tests and local runs -- a folder is created here
     and registered as the checkpoint dir.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="marketlake-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
         try:
-            spark.conf.set("spark.checkpoint.dir", root)
-        except Exception:  # core confs may be read-only at run time
-            pass
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:  # no SparkContext handle (remote session)
+            root = None
+    if not root:
+        root = tempfile.mkdtemp(prefix="marketlake-ckpt-")
+        for setter in (lambda: spark.sparkContext.setCheckpointDir(root),
+                       lambda: spark.conf.set("spark.checkpoint.dir", root)):
+            try:
+                setter()
+            except Exception:  # core confs may be read-only at run time
+                pass
     return root.rstrip("/")
 
 
@@ -100,10 +106,18 @@ def local_path(path: str) -> str:
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through Hadoop's file system (works for any scheme)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.exists(hpath))
+    except Exception:  # no JVM handle (remote session): ask the data source
+        from pyspark.errors import AnalysisException
+        try:
+            spark.read.format("binaryFile").load(path).limit(0).collect()
+            return True
+        except AnalysisException:
+            return False
 
 
 __all__ = ["build_session", "ensure_utc", "checkpoint_root", "scratch_path", "path_exists",
