@@ -34,6 +34,8 @@ def test_run_batch_end_to_end_and_idempotent(spark, tmp):
     paths = make_lake(os.path.join(tmp, "lake"))
     reports = run_batch(spark, paths, now=NOW)
     assert all(r.present for r in reports["presence"].collect())
+    rules = reports["ticker_rules"].collect()[0]
+    assert (rules.n_input, rules.n_valid, rules.n_unique, rules.n_output) == (12, 12, 12, 12)
     t = spark.read.parquet(paths.silver_table("tickers"))
     assert t.count() == 12
     k = spark.read.parquet(paths.silver_table("klines_1h"))
