@@ -16,7 +16,11 @@ Silver table that each micro-batch updates in place:
    partition overwrite on (symbol, date): only touched days change.
 
 The table stores ``_i``, ``_cum_pv`` and ``_cum_v`` next to the Silver
-columns.  Re-running a batch (``foreachBatch`` is at-least-once) gives the
+columns, and a one-row-per-series state table ``_series`` (last position,
+first day) in a hidden sub-folder.  The state says exactly how many context
+rows exist before ``lo``, so the context is searched in date-pruned windows
+that widen only until they are found: an ordinary batch reads a few recent
+days of its series, never the whole history.  Re-running a batch (``foreachBatch`` is at-least-once) gives the
 same table.  Candles with a NULL ``open_time`` cannot be placed in a day
 partition and are not kept by this path (the batch path keeps them).
 """
@@ -47,34 +51,67 @@ def _latest(df: DataFrame) -> DataFrame:
                         tiebreak=list(CANDLE_VALUE_COLUMNS))
 
 
+def _context(stored: DataFrame, need: DataFrame, global_lo, first_days: int) -> DataFrame:
+    """The ``LOOKBACK`` stored rows before each series' ``_lo``.
+
+    ``need`` holds per series ``_lo``, ``_need`` (rows that exist before
+    ``_lo``, capped at ``LOOKBACK``) and ``_first`` (first stored day).  Only
+    the days ``[_lo - k, _lo)`` are scanned (partition pruning on ``date``);
+    ``k`` grows until every series has its ``_need`` rows or reaches its first
+    day, so a series with a long gap costs a wider scan and the common case
+    costs a few days.
+    """
+    k = max(1, int(first_days))
+    while True:
+        window = stored.filter(F.col("date") >= F.date_sub(F.lit(global_lo), k))
+        cand = (window.join(need, on=KEYS, how="inner")
+                .filter((F.col("date") < F.col("_lo")) & (F.col("date") >= F.date_sub(F.col("_lo"), k))))
+        ctx = latest_n(cand, LOOKBACK, KEYS, ["open_time"])
+        found = ctx.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_found"))
+        short = (need.join(found, on=KEYS, how="left")
+                 .filter((F.coalesce(F.col("_found"), F.lit(0)) < F.col("_need"))
+                         & (F.date_sub(F.col("_lo"), k) > F.coalesce(F.col("_first"), F.col("_lo")))))
+        if short.isEmpty():
+            return ctx
+        k *= 4
+
+
 def upsert_candles(spark: SparkSession, batch: DataFrame, path: str,
-                   array_name: str = "klines_1h", lookback_days: int | None = None) -> None:
+                   array_name: str = "klines_1h", context_days: int = 3) -> None:
     """Merge one micro-batch of Bronze envelopes into the candle table at ``path``.
 
-    ``lookback_days`` bounds how far before ``lo`` the context is searched
-    (partition pruning); ``None`` searches the whole series history.
+    ``context_days`` is the first look-back window searched for the context
+    rows (it widens automatically when a series has a gap).  A small
+    per-series state table ``{path}/_series`` (last position, first day)
+    tells exactly how many context rows exist, so the search never reads
+    the whole history.
     """
     new = project_klines(batch, array_name).filter(F.col("open_time").isNotNull())
     new = _latest(drop_invalid(new, ["symbol", "close"])).select(*BASE)
     new = new.withColumn("date", F.to_date("open_time"))
     lo = new.groupBy(*KEYS).agg(F.min("date").alias("_lo"))
+    state_path = f"{path.rstrip('/')}/_series"
 
-    if path_exists(spark, path):
+    if path_exists(spark, path) and path_exists(spark, state_path):
+        global_lo = lo.agg(F.min("_lo")).first()[0]
+        if global_lo is None:
+            return
         stored = spark.read.parquet(path)
-        scoped = stored.join(lo, on=KEYS, how="inner")
-        if lookback_days is not None:
-            first = lo.agg(F.min("_lo")).first()[0]
-            if first is None:
-                return
-            scoped = scoped.filter(F.col("date") >= F.date_sub(F.lit(first), int(lookback_days)))
-        redo = scoped.filter(F.col("date") >= F.col("_lo")).select(*BASE, "date")
-        ctx = latest_n(scoped.filter(F.col("date") < F.col("_lo")), LOOKBACK, KEYS, ["open_time"])
-        ctx = ctx.select(*BASE, "date", *CARRIED)
-        rows = keep_positive(_latest(new.unionByName(redo)), "close")
+        state = spark.read.parquet(state_path)
+        redo = (stored.filter(F.col("date") >= F.lit(global_lo)).join(lo, on=KEYS, how="inner")
+                .filter(F.col("date") >= F.col("_lo")))
+        first_redo = redo.groupBy(*KEYS).agg(F.min("_i").alias("_i0"))
+        need = (lo.join(first_redo, on=KEYS, how="left").join(state, on=KEYS, how="left")
+                .select(*KEYS, "_lo", F.col("first_date").alias("_first"),
+                        F.least(F.lit(LOOKBACK).cast("long"),
+                                F.coalesce(F.col("_i0"), F.col("max_i") + 1, F.lit(0))).alias("_need")))
+        ctx = _context(stored, need, global_lo, context_days).select(*BASE, "date", *CARRIED)
+        rows = keep_positive(_latest(new.unionByName(redo.select(*BASE, "date"))), "close")
+        prev_state = state
     else:
         rows = keep_positive(new, "close")
         ctx = None
-
+        prev_state = None
     rows = rows.withColumn("_ctx", F.lit(False))
     for c, t in (("_i", "long"), ("_cum_pv", "double"), ("_cum_v", "double")):
         rows = rows.withColumn(c, F.lit(None).cast(t))
@@ -110,15 +147,41 @@ def upsert_candles(spark: SparkSession, batch: DataFrame, path: str,
     out = out.select(*BASE, *INDICATORS, *CARRIED, "date")
 
     staging = scratch_path(spark, "candle-upsert")
-    out.write.parquet(staging)
-    (spark.read.parquet(staging).hint("rebalance", "symbol", "date").write
+    out.write.parquet(staging + "/rows")
+    staged = spark.read.parquet(staging + "/rows")
+
+    # Series state after this batch: rows from _lo on were all rewritten, so
+    # their last position is the series' last position (or, if every such row
+    # was removed, the position just before _lo).
+    touched = staged.groupBy(*KEYS).agg(F.max("_i").alias("_new_max"), F.min("date").alias("_new_first"))
+    before = ctx.groupBy(*KEYS).agg(F.max("_i").alias("_ctx_max")) if ctx is not None else None
+    upd = lo.join(touched, on=KEYS, how="left")
+    if before is not None:
+        upd = upd.join(before, on=KEYS, how="left")
+    else:
+        upd = upd.withColumn("_ctx_max", F.lit(None).cast("long"))
+    upd = upd.select(*KEYS, "_lo", F.coalesce("_new_max", "_ctx_max").alias("_m"),
+                     F.col("_new_first").alias("_f"), F.lit(True).alias("_t"))
+    if prev_state is not None:
+        t = F.coalesce(F.col("_t"), F.lit(False))
+        kept_first = F.when(F.col("first_date") < F.col("_lo"), F.col("first_date"))
+        merged = prev_state.join(upd, on=KEYS, how="full").select(
+            *KEYS,
+            F.when(t, F.col("_m")).otherwise(F.col("max_i")).alias("max_i"),
+            F.when(t, F.least(kept_first, F.col("_f"))).otherwise(F.col("first_date")).alias("first_date"))
+    else:
+        merged = upd.select(*KEYS, F.col("_m").alias("max_i"), F.col("_f").alias("first_date"))
+    merged.write.parquet(staging + "/series")
+
+    (staged.hint("rebalance", "symbol", "date").write
      .mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("symbol", "date").parquet(path))
+    spark.read.parquet(staging + "/series").coalesce(1).write.mode("overwrite").parquet(state_path)
 
 
 def candle_upsert_query(spark: SparkSession, envelopes: DataFrame, root: str, checkpoint: str,
                         intervals: Sequence[str] = tuple(KLINE_ARRAYS), trigger: str | None = None,
-                        lookback_days: int | None = None) -> StreamingQuery:
+                        context_days: int = 3) -> StreamingQuery:
     """STR-5: keep ``{root}/klines_{1m,5m,1h}`` up to date from a Bronze stream."""
 
     def handle(batch_df: DataFrame, _epoch: int) -> None:
@@ -126,7 +189,7 @@ def candle_upsert_query(spark: SparkSession, envelopes: DataFrame, root: str, ch
         try:
             for a in intervals:
                 upsert_candles(spark, batch_df, f"{root.rstrip('/')}/klines_{KLINE_ARRAYS[a]}", a,
-                               lookback_days)
+                               context_days)
         finally:
             batch_df.unpersist()
 

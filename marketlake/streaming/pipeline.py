@@ -26,7 +26,7 @@ from marketlake.streaming.candle_upsert import candle_upsert_query
 def start_streams(spark: SparkSession, paths: Paths, trigger: str | None = None,
                   watermark: str = "1 hour", intervals: Sequence[str] = tuple(KLINE_ARRAYS),
                   max_files_per_trigger: int | None = None, layout: str = "exchange",
-                  lookback_days: int | None = None) -> dict[str, StreamingQuery]:
+                  context_days: int = 3) -> dict[str, StreamingQuery]:
     """Start the four streaming queries; returns them by name.
 
     ``trigger=None`` processes what has landed and stops (``availableNow``);
@@ -48,7 +48,7 @@ def start_streams(spark: SparkSession, paths: Paths, trigger: str | None = None,
         "quarantine": start(raw.filter(F.col(CORRUPT).isNotNull()).select("_file", "metadata", CORRUPT),
                             paths.quarantine, f"{ck}/quarantine", trigger, fmt="json"),
         "candles": candle_upsert_query(spark, good, paths.silver, f"{ck}/candles", intervals,
-                                       trigger, lookback_days),
+                                       trigger, context_days),
     }
     return queries
 

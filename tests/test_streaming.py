@@ -126,3 +126,34 @@ def test_start_streams_matches_batch(spark, tmp):
     rnd = lambda rows: sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in rows)
     assert rnd(k.select(cols).collect()) == rnd(e.select(cols).collect())
     assert isinstance(paths, Paths)
+
+
+def test_candle_upsert_context_across_gap(spark, tmp):
+    import json
+
+    from marketlake.operators.indicators import INDICATORS, add_indicators
+    from marketlake.operators.silver import extract_klines
+    from marketlake.schemas import BRONZE
+    from marketlake.streaming import upsert_candles
+    from tests.fixtures import candle, envelope, ms, ticker, utc
+
+    def docs(days):
+        return [envelope("Bitcoin", "BTC", utc(2024, 3, d, 23, 30), ticker("1"),
+                         k1h=[candle(ms(utc(2024, 3, d, h)), str(50 + d + h * 0.25), volume=str(1 + h % 4))
+                              for h in range(0, 24, 3)]) for d in days]
+
+    def frame(ds):
+        raw = spark.createDataFrame([(json.dumps(x),) for x in ds], "doc string")
+        return raw.select(F.from_json("doc", BRONZE).alias("e")).select("e.*")
+
+    path = tmp + "/klines_1h"
+    upsert_candles(spark, frame(docs([1, 2, 3])), path, context_days=1)
+    upsert_candles(spark, frame(docs([20])), path, context_days=1)   # 17-day gap
+    upsert_candles(spark, frame(docs([2])), path, context_days=1)    # replay inside history
+    expect = add_indicators(extract_klines(frame(docs([1, 2, 3, 20])), "klines_1h"), strategy="plain")
+    cols = ["open_time", "close"] + list(INDICATORS)
+    rnd = lambda rows: sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in rows)
+    got = spark.read.parquet(path)
+    assert rnd(got.select(cols).collect()) == rnd(expect.select(cols).collect())
+    state = spark.read.parquet(path + "/_series").collect()[0]
+    assert state.max_i == 31 and str(state.first_date) == "2024-03-01"
