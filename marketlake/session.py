@@ -57,6 +57,9 @@ def sizing_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256
     parts = min(max(2 * cores, wanted), 8 * cores)
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        # Bronze is many KB-sized JSON documents: count each file as 1 MB
+        # (not the default 4 MB) so one task packs ~256 of them
+        "spark.sql.files.openCostInBytes": str(1 << 20),
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

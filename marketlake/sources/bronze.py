@@ -26,7 +26,9 @@ def _as_list(paths: str | Sequence[str]) -> list[str]:
 def _date_glob(root: str, date) -> str:
     if isinstance(date, str):
         date = _dt.date.fromisoformat(date.replace("/", "-"))
-    return f"{root.rstrip('/')}/*/{date:%Y}/{date:%m}/{date:%d}"
+    # down to the hour folders: #assets x 24 root paths, which is above
+    # Spark's parallel-listing threshold, so the listing runs on executors
+    return f"{root.rstrip('/')}/*/{date:%Y}/{date:%m}/{date:%d}/*"
 
 
 def read_bronze(spark: SparkSession, paths: str | Sequence[str], date=None,
