@@ -66,13 +66,16 @@ def _context(stored: DataFrame, need: DataFrame, global_lo, first_days: int) ->
         window = stored.filter(F.col("date") >= F.date_sub(F.lit(global_lo), k))
         cand = (window.join(need, on=KEYS, how="inner")
                 .filter((F.col("date") < F.col("_lo")) & (F.col("date") >= F.date_sub(F.col("_lo"), k))))
-        ctx = latest_n(cand, LOOKBACK, KEYS, ["open_time"])
+        # at most LOOKBACK rows per series: kept in memory for the check and
+        # the merge (recomputed from its lineage if an executor is lost)
+        ctx = latest_n(cand, LOOKBACK, KEYS, ["open_time"]).persist()
         found = ctx.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_found"))
         short = (need.join(found, on=KEYS, how="left")
                  .filter((F.coalesce(F.col("_found"), F.lit(0)) < F.col("_need"))
                          & (F.date_sub(F.col("_lo"), k) > F.coalesce(F.col("_first"), F.col("_lo")))))
         if short.isEmpty():
             return ctx
+        ctx.unpersist()
         k *= 4
 
 
@@ -101,16 +104,21 @@ def upsert_candles(spark: SparkSession, batch: DataFrame, path: str,
         redo = (stored.filter(F.col("date") >= F.lit(global_lo)).join(lo, on=KEYS, how="inner")
                 .filter(F.col("date") >= F.col("_lo")))
         first_redo = redo.groupBy(*KEYS).agg(F.min("_i").alias("_i0"))
+        before_lo = F.coalesce(F.col("_i0"), F.col("max_i") + 1, F.lit(0))
         need = (lo.join(first_redo, on=KEYS, how="left").join(state, on=KEYS, how="left")
                 .select(*KEYS, "_lo", F.col("first_date").alias("_first"),
-                        F.least(F.lit(LOOKBACK).cast("long"),
-                                F.coalesce(F.col("_i0"), F.col("max_i") + 1, F.lit(0))).alias("_need")))
-        ctx = _context(stored, need, global_lo, context_days).select(*BASE, "date", *CARRIED)
+                        F.least(F.lit(LOOKBACK).cast("long"), before_lo).alias("_need"),
+                        (before_lo - 1).alias("_ctx_max"))).persist()
+        ctx = _context(stored, need, global_lo, context_days)
+        cached = [need, ctx]
+        ctx = ctx.select(*BASE, "date", *CARRIED)
         rows = keep_positive(_latest(new.unionByName(redo.select(*BASE, "date"))), "close")
         prev_state = state
     else:
         rows = keep_positive(new, "close")
         ctx = None
+        need = None
+        cached = []
         prev_state = None
     rows = rows.withColumn("_ctx", F.lit(False))
     for c, t in (("_i", "long"), ("_cum_pv", "double"), ("_cum_v", "double")):
@@ -154,10 +162,10 @@ def upsert_candles(spark: SparkSession, batch: DataFrame, path: str,
     # their last position is the series' last position (or, if every such row
     # was removed, the position just before _lo).
     touched = staged.groupBy(*KEYS).agg(F.max("_i").alias("_new_max"), F.min("date").alias("_new_first"))
-    before = ctx.groupBy(*KEYS).agg(F.max("_i").alias("_ctx_max")) if ctx is not None else None
     upd = lo.join(touched, on=KEYS, how="left")
-    if before is not None:
-        upd = upd.join(before, on=KEYS, how="left")
+    if need is not None:
+        upd = upd.join(need.select(*KEYS, F.when(F.col("_ctx_max") >= 0, F.col("_ctx_max")).alias("_ctx_max")),
+                       on=KEYS, how="left")
     else:
         upd = upd.withColumn("_ctx_max", F.lit(None).cast("long"))
     upd = upd.select(*KEYS, "_lo", F.coalesce("_new_max", "_ctx_max").alias("_m"),
@@ -177,6 +185,8 @@ def upsert_candles(spark: SparkSession, batch: DataFrame, path: str,
      .mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("symbol", "date").parquet(path))
     spark.read.parquet(staging + "/series").coalesce(1).write.mode("overwrite").parquet(state_path)
+    for df in cached:
+        df.unpersist()
 
 
 def candle_upsert_query(spark: SparkSession, envelopes: DataFrame, root: str, checkpoint: str,
