@@ -36,6 +36,13 @@ NULL_GRANULE = "0001-01-01 00:00:00"
 NULL_NUMERIC_GRANULE = -(2 ** 62)
 
 
+def _plus(a: str, b: str) -> Column:
+    """a + b where NULL counts as "no rows yet" (as in sum()): NULL + x = x,
+    and NULL + NULL stays NULL."""
+    x, y = F.col(a), F.col(b)
+    return F.when(x.isNull(), y).when(y.isNull(), x).otherwise(x + y)
+
+
 def granule_of(order: Column, unit: str | int) -> Column:
     """``date_trunc(unit, order)`` for time orders; ``floor(order / unit)`` when
     ``unit`` is a number (numeric orders).  NULL orders get the sentinel granule."""
@@ -47,7 +54,8 @@ def granule_of(order: Column, unit: str | int) -> Column:
 
 def index_series(df: DataFrame, keys: Sequence[str], order: str,
                  sums: Mapping[str, Column] | None = None, unit: str | int = "day",
-                 tiebreak: Sequence[str] = (), index_col: str = "_i") -> DataFrame:
+                 tiebreak: Sequence[str] = (), index_col: str = "_i",
+                 start: DataFrame | None = None) -> DataFrame:
     """Add a 0-based position ``index_col`` within each series and running sums.
 
     ``sums`` maps an output name to an expression; the output column holds the
@@ -55,6 +63,12 @@ def index_series(df: DataFrame, keys: Sequence[str], order: str,
     current one, with ``RANGE`` semantics on ``order`` (rows with an equal
     order value share the value), i.e. exactly ``sum(e).over(partitionBy(keys)
     .orderBy(order))``.
+
+    ``start`` continues series that already have earlier rows elsewhere (a
+    stored table): one row per series with ``keys``, ``_i0`` (the position of
+    the series' first row here) and, per sum, ``_s0_{name}`` (the running sum
+    before it; NULL = nothing yet).  Series absent from ``start`` begin at 0.
+    It is joined to the per-granule offsets table, never to the data rows.
     """
     sums = dict(sums or {})
     keys = list(keys)
@@ -87,12 +101,16 @@ def index_series(df: DataFrame, keys: Sequence[str], order: str,
         *[F.sum(f"_t_{name}").over(before).alias(f"_off_{name}") for name in sums],
     )
 
+    if start is not None:
+        offsets = offsets.join(start, on=keys, how="left").select(
+            *keys, g,
+            (F.coalesce(F.col("_i0"), F.lit(0)) + F.col("_off_n")).alias("_off_n"),
+            *[_plus(f"_s0_{name}", f"_off_{name}").alias(f"_off_{name}") for name in sums])
+
     joined = local.join(offsets, on=[*keys, g], how="inner")
     out = joined.withColumn(index_col, F.col("_off_n") + F.col("_j"))
     for name in sums:
-        r, o = F.col(f"_r_{name}"), F.col(f"_off_{name}")
-        # NULL + x must stay x (sum ignores NULLs); both NULL stays NULL.
-        out = out.withColumn(name, F.when(o.isNull(), r).when(r.isNull(), o).otherwise(o + r))
+        out = out.withColumn(name, _plus(f"_off_{name}", f"_r_{name}"))
     drop = [g, "_j", "_off_n"] + [f"_e_{n}" for n in sums] + [f"_r_{n}" for n in sums] \
         + [f"_off_{n}" for n in sums]
     return out.drop(*drop)

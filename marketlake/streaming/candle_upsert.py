@@ -10,8 +10,11 @@ Silver table that each micro-batch updates in place:
    ``lo`` on are re-done, and the ``LOOKBACK`` stored rows before ``lo`` are the
    context (they carry their position ``_i`` and the running VWAP sums);
 3. latest copy wins over new + re-done rows, then the positive-close rule;
-   indicators are computed over context + rows with windows per series
-   (rows per series = look-back + re-done span, not the whole history);
+   positions and VWAP sums continue from the newest context row through the
+   two-level scan of ``index_series`` (parallel per day), and SMA /
+   Bollinger / RSI run over buckets of positions with the context rows as
+   the first bucket's look-back -- so neither a first load nor a far-back
+   correction puts a whole series in one task;
 4. the result is staged in the checkpoint root and written back with dynamic
    partition overwrite on (symbol, date): only touched days change.
 
@@ -35,7 +38,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from marketlake.functions.scalar import safe_div, typical_price
 from marketlake.operators.clean import dedup_latest, drop_invalid, keep_positive, latest_n
-from marketlake.operators.indicators import INDICATORS, LOOKBACK, _frame_indicators, _rsi_columns
+from marketlake.operators.indicators import (DEFAULT_BUCKET_ROWS, INDICATORS, LOOKBACK,
+                                             _frame_indicators, _rsi_columns)
+from marketlake.operators.scan import add_lookback_buckets, index_series
 from marketlake.operators.silver import CANDLE_VALUE_COLUMNS, project_klines
 from marketlake.schemas import KLINE_ARRAYS
 from marketlake.session import path_exists, scratch_path
@@ -80,14 +85,16 @@ def _context(stored: DataFrame, need: DataFrame, global_lo, first_days: int) ->
 
 
 def upsert_candles(spark: SparkSession, batch: DataFrame, path: str,
-                   array_name: str = "klines_1h", context_days: int = 3) -> None:
+                   array_name: str = "klines_1h", context_days: int = 3,
+                   bucket_rows: int = DEFAULT_BUCKET_ROWS) -> None:
     """Merge one micro-batch of Bronze envelopes into the candle table at ``path``.
 
     ``context_days`` is the first look-back window searched for the context
     rows (it widens automatically when a series has a gap).  A small
     per-series state table ``{path}/_series`` (last position, first day)
     tells exactly how many context rows exist, so the search never reads
-    the whole history.
+    the whole history.  ``bucket_rows`` is the bucket size of the look-back
+    windows (see ``operators.indicators.over_buckets``).
     """
     new = project_klines(batch, array_name).filter(F.col("open_time").isNotNull())
     new = _latest(drop_invalid(new, ["symbol", "close"])).select(*BASE)
@@ -120,37 +127,29 @@ def upsert_candles(spark: SparkSession, batch: DataFrame, path: str,
         need = None
         cached = []
         prev_state = None
-    rows = rows.withColumn("_ctx", F.lit(False))
-    for c, t in (("_i", "long"), ("_cum_pv", "double"), ("_cum_v", "double")):
-        rows = rows.withColumn(c, F.lit(None).cast(t))
-    both = rows if ctx is None else rows.unionByName(ctx.withColumn("_ctx", F.lit(True)))
-
-    w = Window.partitionBy(*KEYS).orderBy(F.col("open_time").asc())
-    whole = Window.partitionBy(*KEYS)
-    run_rows = w.rowsBetween(Window.unboundedPreceding, 0)
-    own = ~F.col("_ctx")
+    # Positions and VWAP sums continue from the context's newest row per
+    # series (a #series-row table); rows are numbered by the two-level scan,
+    # so a first load or a far-back correction is not one task per series.
+    start = None
+    if ctx is not None:
+        start = ctx.groupBy(*KEYS).agg(
+            (F.max("_i") + 1).alias("_i0"),
+            F.max_by("_cum_pv", "_i").alias("_s0__cum_pv"),
+            F.max_by("_cum_v", "_i").alias("_s0__cum_v"))
     tp_v = typical_price("high", "low", "close") * F.col("volume")
-    out = both.withColumns({
-        "_k": F.sum(F.when(own, 1).otherwise(0)).over(run_rows),
-        "_base": F.max(F.when(F.col("_ctx"), F.col("_i"))).over(whole),
-        "_off_pv": F.max_by(F.when(F.col("_ctx"), F.col("_cum_pv")),
-                            F.when(F.col("_ctx"), F.col("_i"))).over(whole),
-        "_off_v": F.max_by(F.when(F.col("_ctx"), F.col("_cum_v")),
-                           F.when(F.col("_ctx"), F.col("_i"))).over(whole),
-        "_run_pv": F.sum(F.when(own, tp_v)).over(w),
-        "_run_v": F.sum(F.when(own, F.col("volume").cast("double"))).over(w),
-    })
-    out = out.withColumns(dict(_frame_indicators(w, "close")))
+    own_rows = index_series(rows, KEYS, "open_time",
+                            sums={"_cum_pv": tp_v, "_cum_v": F.col("volume").cast("double")},
+                            unit="day", index_col="_i", start=start)
+    own_rows = own_rows.withColumn("_ctx", F.lit(False))
+    both = own_rows if ctx is None else own_rows.unionByName(ctx.withColumn("_ctx", F.lit(True)))
+
+    # SMA / Bollinger / RSI over buckets of positions, the context rows
+    # supplying the look-back of the first bucket.
+    bucketed = add_lookback_buckets(both, "_i", bucket_rows, LOOKBACK)
+    w = Window.partitionBy(*KEYS, "_b").orderBy("_i")
+    out = bucketed.withColumns(dict(_frame_indicators(w, "close")))
     out = _rsi_columns(out, w, "close")
-
-    def plus(o, r):
-        return F.when(F.col(o).isNull(), F.col(r)).when(F.col(r).isNull(), F.col(o)) \
-            .otherwise(F.col(o) + F.col(r))
-
-    out = (out.filter(own)
-           .withColumn("_i", F.coalesce(F.col("_base") + 1, F.lit(0)) + F.col("_k") - 1)
-           .withColumn("_cum_pv", plus("_off_pv", "_run_pv"))
-           .withColumn("_cum_v", plus("_off_v", "_run_v"))
+    out = (out.filter(F.col("_own") & ~F.col("_ctx"))
            .withColumn("vwap", safe_div(F.col("_cum_pv"), F.col("_cum_v"))))
     out = out.select(*BASE, *INDICATORS, *CARRIED, "date")
 
@@ -191,7 +190,8 @@ def upsert_candles(spark: SparkSession, batch: DataFrame, path: str,
 
 def candle_upsert_query(spark: SparkSession, envelopes: DataFrame, root: str, checkpoint: str,
                         intervals: Sequence[str] = tuple(KLINE_ARRAYS), trigger: str | None = None,
-                        context_days: int = 3) -> StreamingQuery:
+                        context_days: int = 3,
+                        bucket_rows: int = DEFAULT_BUCKET_ROWS) -> StreamingQuery:
     """STR-5: keep ``{root}/klines_{1m,5m,1h}`` up to date from a Bronze stream."""
 
     def handle(batch_df: DataFrame, _epoch: int) -> None:
@@ -199,7 +199,7 @@ def candle_upsert_query(spark: SparkSession, envelopes: DataFrame, root: str, ch
         try:
             for a in intervals:
                 upsert_candles(spark, batch_df, f"{root.rstrip('/')}/klines_{KLINE_ARRAYS[a]}", a,
-                               context_days)
+                               context_days, bucket_rows)
         finally:
             batch_df.unpersist()
 

@@ -1,5 +1,7 @@
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from marketlake.operators import clean
@@ -66,7 +68,8 @@ def test_late_snapshot_dropped_after_watermark(spark, tmp):
     assert rows[dt.date(2024, 3, 3)].close == 30.0
 
 
-def test_candle_upsert_replay_and_late_correction(spark, tmp):
+@pytest.mark.parametrize("bucket_rows", [None, 20])
+def test_candle_upsert_replay_and_late_correction(spark, tmp, bucket_rows):
     import datetime as dt
     import json
 
@@ -93,12 +96,13 @@ def test_candle_upsert_replay_and_late_correction(spark, tmp):
         return raw.select(F.from_json("doc", BRONZE).alias("e")).select("e.*")
 
     path = tmp + "/klines_1h"
+    kw = {"bucket_rows": bucket_rows} if bucket_rows else {}
     b1, b2 = frame(docs_for([1, 2, 3])), frame(docs_for([4, 5]))
-    upsert_candles(spark, b1, path)
-    upsert_candles(spark, b2, path)
-    upsert_candles(spark, b2, path)  # replayed batch
+    upsert_candles(spark, b1, path, **kw)
+    upsert_candles(spark, b2, path, **kw)
+    upsert_candles(spark, b2, path, **kw)  # replayed batch
     fix = frame(docs_for([2], bump_day=2, late=60))  # later copy of day 2 with new closes
-    upsert_candles(spark, fix, path)
+    upsert_candles(spark, fix, path, **kw)
 
     allb = frame(docs_for([1, 2, 3, 4, 5]) + docs_for([2], bump_day=2, late=60))
     expect = add_indicators(extract_klines(allb, "klines_1h"), strategy="plain")
