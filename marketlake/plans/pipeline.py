@@ -7,7 +7,10 @@ Flow (one JSON parse in total):
    the checkpoint root.  Every later read is a pruned columnar scan of the
    staged table, and the lineage back to the JSON files is cut there.
 2. Silver ``tickers`` and one candle table per interval (1m, 5m, 1h) with
-   indicators are written partitioned by symbol.
+   indicators are written.  Candle tables have the layout of the streaming
+   upsert (partitioned by symbol and date, positions and running VWAP sums
+   kept): a full run rebuilds them, a dated run merges its day into them and
+   re-does only the days from there on.
 3. Gold is built from the Silver tickers just written (not recomputed from
    Bronze), and checked for presence together with the Silver tables.
 """
@@ -22,15 +25,16 @@ from pyspark.sql import functions as F
 
 from marketlake.operators.bronze import select_assets
 from marketlake.operators.gold import build_gold_daily
-from marketlake.operators.indicators import add_indicators
+from marketlake.operators.indicators import DEFAULT_BUCKET_ROWS
 from marketlake.operators.clean import dedup_latest, drop_invalid, keep_positive
 from marketlake.operators.quality import table_presence
-from marketlake.operators.silver import TICKER_VALUE_COLUMNS, extract_klines, project_ticker
+from marketlake.operators.silver import TICKER_VALUE_COLUMNS, project_ticker
 from marketlake.paths import Paths
 from marketlake.schemas import KLINE_ARRAYS
 from marketlake.session import ensure_utc, path_exists, scratch_path
 from marketlake.sinks import write_gold, write_silver
 from marketlake.sources import read_bronze, split_corrupt
+from marketlake.streaming.candle_upsert import upsert_candles
 
 GOLD_TABLE = "daily_summary"
 
@@ -51,14 +55,16 @@ def stage_bronze(spark: SparkSession, paths: Paths, date=None, assets: Iterable[
 
 def run_batch(spark: SparkSession, paths: Paths, date: str | _dt.date | None = None,
               strict: bool = True, intervals: Sequence[str] = tuple(KLINE_ARRAYS),
-              assets: Iterable[str] | None = None, strategy: str = "bucketed",
+              assets: Iterable[str] | None = None, bucket_rows: int = DEFAULT_BUCKET_ROWS,
               layout: str = "exchange", now: _dt.datetime | None = None) -> dict[str, DataFrame]:
     """Run the whole batch ETL; returns the quality reports.
 
     ``date`` limits the Bronze read to one day; tickers and Gold are then
     replaced for that day only (dynamic partition overwrite on
-    ``symbol``/``date``).  Candle tables always cover what was read and are
-    replaced per symbol: the cumulative VWAP needs the full series.
+    ``symbol``/``date``), and that day's candles are merged into the candle
+    tables: the cumulative VWAP and look-back windows continue from the
+    stored rows before it, and later stored days are re-done.  Candles with a
+    NULL ``open_time`` have no day and are not stored.
     """
     ensure_utc(spark)
     good, _ = stage_bronze(spark, paths, date=date, assets=assets, layout=layout)
@@ -71,9 +77,9 @@ def run_batch(spark: SparkSession, paths: Paths, date: str | _dt.date | None = N
     tables = {"tickers": tick_path}
     for array_name in intervals:
         label = KLINE_ARRAYS[array_name]
-        candles = add_indicators(extract_klines(good, array_name), strategy=strategy)
         path = paths.silver_table(f"klines_{label}")
-        write_silver(candles, path, partition_by=("symbol",), dynamic=date is not None)
+        upsert_candles(spark, good, path, array_name, bucket_rows=bucket_rows,
+                       replace=date is None)
         tables[f"klines_{label}"] = path
 
     silver_tickers = spark.read.parquet(tick_path)

@@ -86,9 +86,12 @@ def _context(stored: DataFrame, need: DataFrame, global_lo, first_days: int) ->
 
 def upsert_candles(spark: SparkSession, batch: DataFrame, path: str,
                    array_name: str = "klines_1h", context_days: int = 3,
-                   bucket_rows: int = DEFAULT_BUCKET_ROWS) -> None:
+                   bucket_rows: int = DEFAULT_BUCKET_ROWS, replace: bool = False) -> None:
     """Merge one micro-batch of Bronze envelopes into the candle table at ``path``.
 
+    ``replace=True`` builds the table from ``batch`` alone and replaces all of
+    it (a full rebuild); the default merges into what is stored.
+
     ``context_days`` is the first look-back window searched for the context
     rows (it widens automatically when a series has a gap).  A small
     per-series state table ``{path}/_series`` (last position, first day)
@@ -102,7 +105,7 @@ def upsert_candles(spark: SparkSession, batch: DataFrame, path: str,
     lo = new.groupBy(*KEYS).agg(F.min("date").alias("_lo"))
     state_path = f"{path.rstrip('/')}/_series"
 
-    if path_exists(spark, path) and path_exists(spark, state_path):
+    if not replace and path_exists(spark, path) and path_exists(spark, state_path):
         global_lo = lo.agg(F.min("_lo")).first()[0]
         if global_lo is None:
             return
@@ -180,8 +183,10 @@ def upsert_candles(spark: SparkSession, batch: DataFrame, path: str,
         merged = upd.select(*KEYS, F.col("_m").alias("max_i"), F.col("_f").alias("first_date"))
     merged.write.parquet(staging + "/series")
 
+    # The plan reads the staged copy, never ``path``: a static overwrite (full
+    # rebuild) is safe, and a merge replaces only the touched (symbol, date)s.
     (staged.hint("rebalance", "symbol", "date").write
-     .mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .mode("overwrite").option("partitionOverwriteMode", "static" if replace else "dynamic")
      .partitionBy("symbol", "date").parquet(path))
     spark.read.parquet(staging + "/series").coalesce(1).write.mode("overwrite").parquet(state_path)
     for df in cached:
