@@ -10,11 +10,11 @@ Silver table that each micro-batch updates in place:
    ``lo`` on are re-done, and the ``LOOKBACK`` stored rows before ``lo`` are the
    context (they carry their position ``_i`` and the running VWAP sums);
 3. latest copy wins over new + re-done rows, then the positive-close rule;
-   positions and VWAP sums continue from the newest context row through the
-   two-level scan of ``index_series`` (parallel per day), and SMA /
-   Bollinger / RSI run over buckets of positions with the context rows as
-   the first bucket's look-back -- so neither a first load nor a far-back
-   correction puts a whole series in one task;
+   positions, VWAP sums and SMA / Bollinger / RSI continue from the context
+   rows.  A usual micro-batch redoes a bounded number of rows per series and
+   uses one window per series; a first load, backfill or far-back correction
+   uses the two-level scan of ``index_series`` and buckets of positions, so
+   it never puts a whole series in one task;
 4. the result is staged in the checkpoint root and written back with dynamic
    partition overwrite on (symbol, date): only touched days change.
 
@@ -23,9 +23,9 @@ columns, and a one-row-per-series state table ``_series`` (last position,
 first day) in a hidden sub-folder.  The state says exactly how many context
 rows exist before ``lo``, so the context is searched in date-pruned windows
 that widen only until they are found: an ordinary batch reads a few recent
-days of its series, never the whole history.  Re-running a batch (``foreachBatch`` is at-least-once) gives the
-same table.  Candles with a NULL ``open_time`` cannot be placed in a day
-partition and are not kept by this path (the batch path keeps them).
+days of its series, never the whole history.  Re-running a batch
+(``foreachBatch`` is at-least-once) gives the same table.  Candles with a
+NULL ``open_time`` cannot be placed in a day partition and are not stored.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ from marketlake.functions.scalar import safe_div, typical_price
 from marketlake.operators.clean import dedup_latest, drop_invalid, keep_positive, latest_n
 from marketlake.operators.indicators import (DEFAULT_BUCKET_ROWS, INDICATORS, LOOKBACK,
                                              _frame_indicators, _rsi_columns)
-from marketlake.operators.scan import add_lookback_buckets, index_series
+from marketlake.operators.scan import _plus, add_lookback_buckets, index_series
 from marketlake.operators.silver import CANDLE_VALUE_COLUMNS, project_klines
 from marketlake.schemas import KLINE_ARRAYS
 from marketlake.session import path_exists, scratch_path
@@ -49,6 +49,9 @@ KEYS = ["symbol", "interval"]
 BASE = ["symbol", "interval", "open_time", "ingested_at", "open", "high", "low", "close",
         "volume", "num_trades"]
 CARRIED = ["_i", "_cum_pv", "_cum_v"]
+# Most rows per series a batch may redo with one window per series (a bounded
+# group: at most this many rows in one task); larger batches use buckets.
+PLAIN_MAX_ROWS = 100_000
 
 
 def _latest(df: DataFrame) -> DataFrame:
@@ -56,8 +59,9 @@ def _latest(df: DataFrame) -> DataFrame:
                         tiebreak=list(CANDLE_VALUE_COLUMNS))
 
 
-def _context(stored: DataFrame, need: DataFrame, global_lo, first_days: int) -> DataFrame:
-    """The ``LOOKBACK`` stored rows before each series' ``_lo``.
+def _context(stored: DataFrame, need: DataFrame, global_lo, first_days: int):
+    """The ``LOOKBACK`` stored rows before each series' ``_lo``, and the most
+    rows any series of ``need`` redoes.
 
     ``need`` holds per series ``_lo``, ``_need`` (rows that exist before
     ``_lo``, capped at ``LOOKBACK``) and ``_first`` (first stored day).  Only
@@ -75,18 +79,75 @@ def _context(stored: DataFrame, need: DataFrame, global_lo, first_days: int) ->
         # the merge (recomputed from its lineage if an executor is lost)
         ctx = latest_n(cand, LOOKBACK, KEYS, ["open_time"]).persist()
         found = ctx.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_found"))
-        short = (need.join(found, on=KEYS, how="left")
-                 .filter((F.coalesce(F.col("_found"), F.lit(0)) < F.col("_need"))
-                         & (F.date_sub(F.col("_lo"), k) > F.coalesce(F.col("_first"), F.col("_lo")))))
-        if short.isEmpty():
-            return ctx
+        short = ((F.coalesce(F.col("_found"), F.lit(0)) < F.col("_need"))
+                 & (F.date_sub(F.col("_lo"), k) > F.coalesce(F.col("_first"), F.col("_lo"))))
+        # one row back: how many series still lack context, and the most rows
+        # any series redoes (for the plan choice)
+        probe = need.join(found, on=KEYS, how="left").agg(
+            F.count_if(short).alias("_short"), F.max("_rows").alias("_most")).first()
+        if probe["_short"] == 0:
+            return ctx, probe["_most"]
         ctx.unpersist()
         k *= 4
 
 
+def _tp_v():
+    return typical_price("high", "low", "close") * F.col("volume")
+
+
+def _series_windows(rows: DataFrame, ctx: DataFrame | None) -> DataFrame:
+    """Indicators with one window per series over context + rows: used when
+    the rows to redo per series are bounded (``plain_max_rows``)."""
+    both = rows.withColumn("_ctx", F.lit(False))
+    for c, t in (("_i", "long"), ("_cum_pv", "double"), ("_cum_v", "double")):
+        both = both.withColumn(c, F.lit(None).cast(t))
+    if ctx is not None:
+        both = both.unionByName(ctx.withColumn("_ctx", F.lit(True)))
+    w = Window.partitionBy(*KEYS).orderBy(F.col("open_time").asc())
+    whole = Window.partitionBy(*KEYS)
+    own = ~F.col("_ctx")
+    ctx_i = F.when(F.col("_ctx"), F.col("_i"))
+    out = both.withColumns({
+        "_k": F.sum(F.when(own, 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0)),
+        "_base": F.max(ctx_i).over(whole),
+        "_off_pv": F.max_by(F.when(F.col("_ctx"), F.col("_cum_pv")), ctx_i).over(whole),
+        "_off_v": F.max_by(F.when(F.col("_ctx"), F.col("_cum_v")), ctx_i).over(whole),
+        "_run_pv": F.sum(F.when(own, _tp_v())).over(w),
+        "_run_v": F.sum(F.when(own, F.col("volume").cast("double"))).over(w),
+    })
+    out = _rsi_columns(out.withColumns(dict(_frame_indicators(w, "close"))), w, "close")
+    return (out.filter(own)
+            .withColumn("_i", F.coalesce(F.col("_base") + 1, F.lit(0)) + F.col("_k") - 1)
+            .withColumn("_cum_pv", _plus("_off_pv", "_run_pv"))
+            .withColumn("_cum_v", _plus("_off_v", "_run_v")))
+
+
+def _bucketed(rows: DataFrame, ctx: DataFrame | None, bucket_rows: int) -> DataFrame:
+    """Indicators without a whole-series window: positions and VWAP sums
+    continue from the context's newest row per series (a #series-row table)
+    through the two-level scan; SMA / Bollinger / RSI run over buckets of
+    positions, the context rows supplying the first bucket's look-back."""
+    start = None
+    if ctx is not None:
+        start = ctx.groupBy(*KEYS).agg(
+            (F.max("_i") + 1).alias("_i0"),
+            F.max_by("_cum_pv", "_i").alias("_s0__cum_pv"),
+            F.max_by("_cum_v", "_i").alias("_s0__cum_v"))
+    own_rows = index_series(rows, KEYS, "open_time",
+                            sums={"_cum_pv": _tp_v(), "_cum_v": F.col("volume").cast("double")},
+                            unit="day", index_col="_i", start=start)
+    own_rows = own_rows.withColumn("_ctx", F.lit(False))
+    both = own_rows if ctx is None else own_rows.unionByName(ctx.withColumn("_ctx", F.lit(True)))
+    bucketed = add_lookback_buckets(both, "_i", bucket_rows, LOOKBACK)
+    w = Window.partitionBy(*KEYS, "_b").orderBy("_i")
+    out = _rsi_columns(bucketed.withColumns(dict(_frame_indicators(w, "close"))), w, "close")
+    return out.filter(F.col("_own") & ~F.col("_ctx"))
+
+
 def upsert_candles(spark: SparkSession, batch: DataFrame, path: str,
                    array_name: str = "klines_1h", context_days: int = 3,
-                   bucket_rows: int = DEFAULT_BUCKET_ROWS, replace: bool = False) -> None:
+                   bucket_rows: int = DEFAULT_BUCKET_ROWS, replace: bool = False,
+                   plain_max_rows: int = PLAIN_MAX_ROWS) -> None:
     """Merge one micro-batch of Bronze envelopes into the candle table at ``path``.
 
     ``replace=True`` builds the table from ``batch`` alone and replaces all of
@@ -96,13 +157,32 @@ def upsert_candles(spark: SparkSession, batch: DataFrame, path: str,
     rows (it widens automatically when a series has a gap).  A small
     per-series state table ``{path}/_series`` (last position, first day)
     tells exactly how many context rows exist, so the search never reads
-    the whole history.  ``bucket_rows`` is the bucket size of the look-back
-    windows (see ``operators.indicators.over_buckets``).
+    the whole history.
+
+    Plan choice per batch: when at most ``plain_max_rows`` rows per series
+    are (re)computed -- the usual micro-batch -- one window per series does
+    it in the fewest stages; beyond that (a first load, a backfill, a fix far
+    back) positions, sums and look-back windows use the bucketed plan with
+    ``bucket_rows`` positions per bucket, so no task holds a whole series.
+    Both give the same rows.
     """
     new = project_klines(batch, array_name).filter(F.col("open_time").isNotNull())
     new = _latest(drop_invalid(new, ["symbol", "close"])).select(*BASE)
-    new = new.withColumn("date", F.to_date("open_time"))
-    lo = new.groupBy(*KEYS).agg(F.min("date").alias("_lo"))
+    # The batch's deduplicated candles and their per-series summary feed
+    # several jobs below; both are bounded by the micro-batch and cached
+    # (recomputed from the batch files if an executor is lost).
+    new = new.withColumn("date", F.to_date("open_time")).persist()
+    lo = new.groupBy(*KEYS).agg(F.min("date").alias("_lo"),
+                                F.count(F.lit(1)).alias("_new_n")).persist()
+    try:
+        _upsert(spark, new, lo, path, context_days, bucket_rows, replace, plain_max_rows)
+    finally:
+        lo.unpersist()
+        new.unpersist()
+
+
+def _upsert(spark: SparkSession, new: DataFrame, lo: DataFrame, path: str, context_days: int,
+            bucket_rows: int, replace: bool, plain_max_rows: int) -> None:
     state_path = f"{path.rstrip('/')}/_series"
 
     if not replace and path_exists(spark, path) and path_exists(spark, state_path):
@@ -118,43 +198,30 @@ def upsert_candles(spark: SparkSession, batch: DataFrame, path: str,
         need = (lo.join(first_redo, on=KEYS, how="left").join(state, on=KEYS, how="left")
                 .select(*KEYS, "_lo", F.col("first_date").alias("_first"),
                         F.least(F.lit(LOOKBACK).cast("long"), before_lo).alias("_need"),
-                        (before_lo - 1).alias("_ctx_max"))).persist()
-        ctx = _context(stored, need, global_lo, context_days)
+                        (before_lo - 1).alias("_ctx_max"),
+                        # rows to redo: new ones plus the stored positions from _lo on
+                        (F.col("_new_n") + F.coalesce(F.col("max_i") - F.col("_i0") + 1, F.lit(0)))
+                        .alias("_rows"))).persist()
+        ctx, most = _context(stored, need, global_lo, context_days)
         cached = [need, ctx]
         ctx = ctx.select(*BASE, "date", *CARRIED)
         rows = keep_positive(_latest(new.unionByName(redo.select(*BASE, "date"))), "close")
         prev_state = state
     else:
+        most = lo.agg(F.max("_new_n")).first()[0]
+        if most is None and not replace:
+            return
         rows = keep_positive(new, "close")
         ctx = None
         need = None
         cached = []
         prev_state = None
-    # Positions and VWAP sums continue from the context's newest row per
-    # series (a #series-row table); rows are numbered by the two-level scan,
-    # so a first load or a far-back correction is not one task per series.
-    start = None
-    if ctx is not None:
-        start = ctx.groupBy(*KEYS).agg(
-            (F.max("_i") + 1).alias("_i0"),
-            F.max_by("_cum_pv", "_i").alias("_s0__cum_pv"),
-            F.max_by("_cum_v", "_i").alias("_s0__cum_v"))
-    tp_v = typical_price("high", "low", "close") * F.col("volume")
-    own_rows = index_series(rows, KEYS, "open_time",
-                            sums={"_cum_pv": tp_v, "_cum_v": F.col("volume").cast("double")},
-                            unit="day", index_col="_i", start=start)
-    own_rows = own_rows.withColumn("_ctx", F.lit(False))
-    both = own_rows if ctx is None else own_rows.unionByName(ctx.withColumn("_ctx", F.lit(True)))
-
-    # SMA / Bollinger / RSI over buckets of positions, the context rows
-    # supplying the look-back of the first bucket.
-    bucketed = add_lookback_buckets(both, "_i", bucket_rows, LOOKBACK)
-    w = Window.partitionBy(*KEYS, "_b").orderBy("_i")
-    out = bucketed.withColumns(dict(_frame_indicators(w, "close")))
-    out = _rsi_columns(out, w, "close")
-    out = (out.filter(F.col("_own") & ~F.col("_ctx"))
-           .withColumn("vwap", safe_div(F.col("_cum_pv"), F.col("_cum_v"))))
-    out = out.select(*BASE, *INDICATORS, *CARRIED, "date")
+    if most is None or most <= plain_max_rows:
+        out = _series_windows(rows, ctx)
+    else:
+        out = _bucketed(rows, ctx, bucket_rows)
+    out = (out.withColumn("vwap", safe_div(F.col("_cum_pv"), F.col("_cum_v")))
+           .select(*BASE, *INDICATORS, *CARRIED, "date"))
 
     staging = scratch_path(spark, "candle-upsert")
     out.write.parquet(staging + "/rows")
@@ -195,8 +262,8 @@ def upsert_candles(spark: SparkSession, batch: DataFrame, path: str,
 
 def candle_upsert_query(spark: SparkSession, envelopes: DataFrame, root: str, checkpoint: str,
                         intervals: Sequence[str] = tuple(KLINE_ARRAYS), trigger: str | None = None,
-                        context_days: int = 3,
-                        bucket_rows: int = DEFAULT_BUCKET_ROWS) -> StreamingQuery:
+                        context_days: int = 3, bucket_rows: int = DEFAULT_BUCKET_ROWS,
+                        plain_max_rows: int = PLAIN_MAX_ROWS) -> StreamingQuery:
     """STR-5: keep ``{root}/klines_{1m,5m,1h}`` up to date from a Bronze stream."""
 
     def handle(batch_df: DataFrame, _epoch: int) -> None:
@@ -204,7 +271,7 @@ def candle_upsert_query(spark: SparkSession, envelopes: DataFrame, root: str, ch
         try:
             for a in intervals:
                 upsert_candles(spark, batch_df, f"{root.rstrip('/')}/klines_{KLINE_ARRAYS[a]}", a,
-                               context_days, bucket_rows)
+                               context_days, bucket_rows, plain_max_rows=plain_max_rows)
         finally:
             batch_df.unpersist()
 

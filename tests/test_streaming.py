@@ -68,8 +68,8 @@ def test_late_snapshot_dropped_after_watermark(spark, tmp):
     assert rows[dt.date(2024, 3, 3)].close == 30.0
 
 
-@pytest.mark.parametrize("bucket_rows", [None, 20])
-def test_candle_upsert_replay_and_late_correction(spark, tmp, bucket_rows):
+@pytest.mark.parametrize("plan", ["series", "bucketed"])
+def test_candle_upsert_replay_and_late_correction(spark, tmp, plan):
     import datetime as dt
     import json
 
@@ -96,7 +96,7 @@ def test_candle_upsert_replay_and_late_correction(spark, tmp, bucket_rows):
         return raw.select(F.from_json("doc", BRONZE).alias("e")).select("e.*")
 
     path = tmp + "/klines_1h"
-    kw = {"bucket_rows": bucket_rows} if bucket_rows else {}
+    kw = {"bucket_rows": 20, "plain_max_rows": 0} if plan == "bucketed" else {}
     b1, b2 = frame(docs_for([1, 2, 3])), frame(docs_for([4, 5]))
     upsert_candles(spark, b1, path, **kw)
     upsert_candles(spark, b2, path, **kw)
@@ -132,7 +132,8 @@ def test_start_streams_matches_batch(spark, tmp):
     assert isinstance(paths, Paths)
 
 
-def test_candle_upsert_context_across_gap(spark, tmp):
+@pytest.mark.parametrize("plan", ["series", "bucketed"])
+def test_candle_upsert_context_across_gap(spark, tmp, plan):
     import json
 
     from marketlake.operators.indicators import INDICATORS, add_indicators
@@ -151,9 +152,10 @@ def test_candle_upsert_context_across_gap(spark, tmp):
         return raw.select(F.from_json("doc", BRONZE).alias("e")).select("e.*")
 
     path = tmp + "/klines_1h"
-    upsert_candles(spark, frame(docs([1, 2, 3])), path, context_days=1)
-    upsert_candles(spark, frame(docs([20])), path, context_days=1)   # 17-day gap
-    upsert_candles(spark, frame(docs([2])), path, context_days=1)    # replay inside history
+    kw = {"bucket_rows": 20, "plain_max_rows": 0} if plan == "bucketed" else {}
+    upsert_candles(spark, frame(docs([1, 2, 3])), path, context_days=1, **kw)
+    upsert_candles(spark, frame(docs([20])), path, context_days=1, **kw)   # 17-day gap
+    upsert_candles(spark, frame(docs([2])), path, context_days=1, **kw)    # replay inside history
     expect = add_indicators(extract_klines(frame(docs([1, 2, 3, 20])), "klines_1h"), strategy="plain")
     cols = ["open_time", "close"] + list(INDICATORS)
     rnd = lambda rows: sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in rows)
