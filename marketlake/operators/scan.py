@@ -7,10 +7,10 @@ row and running sums with two levels instead:
 
 1. per (series, granule) -- granule = ``date_trunc(unit, t)`` -- a row number
    and running sums inside the granule (parallel across granules);
-2. per (series, granule) counts and totals, aggregated from the output of
-   step 1 (already partitioned on that key, so no extra exchange), turned
-   into exclusive prefix sums over the granules of a series (a table of
-   #series x #granules rows, not of data rows);
+2. per (series, granule) counts and totals, a hash aggregate with a partial
+   (map-side) step -- its shuffle is one row per (series, granule) per map
+   task -- turned into exclusive prefix sums over the granules of a series
+   (a table of #series x #granules rows, not of data rows);
 3. the two are joined on (series, granule).  The big side is already hash
    partitioned on that key by step 1, so only the small side moves; AQE turns
    the join into a broadcast when the prefix table is measured small enough at
@@ -84,13 +84,13 @@ def index_series(df: DataFrame, keys: Sequence[str], order: str,
     for name in sums:
         local = local.withColumn(f"_r_{name}", F.sum(f"_e_{name}").over(in_g_range))
 
-    # Aggregated from the in-granule branch: it is already hash partitioned on
-    # (keys, granule), so this aggregate adds no exchange and shares the scan.
-    # The count is taken from the row number so the optimizer keeps this
-    # branch on top of the window (it would otherwise prune the window and
-    # re-shuffle the source).
-    stats = local.groupBy(*keys, g).agg(
-        (F.max("_j") + F.lit(1)).alias("_n"),
+    # Per-granule counts and totals straight from the input, as a hash
+    # aggregate with a map-side partial step: its shuffle carries one row per
+    # (series, granule) per map task.  (Taking them from the window output
+    # instead does not share the window's exchange -- column pruning gives the
+    # two branches different projections -- and re-shuffles every row.)
+    stats = base.groupBy(*keys, g).agg(
+        F.count(F.lit(1)).alias("_n"),
         *[F.sum(f"_e_{name}").alias(f"_t_{name}") for name in sums],
     )
     before = Window.partitionBy(*keys).orderBy(g).rowsBetween(Window.unboundedPreceding, -1)
