@@ -39,7 +39,7 @@ from pyspark.sql.streaming import StreamingQuery
 from marketlake.functions.scalar import safe_div, typical_price
 from marketlake.operators.clean import dedup_latest, drop_invalid, keep_positive, latest_n
 from marketlake.operators.indicators import (DEFAULT_BUCKET_ROWS, INDICATORS, LOOKBACK,
-                                             _frame_indicators, _rsi_columns)
+                                             _frame_indicators, _rsi_columns, bucket_frame)
 from marketlake.operators.scan import _plus, add_lookback_buckets, index_series
 from marketlake.operators.silver import CANDLE_VALUE_COLUMNS, project_klines
 from marketlake.schemas import KLINE_ARRAYS
@@ -138,10 +138,9 @@ def _bucketed(rows: DataFrame, ctx: DataFrame | None, bucket_rows: int) -> DataF
                             unit="day", index_col="_i", start=start)
     own_rows = own_rows.withColumn("_ctx", F.lit(False))
     both = own_rows if ctx is None else own_rows.unionByName(ctx.withColumn("_ctx", F.lit(True)))
-    bucketed = add_lookback_buckets(both, "_i", bucket_rows, LOOKBACK)
-    w = Window.partitionBy(*KEYS, "_b").orderBy("_i")
+    bucketed, w = bucket_frame(add_lookback_buckets(both, "_i", bucket_rows, LOOKBACK), KEYS)
     out = _rsi_columns(bucketed.withColumns(dict(_frame_indicators(w, "close"))), w, "close")
-    return out.filter(F.col("_own") & ~F.col("_ctx"))
+    return out.filter(F.col("_own") & ~F.col("_ctx")).drop("_part")
 
 
 def upsert_candles(spark: SparkSession, batch: DataFrame, path: str,
