@@ -36,7 +36,7 @@ NULL_GRANULE = "0001-01-01 00:00:00"
 NULL_NUMERIC_GRANULE = -(2 ** 62)
 
 
-def _plus(a: str, b: str) -> Column:
+def add_nullable(a: str, b: str) -> Column:
     """a + b where NULL counts as "no rows yet" (as in sum()): NULL + x = x,
     and NULL + NULL stays NULL."""
     x, y = F.col(a), F.col(b)
@@ -105,12 +105,12 @@ def index_series(df: DataFrame, keys: Sequence[str], order: str,
         offsets = offsets.join(start, on=keys, how="left").select(
             *keys, g,
             (F.coalesce(F.col("_i0"), F.lit(0)) + F.col("_off_n")).alias("_off_n"),
-            *[_plus(f"_s0_{name}", f"_off_{name}").alias(f"_off_{name}") for name in sums])
+            *[add_nullable(f"_s0_{name}", f"_off_{name}").alias(f"_off_{name}") for name in sums])
 
     joined = local.join(offsets, on=[*keys, g], how="inner")
     out = joined.withColumn(index_col, F.col("_off_n") + F.col("_j"))
     for name in sums:
-        out = out.withColumn(name, _plus(f"_off_{name}", f"_r_{name}"))
+        out = out.withColumn(name, add_nullable(f"_off_{name}", f"_r_{name}"))
     drop = [g, "_j", "_off_n"] + [f"_e_{n}" for n in sums] + [f"_r_{n}" for n in sums] \
         + [f"_off_{n}" for n in sums]
     return out.drop(*drop)

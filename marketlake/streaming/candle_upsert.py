@@ -40,7 +40,7 @@ from marketlake.functions.scalar import safe_div, typical_price
 from marketlake.operators.clean import dedup_latest, drop_invalid, keep_positive, latest_n
 from marketlake.operators.indicators import (DEFAULT_BUCKET_ROWS, INDICATORS, LOOKBACK,
                                              _frame_indicators, _rsi_columns, bucket_frame)
-from marketlake.operators.scan import _plus, add_lookback_buckets, index_series
+from marketlake.operators.scan import add_lookback_buckets, add_nullable, index_series
 from marketlake.operators.silver import CANDLE_VALUE_COLUMNS, project_klines
 from marketlake.schemas import KLINE_ARRAYS
 from marketlake.session import path_exists, scratch_path
@@ -118,8 +118,8 @@ def _series_windows(rows: DataFrame, ctx: DataFrame | None) -> DataFrame:
     out = _rsi_columns(out.withColumns(dict(_frame_indicators(w, "close"))), w, "close")
     return (out.filter(own)
             .withColumn("_i", F.coalesce(F.col("_base") + 1, F.lit(0)) + F.col("_k") - 1)
-            .withColumn("_cum_pv", _plus("_off_pv", "_run_pv"))
-            .withColumn("_cum_v", _plus("_off_v", "_run_v")))
+            .withColumn("_cum_pv", add_nullable("_off_pv", "_run_pv"))
+            .withColumn("_cum_v", add_nullable("_off_v", "_run_v")))
 
 
 def _bucketed(rows: DataFrame, ctx: DataFrame | None, bucket_rows: int) -> DataFrame:
