@@ -49,6 +49,8 @@ def test_run_batch_end_to_end_and_idempotent(spark, tmp):
     first = gold_rows(spark, paths)
     run_batch(spark, paths, now=NOW)
     assert gold_rows(spark, paths) == first
+    # a full run rebuilds the candle tables: no row is kept twice
+    assert spark.read.parquet(paths.silver_table("klines_1h")).count() == 36
 
 
 def test_run_batch_single_day_keeps_other_days(spark, tmp):
