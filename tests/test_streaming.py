@@ -163,3 +163,26 @@ def test_candle_upsert_context_across_gap(spark, tmp, plan):
     assert rnd(got.select(cols).collect()) == rnd(expect.select(cols).collect())
     state = spark.read.parquet(path + "/_series").collect()[0]
     assert state.max_i == 31 and str(state.first_date) == "2024-03-01"
+
+
+def test_candle_upsert_empty_batch_is_noop(spark, tmp):
+    import json
+
+    from marketlake.schemas import BRONZE
+    from marketlake.streaming import upsert_candles
+    from tests.fixtures import candle, envelope, ms, ticker, utc
+
+    def frame(docs):
+        raw = spark.createDataFrame([(json.dumps(x),) for x in docs], "doc string")
+        return raw.select(F.from_json("doc", BRONZE).alias("e")).select("e.*")
+
+    path = tmp + "/klines_1h"
+    empty = frame([envelope("Bitcoin", "BTC", utc(2024, 3, 1, 12), ticker("1"))])  # no candles
+    upsert_candles(spark, empty, path)
+    assert not os.path.exists(path)
+    full = frame([envelope("Bitcoin", "BTC", utc(2024, 3, 1, 23), ticker("1"),
+                           k1h=[candle(ms(utc(2024, 3, 1, h)), str(10 + h)) for h in range(24)])])
+    upsert_candles(spark, full, path)
+    before = sorted(spark.read.parquet(path).select("open_time", "close", "vwap", "_i").collect())
+    upsert_candles(spark, empty, path)
+    assert sorted(spark.read.parquet(path).select("open_time", "close", "vwap", "_i").collect()) == before
