@@ -27,6 +27,9 @@ def _slot(df: DataFrame, time: str, unit: str):
     return slot
 
 
+# Most tasks used to expand the DQ-1 grid.
+GRID_MAX_TASKS = 1024
+
 # Chunk used to spread grid generation over tasks, per slot unit.
 _GRID_CHUNK = {"second": "HOUR", "minute": "DAY", "hour": "DAY", "day": None}
 
@@ -46,7 +49,10 @@ def _slot_grid(spark, bounds: DataFrame, symbols: list[str], unit: str) -> DataF
     chunk = _GRID_CHUNK.get(unit)
     if chunk is None:
         return syms.select("symbol", F.explode(F.sequence("lo", "hi", step)).alias("slot"))
-    width = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    # Tasks that expand the chunks: the shuffle width, but not the tens of
+    # thousands a 100 TB job uses for its data shuffles (the grid has only
+    # #symbols x #chunks rows; 1024 tasks expand even second slots quickly).
+    width = min(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), GRID_MAX_TASKS)
     cstep = F.expr(f"INTERVAL 1 {chunk}")
     chunks = syms.select("symbol", "lo", "hi",
                          F.explode(F.sequence(F.date_trunc(chunk, "lo"), "hi", cstep)).alias("_c"))
