@@ -117,15 +117,23 @@ def layer_presence(tables: Mapping[str, DataFrame], strict: bool = False,
 def table_presence(spark: SparkSession, paths: Mapping[str, str], fmt: str = "parquet",
                    strict: bool = False) -> DataFrame:
     """DQ-2/DQ-3 over stored tables: a path that does not exist is reported absent."""
+    from pyspark.errors import AnalysisException
+
     from marketlake.session import path_exists
     tables = {}
     for name, path in paths.items():
+        table = None
         if path_exists(spark, path):
-            tables[name] = spark.read.format(fmt).load(path)
-        else:
-            if strict:
-                raise QualityError(f"layer missing: {name} ({path})")
-            tables[name] = spark.range(0).select(F.lit(1).alias("x"))
+            try:
+                table = spark.read.format(fmt).load(path)
+            except AnalysisException as e:
+                # a table written from no rows has no data file to read a
+                # schema from: it is there, but empty
+                if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                    raise
+        elif strict:
+            raise QualityError(f"layer missing: {name} ({path})")
+        tables[name] = table if table is not None else spark.range(0).select(F.lit(1).alias("x"))
     return layer_presence(tables, strict=strict, count_rows=False)
 
 

@@ -116,3 +116,18 @@ def test_publish_table_catalog_and_blank_url(spark, tmp):
     assert where == "catalog"
     assert spark.table("market.crypto_daily").collect()[0].pct_return == 100.0
     spark.sql("DROP TABLE market.crypto_daily")
+
+
+def test_table_presence_empty_partitioned_table(spark, tmp):
+    """A table written from no rows (only a _SUCCESS marker) is reported
+    absent, and a strict check fails with QualityError."""
+    import pytest
+
+    from marketlake.operators.quality import QualityError, table_presence
+    path = tmp + "/klines_5m"
+    spark.createDataFrame([], "symbol string, date date, close double") \
+        .write.partitionBy("symbol", "date").parquet(path)
+    report = table_presence(spark, {"klines_5m": path}).collect()
+    assert [(r.table, r.n_rows, r.present) for r in report] == [("klines_5m", 0, False)]
+    with pytest.raises(QualityError):
+        table_presence(spark, {"klines_5m": path}, strict=True)
