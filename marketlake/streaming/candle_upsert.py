@@ -32,6 +32,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -91,6 +92,19 @@ def _context(stored: DataFrame, need: DataFrame, global_lo, first_days: int):
         k *= 4
 
 
+def _read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The stored candle table, or None when it does not exist or holds no
+    data file (a rebuild from a batch without candles writes none)."""
+    if not path_exists(spark, path):
+        return None
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return None
+        raise
+
+
 def _tp_v():
     return typical_price("high", "low", "close") * F.col("volume")
 
@@ -184,11 +198,11 @@ def _upsert(spark: SparkSession, new: DataFrame, lo: DataFrame, path: str, conte
             bucket_rows: int, replace: bool, plain_max_rows: int) -> None:
     state_path = f"{path.rstrip('/')}/_series"
 
-    if not replace and path_exists(spark, path) and path_exists(spark, state_path):
+    stored = None if replace else _read_table(spark, path)
+    if stored is not None and path_exists(spark, state_path):
         global_lo = lo.agg(F.min("_lo")).first()[0]
         if global_lo is None:
             return
-        stored = spark.read.parquet(path)
         state = spark.read.parquet(state_path)
         redo = (stored.filter(F.col("date") >= F.lit(global_lo)).join(lo, on=KEYS, how="inner")
                 .filter(F.col("date") >= F.col("_lo")))

@@ -186,3 +186,26 @@ def test_candle_upsert_empty_batch_is_noop(spark, tmp):
     before = sorted(spark.read.parquet(path).select("open_time", "close", "vwap", "_i").collect())
     upsert_candles(spark, empty, path)
     assert sorted(spark.read.parquet(path).select("open_time", "close", "vwap", "_i").collect()) == before
+
+
+def test_candle_merge_after_empty_rebuild(spark, tmp):
+    """A full rebuild from a batch without candles leaves a table with no
+    data files; the next merge must start the series from scratch."""
+    import json
+
+    from marketlake.schemas import BRONZE
+    from marketlake.streaming import upsert_candles
+    from tests.fixtures import candle, envelope, ms, ticker, utc
+
+    def frame(docs):
+        raw = spark.createDataFrame([(json.dumps(x),) for x in docs], "doc string")
+        return raw.select(F.from_json("doc", BRONZE).alias("e")).select("e.*")
+
+    path = tmp + "/klines_5m"
+    upsert_candles(spark, frame([envelope("Bitcoin", "BTC", utc(2024, 3, 1, 12), ticker("1"))]),
+                   path, "klines_5m", replace=True)
+    full = frame([envelope("Bitcoin", "BTC", utc(2024, 3, 1, 23), ticker("1"),
+                           k5m=[candle(ms(utc(2024, 3, 1, h)), str(10 + h)) for h in range(6)])])
+    upsert_candles(spark, full, path, "klines_5m")
+    rows = sorted(spark.read.parquet(path).select("_i", "close").collect())
+    assert [(r._i, r.close) for r in rows] == [(h, 10.0 + h) for h in range(6)]
