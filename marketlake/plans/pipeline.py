@@ -30,13 +30,15 @@ from marketlake.operators.clean import dedup_latest, drop_invalid, keep_positive
 from marketlake.operators.quality import table_presence
 from marketlake.operators.silver import TICKER_VALUE_COLUMNS, project_ticker
 from marketlake.paths import Paths
-from marketlake.schemas import KLINE_ARRAYS
-from marketlake.session import ensure_utc, path_exists, scratch_path
+from marketlake.schemas import KLINE_ARRAYS, SILVER_TICKERS
+from marketlake.session import ensure_utc, scratch_path
 from marketlake.sinks import write_gold, write_silver
-from marketlake.sources import read_bronze, split_corrupt
+from marketlake.sources import read_bronze, read_stored, split_corrupt
 from marketlake.streaming.candle_upsert import upsert_candles
 
 GOLD_TABLE = "daily_summary"
+# Row counts observed after each ticker rule (DQ-4), in rule order.
+TICKER_STEPS = ("input", "valid", "unique", "output")
 
 
 def stage_bronze(spark: SparkSession, paths: Paths, date=None, assets: Iterable[str] | None = None,
@@ -72,7 +74,7 @@ def run_batch(spark: SparkSession, paths: Paths, date: str | _dt.date | None = N
     tick_path = paths.silver_table("tickers")
     tickers, observations = observed_tickers(good)
     write_silver(tickers, tick_path, partition_by=("symbol", "date"), dynamic=True)
-    rule_report = {k: v for o in observations for k, v in o.get.items()}
+    rule_report = _observed_counts(observations, good)
 
     tables = {"tickers": tick_path}
     for array_name in intervals:
@@ -82,7 +84,8 @@ def run_batch(spark: SparkSession, paths: Paths, date: str | _dt.date | None = N
                        replace=date is None)
         tables[f"klines_{label}"] = path
 
-    silver_tickers = spark.read.parquet(tick_path)
+    # no ticker at all (every fetch failed) leaves no data file to read
+    silver_tickers = read_stored(spark, tick_path) or spark.createDataFrame([], SILVER_TICKERS)
     gold_path = paths.gold_table(GOLD_TABLE)
     if date is None:
         write_gold(build_gold_daily(silver_tickers, now=now), gold_path,
@@ -93,8 +96,9 @@ def run_batch(spark: SparkSession, paths: Paths, date: str | _dt.date | None = N
         # overwrite a path the same plan reads), then replace the symbols.
         d = date if isinstance(date, _dt.date) else _dt.date.fromisoformat(str(date).replace("/", "-"))
         fresh = build_gold_daily(silver_tickers.filter(F.col("date") == F.lit(d)), now=now)
-        if path_exists(spark, gold_path):
-            old = spark.read.parquet(gold_path).filter(~F.col("date").eqNullSafe(F.lit(d)))
+        old = read_stored(spark, gold_path)
+        if old is not None:
+            old = old.filter(~F.col("date").eqNullSafe(F.lit(d)))
             fresh = old.unionByName(fresh.select(*old.columns))
         staging = scratch_path(spark, "gold-merge")
         fresh.write.parquet(staging)
@@ -106,10 +110,37 @@ def run_batch(spark: SparkSession, paths: Paths, date: str | _dt.date | None = N
     return {"presence": presence, "ticker_rules": rules}
 
 
+def _observed_counts(observations: list[Observation], good: DataFrame) -> dict[str, int]:
+    """The DQ-4 counts gathered during the write.  When a stage produces no
+    rows, AQE replaces the plan above it with an empty relation and every
+    ``observe`` node in it reports nothing; only then are those steps counted
+    with separate jobs (the rules produced no rows, so little is left to
+    count)."""
+    from py4j.protocol import Py4JJavaError
+    counts: dict[str, int] = {}
+    frames = None
+    for i, (step, o) in enumerate(zip(TICKER_STEPS, observations)):
+        try:
+            counts.update(o.get)
+        except Py4JJavaError:
+            frames = frames or _ticker_steps(good)
+            counts[f"n_{step}"] = frames[i].count()
+    return counts
+
+
+def _ticker_steps(good: DataFrame) -> list[DataFrame]:
+    """The Silver ticker rules, one DataFrame per step of ``TICKER_STEPS``."""
+    projected = project_ticker(good)
+    valid = drop_invalid(projected, ["symbol", "last_price"])
+    unique = dedup_latest(valid, ["symbol", "ingested_at"], None,
+                          tiebreak=["name", "asset_class", *TICKER_VALUE_COLUMNS])
+    return [projected, valid, unique, keep_positive(unique, "last_price")]
+
+
 def observed_tickers(good: DataFrame) -> tuple[DataFrame, list[Observation]]:
     """Silver tickers with DQ-4 row counts gathered during the same pass
     (``observe`` metrics are filled when the write runs; no extra job)."""
-    obs = [Observation(f"ticker_{n}") for n in ("input", "valid", "unique", "output")]
+    obs = [Observation(f"ticker_{n}") for n in TICKER_STEPS]
     df = project_ticker(good).observe(obs[0], F.count(F.lit(1)).alias("n_input"))
     df = drop_invalid(df, ["symbol", "last_price"]).observe(obs[1], F.count(F.lit(1)).alias("n_valid"))
     df = dedup_latest(df, ["symbol", "ingested_at"], None,

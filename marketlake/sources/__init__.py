@@ -7,4 +7,4 @@ from marketlake.sources.bronze import (  # noqa: F401
     split_corrupt,
     with_path_partitions,
 )
-from marketlake.sources.silver import read_layer  # noqa: F401
+from marketlake.sources.silver import read_layer, read_stored  # noqa: F401

@@ -32,7 +32,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -45,6 +44,7 @@ from marketlake.operators.scan import add_lookback_buckets, add_nullable, index_
 from marketlake.operators.silver import CANDLE_VALUE_COLUMNS, project_klines
 from marketlake.schemas import KLINE_ARRAYS
 from marketlake.session import path_exists, scratch_path
+from marketlake.sources.silver import read_stored
 
 KEYS = ["symbol", "interval"]
 BASE = ["symbol", "interval", "open_time", "ingested_at", "open", "high", "low", "close",
@@ -92,19 +92,6 @@ def _context(stored: DataFrame, need: DataFrame, global_lo, first_days: int):
         k *= 4
 
 
-def _read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The stored candle table, or None when it does not exist or holds no
-    data file (a rebuild from a batch without candles writes none)."""
-    if not path_exists(spark, path):
-        return None
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":
-            return None
-        raise
-
-
 def _tp_v():
     return typical_price("high", "low", "close") * F.col("volume")
 
@@ -198,7 +185,7 @@ def _upsert(spark: SparkSession, new: DataFrame, lo: DataFrame, path: str, conte
             bucket_rows: int, replace: bool, plain_max_rows: int) -> None:
     state_path = f"{path.rstrip('/')}/_series"
 
-    stored = None if replace else _read_table(spark, path)
+    stored = None if replace else read_stored(spark, path)
     if stored is not None and path_exists(spark, state_path):
         global_lo = lo.agg(F.min("_lo")).first()[0]
         if global_lo is None:

@@ -91,3 +91,19 @@ def test_run_batch_single_day_merges_candles(spark, tmp):
     expect = add_indicators(extract_klines(read_bronze(spark, paths.bronze), "klines_1h"))
     assert rows(after) == rows(expect)
     assert sorted(r._i for r in after.filter(F.col("symbol") == "BTCUSDT").collect()) == list(range(18))
+
+
+def test_run_batch_without_tickers_reports_empty_layers(spark, tmp):
+    """Every ticker fetch failed (ticker null): the run completes, the
+    ticker and Gold layers are reported empty, and the candles are built."""
+    paths = Paths(os.path.join(tmp, "lake"))
+    for i, h in enumerate((9, 15)):
+        at = utc(2024, 3, 1, h, 0, 0)
+        land(paths.bronze, envelope("Bitcoin", "BTCUSDT", at, None,
+                                    k1h=[candle(ms(at) - (j + 1) * H, str(100 + h - j)) for j in range(3)]))
+    reports = run_batch(spark, paths, strict=False, intervals=("klines_1h",), now=NOW)
+    present = {r.table: r.present for r in reports["presence"].collect()}
+    assert present == {"tickers": False, "klines_1h": True, "daily_summary": False}
+    assert spark.read.parquet(paths.silver_table("klines_1h")).count() == 6
+    rules = reports["ticker_rules"].collect()[0]
+    assert (rules.n_input, rules.n_valid, rules.n_unique, rules.n_output) == (2, 0, 0, 0)
