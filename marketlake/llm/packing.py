@@ -16,7 +16,12 @@ word is encoded once per cache life.
 
 from __future__ import annotations
 
+import os
+import re
+import sys
+from array import array
 from collections.abc import Iterator
+from types import ModuleType
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -27,7 +32,9 @@ from marketlake.llm.common import read, text_or_empty
 
 CAPACITY = 2048
 OPEN_BINS = 256
-CACHE_WORDS = 250_000
+CACHE_WORDS = 800_000                              # about 200 MB
+#: letters (A-Z, a-z, Latin-1), then ASCII punctuation, and nothing that a control string may start
+PLAIN_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-/:;=->@[-`{-~]*)")
 PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),
                     ("length", pa.int64()), ("ids", pa.binary()), ("sequence_id", pa.int64()),
                     ("offset", pa.int64())])
@@ -71,34 +78,70 @@ class BestFit:
 
 
 class WordEncoder:
-    """Text -> little-endian 32-bit ids, through a bounded word cache."""
+    """Text -> little-endian 32-bit ids, through a bounded cache of words.
+
+    The tokenizer always cuts between a run of letters and the punctuation
+    behind it, and ignores case, so a word of that form is looked up as those
+    two parts.  Words with digits, control strings or other characters are
+    encoded whole.
+    """
 
     def __init__(self, vocabulary: str, cache_words: int = CACHE_WORDS):
-        import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.cache: dict[bytes, bytes] = {}
+        self.model = self.tokenizer.model
+        self.plain = Tokenizer.from_file(vocabulary)          # for lower-case parts: nothing to normalise or split
+        self.plain.normalizer = None
+        self.plain.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.words: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {"": b""}
         self.limit = cache_words
 
+    @classmethod
+    def of_worker(cls, vocabulary: str) -> WordEncoder:
+        """The encoder of this Python worker, kept from task to task."""
+        held = sys.modules.setdefault("_marketlake_encoders", ModuleType("_marketlake_encoders"))
+        if vocabulary not in vars(held):
+            setattr(held, vocabulary, cls(vocabulary))
+        return vars(held)[vocabulary]
+
+    def _part(self, part: str) -> bytes:
+        if part.isascii():                                    # bytes and their symbols are the same here
+            ids = [t.id for t in self.model.tokenize(part)]
+        else:
+            ids = self.plain.encode(part, add_special_tokens=False).ids
+        self.parts[part] = out = array("I", ids).tobytes()
+        return out
+
+    def _learn(self, words: list[bytes]) -> None:
+        known, have, match = self.words, self.parts.get, PLAIN_WORD.fullmatch
+        for w in words:
+            text = w.decode()
+            m = match(text)
+            if m:
+                letters, marks = m.groups()
+                letters = letters.lower()
+                head, tail = have(letters), have(marks)
+                known[w] = ((self._part(letters) if head is None else head)
+                            + (self._part(marks) if tail is None else tail))
+            else:
+                known[w] = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
         split = [t.encode().split() for t in texts]
-        new = list({w for words in split for w in words if w not in self.cache})
-        if len(self.cache) + len(new) > self.limit:
-            self.cache = {}
-            new = list({w for words in split for w in words})
-        for i in range(0, len(new), 8192):
-            part = new[i:i + 8192]
-            got = self.tokenizer.encode_batch_fast([w.decode() for w in part],
-                                                   add_special_tokens=False)
-            for w, e in zip(part, got):
-                self.cache[w] = np.array(e.ids, "<u4").tobytes()
-        lookup = self.cache.__getitem__
+        seen: set[bytes] = set()
+        for words in split:
+            seen.update(words)
+        if len(self.words) > self.limit:
+            self.words, self.parts = {}, {"": b""}
+        known = self.words
+        self._learn([w for w in seen if w not in known])
+        lookup = known.__getitem__
         return [b"".join(map(lookup, words)) for words in split]
 
 
-def _batches(texts: list[str], most: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def _batches(texts: list[str], most: int = 12 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of rows whose texts have about ``most`` characters together."""
     start = total = 0
     for i, t in enumerate(texts):
@@ -130,7 +173,7 @@ def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACIT
         encoder, bins = None, BestFit(capacity, open_bins, part << 40)
         end = int(end_id).to_bytes(4, "little")
         for batch in batches:
-            encoder = encoder or WordEncoder(vocabulary)
+            encoder = encoder or WordEncoder.of_worker(vocabulary)
             ids_, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for lo, hi in _batches(texts):
                 cols: tuple[list, ...] = ([], [], [], [], [], [], [])
