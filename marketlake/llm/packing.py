@@ -32,7 +32,7 @@ from marketlake.llm.common import read, text_or_empty
 
 CAPACITY = 2048
 OPEN_BINS = 256
-CACHE_WORDS = 800_000                              # about 200 MB
+CACHE_WORDS = 600_000                              # about 150 MB
 #: letters (A-Z, a-z, Latin-1), then ASCII punctuation, and nothing that a control string may start
 PLAIN_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-/:;=->@[-`{-~]*)")
 PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),
@@ -77,8 +77,8 @@ class BestFit:
         return bin_, self.capacity - free
 
 
-class WordEncoder:
-    """Text -> little-endian 32-bit ids, through a bounded cache of words.
+class WordEncoder(dict):
+    """Word (bytes) -> its ids as little-endian 32-bit integers; a bounded cache that fills itself.
 
     The tokenizer always cuts between a run of letters and the punctuation
     behind it, and ignores case, so a word of that form is looked up as those
@@ -87,14 +87,14 @@ class WordEncoder:
     """
 
     def __init__(self, vocabulary: str, cache_words: int = CACHE_WORDS):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.model = self.tokenizer.model
+        self.tokenize = self.tokenizer.model.tokenize
         self.plain = Tokenizer.from_file(vocabulary)          # for lower-case parts: nothing to normalise or split
         self.plain.normalizer = None
         self.plain.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.words: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {"": b""}
         self.limit = cache_words
 
@@ -108,40 +108,34 @@ class WordEncoder:
 
     def _part(self, part: str) -> bytes:
         if part.isascii():                                    # bytes and their symbols are the same here
-            ids = [t.id for t in self.model.tokenize(part)]
+            ids = [t.id for t in self.tokenize(part)]
         else:
             ids = self.plain.encode(part, add_special_tokens=False).ids
         self.parts[part] = out = array("I", ids).tobytes()
         return out
 
-    def _learn(self, words: list[bytes]) -> None:
-        known, have, match = self.words, self.parts.get, PLAIN_WORD.fullmatch
-        for w in words:
-            text = w.decode()
-            m = match(text)
-            if m:
-                letters, marks = m.groups()
-                letters = letters.lower()
-                head, tail = have(letters), have(marks)
-                known[w] = ((self._part(letters) if head is None else head)
-                            + (self._part(marks) if tail is None else tail))
-            else:
-                known[w] = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.encode().split() for t in texts]
-        seen: set[bytes] = set()
-        for words in split:
-            seen.update(words)
-        if len(self.words) > self.limit:
-            self.words, self.parts = {}, {"": b""}
-        known = self.words
-        self._learn([w for w in seen if w not in known])
-        lookup = known.__getitem__
-        return [b"".join(map(lookup, words)) for words in split]
-
-
-def _batches(texts: list[str], most: int = 12 << 20) -> Iterator[tuple[int, int]]:
+    def __missing__(self, word: bytes) -> bytes:
+        text = word.decode()
+        m = PLAIN_WORD.fullmatch(text)
+        if m:
+            letters, marks = m.groups()
+            letters = letters.lower()
+            head, tail = self.parts.get(letters), self.parts.get(marks)
+            out = ((self._part(letters) if head is None else head)
+                   + (self._part(marks) if tail is None else tail))
+        else:
+            out = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        self[word] = out
+        return out
+
+    def encode(self, text: str) -> bytes:
+        if len(self) > self.limit:
+            self.clear()
+            self.parts = {"": b""}
+        return b"".join(map(self.__getitem__, text.encode().split()))
+
+
+def _batches(texts: list[str], most: int = 4 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of rows whose texts have about ``most`` characters together."""
     start = total = 0
     for i, t in enumerate(texts):
@@ -177,7 +171,7 @@ def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACIT
             ids_, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for lo, hi in _batches(texts):
                 cols: tuple[list, ...] = ([], [], [], [], [], [], [])
-                for d, raw in zip(ids_[lo:hi], encoder.encode(texts[lo:hi])):
+                for d, raw in zip(ids_[lo:hi], map(encoder.encode, texts[lo:hi])):
                     raw += end
                     for piece, at in enumerate(range(0, len(raw), 4 * capacity)):
                         blob = raw[at:at + 4 * capacity]
