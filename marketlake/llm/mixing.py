@@ -25,6 +25,7 @@ from marketlake.llm.common import WORD, fresh, read, save
 WEIGHTS = (1, 2, 3)
 MOST_EPOCHS = 3
 BUCKETS = 4096
+SALTS = 64
 PROSE_WORD = 6.0                                   # mean characters of a word, white space included
 
 
@@ -101,26 +102,32 @@ def mix_plan(rows: DataFrame, weights=WEIGHTS, most_epochs: int = MOST_EPOCHS) -
             .filter(F.col("before") + F.col("size") / 2 <= F.col("room"))
             .groupBy(F.col("of").alias("o")).agg(F.max(F.struct(*ORDER)).alias("last")))
     edges = edges.select(F.col("of").alias("e"), "edge")
-    return (goal.drop("budget").join(edges, F.col("of").eqNullSafe(F.col("e")), "left").drop("e")
-            .join(last, F.col("of").eqNullSafe(F.col("o")), "left").drop("o"))
+    return save(goal.drop("budget").join(edges, F.col("of").eqNullSafe(F.col("e")), "left").drop("e")
+                .join(last, F.col("of").eqNullSafe(F.col("o")), "left").drop("o"), "mix-plan")
 
 
 ORDER = ("key", "doc_id", "size")                  # rows equal in all three are copies of one row
 
 
 def mixed(rows: DataFrame, plan: DataFrame, names: dict[str, str]) -> DataFrame:
-    """``rows`` (see ``keyed``) with the plan's columns and ``copies``, how often the mix takes the row."""
-    plan = plan.select(*[F.col(c).alias(names[c]) for c in PLAN])
+    """``rows`` (see ``keyed``) with the plan's columns and ``copies``, how often the mix takes the row.
+
+    The plan is a small written table, which Spark broadcasts if its size
+    allows.  Otherwise each source is joined in SALTS parts, so a hot source is
+    not one task's work.
+    """
+    plan = plan.select(*[F.col(c).alias(names[c]) for c in PLAN],
+                       F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias(names["salt"]))
     here = F.struct(F.col(names["key"]).alias("key"), F.col("doc_id").cast("bigint").alias("doc_id"),
                     F.col(names["size"]).alias("size"))
     edge, rng = F.col(names["edge"]), F.col(names["range"])
     more = (rng < edge) | ((rng == edge) & (here <= F.col(names["last"])))
-    return (rows.join(plan, F.col("source").eqNullSafe(F.col(names["of"])))
+    return (rows.join(plan, F.col("source").eqNullSafe(F.col(names["of"])) & (rng % SALTS == F.col(names["salt"])))
             .withColumn(names["copies"], (F.col(names["epochs"]) + F.coalesce(more, F.lit(False)).cast("int")).cast("int")))
 
 
 PLAN = ("of", "source_size", "target", "epochs", "edge", "last")
-PLAIN = {n: n for n in (*PLAN, "size", "key", "range", "copies")}
+PLAIN = {n: n for n in (*PLAN, "size", "key", "range", "copies", "salt")}
 
 
 def light(docs: DataFrame, **options) -> DataFrame:
