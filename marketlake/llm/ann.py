@@ -50,8 +50,7 @@ class Codes:
     def learn(cls, x: np.ndarray, bits: int = BITS, seed: int = 11) -> Codes:
         """Iterative quantization: rotate so that signs lose least, from several random starts."""
         rng, mean = np.random.default_rng(seed), x.mean(axis=0)
-        _, _, axes = np.linalg.svd(x - mean, full_matrices=True)
-        axes = axes[:min(x.shape[1], bits)].T
+        axes = np.linalg.eigh((x - mean).T @ (x - mean))[1][:, ::-1][:, :bits]    # principal axes, widest first
         v, parts = (x - mean) @ axes, []
         while sum(p.shape[1] for p in parts) < bits:
             r = np.linalg.qr(rng.normal(size=(v.shape[1], v.shape[1])))[0]
@@ -97,7 +96,7 @@ class Directories:
         share, rest = divmod(radius, parts)
         hit = np.zeros(len(self.codes), bool)
         for j in range(parts):
-            own = share if j <= rest else share - 1   # not all can be above their shares: these sum to radius - parts + 1
+            own = share if j <= rest else share - 1   # all above these: more than radius bits in total
             if own < 0:
                 continue
             probes = _NEAR[:_UP_TO[min(own, SUBSTRING)]] ^ one[j]
