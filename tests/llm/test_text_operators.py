@@ -1,0 +1,256 @@
+"""Packing, SimHash, exact dedup, secrets, language ID and quality against brute force."""
+
+import base64
+import gzip
+import hashlib
+import re
+import urllib.parse
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from marketlake.llm import exact_dedup as xd
+from marketlake.llm import langid, packing, quality, secrets, simhash
+from marketlake.llm.catalog import QUERIES
+from marketlake.llm.graph import components
+from tests.conftest import SF_SMALL
+from tests.llm.conftest import lower_az, rows_of
+
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def table(spark, root, name="documents"):
+    return rows_of(spark.read.parquet(f"{root}/{name}.parquet"), "doc_id", "text")
+
+
+@pytest.fixture(scope="module", params=["small", "odd", "empty"])
+def root(request):
+    return SF_SMALL if request.param == "small" else request.getfixturevalue(request.param)
+
+
+def test_packing_is_exact_and_gapless(spark, root):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    expected = Counter()
+    for d, t in table(spark, root):
+        ids = tok.encode(t or "", add_special_tokens=False).ids + [0]
+        for k in range(0, len(ids), 2048):
+            part = ids[k:k + 2048]
+            expected[d, k // 2048, k, len(part), zlib.crc32(np.array(part, "<u4").tobytes())] += 1
+    rows = rows_of(QUERIES["op1_best_fit_packing"](spark, root), "doc_id", "piece", "start", "length", "ids_crc32",
+                   "sequence_id", "offset")
+    assert Counter(r[:5] for r in rows) == expected
+    filled = {}
+    for r in sorted(rows, key=lambda r: (r[5], r[6])):
+        assert r[6] == filled.get(r[5], 0)
+        filled[r[5]] = r[6] + r[3]
+    assert all(n <= 2048 for n in filled.values())
+
+
+def test_best_fit_takes_the_fullest_bin_that_fits_and_closes_the_fullest():
+    bins = packing.BestFit(10, 2)
+    assert bins.place(6) == (0, 0) and bins.place(7) == (1, 0)        # free: 4 and 3
+    assert bins.place(3) == (1, 7)                                    # the tighter one, now full
+    assert bins.place(5) == (2, 0) and bins.place(9) == (3, 0)        # bin 3 is the fullest: closes at once
+    assert bins.place(8) == (4, 0) and bins.place(4) == (0, 6) and bins.place(5) == (2, 5)
+
+
+def test_best_fit_is_dense():
+    rng, bins, used = np.random.default_rng(0), packing.BestFit(2048, 256), set()
+    sizes = rng.integers(1, 2048, 20_000)
+    for n in sizes:
+        used.add(bins.place(int(n))[0])
+    assert len(used) < 1.02 * sizes.sum() / 2048
+
+
+def brute_fingerprint(text):
+    import xxhash
+    w = WORDS.findall(lower_az(text))
+    if not w:
+        return 0
+    shingles = [" ".join(w[i:i + 3]) for i in range(len(w) - 2)] or [" ".join(w)]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_simhash_matches_brute_force(spark, root):
+    docs = table(spark, root)
+    fps = np.array([brute_fingerprint(t) for _, t in docs], np.uint64)
+    label = list(range(len(docs)))
+    for i in range(len(docs)):
+        for j in np.flatnonzero(np.bitwise_count(fps ^ fps[i]) <= 3):
+            a, b = label[i], label[j]
+            label = [min(a, b) if x in (a, b) else x for x in label]
+    least = {g: min((d for (d, _), x in zip(docs, label) if x == g and d is not None), default=None) for g in label}
+    expected = Counter((d, f"{int(f):016x}", least[g]) for (d, _), f, g in zip(docs, fps, label))
+    got = rows_of(QUERIES["op2_simhash"](spark, root), "doc_id", "fingerprint", "component_id")
+    assert Counter(got) == expected
+    kept = simhash.keep_one_of_each(spark.read.parquet(f"{root}/documents.parquet"))
+    assert kept.columns == spark.read.parquet(f"{root}/documents.parquet").columns
+    assert kept.count() == len(set(label))
+
+
+def test_simhash_links_across_crowded_tiles(spark):
+    rng = np.random.default_rng(1)
+    base = int(rng.integers(0, 1 << 62))
+    fps = {base ^ (1 << int(a)) ^ (1 << int(b)) for a, b in rng.integers(0, 62, (400, 2))}
+    fps |= {int(x) for x in rng.integers(-(1 << 62), 1 << 62, 300)}
+    fps = sorted(fps)
+    df = spark.createDataFrame([(f,) for f in fps], "fp long")
+    edges = simhash.links(df, tile_rows=8)
+    got = dict(rows_of(components(edges), "node", "root"))
+    arr = np.array(fps, np.int64).view(np.uint64)
+    root = {f: f for f in fps}
+    for i, f in enumerate(fps):
+        for j in np.flatnonzero(np.bitwise_count(arr ^ arr[i]) <= 3):
+            a, b = root[f], root[fps[j]]
+            if a != b:
+                root = {k: min(a, b) if v in (a, b) else v for k, v in root.items()}
+    assert {f: got.get(f, f) for f in fps} == root
+    assert edges.count() < 20 * len(fps)
+
+
+def test_components_of_a_long_path(spark):
+    edges = spark.range(200).select((F.col("id") * 7 % 201).alias("u"), ((F.col("id") + 1) * 7 % 201).alias("v"))
+    assert {r for _, r in rows_of(components(edges), "node", "root")} == {0}
+    assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_exact_dedup_matches_brute_force(spark, root):
+    docs = [(d, hashlib.sha256(lower_az(t).encode()).hexdigest()) for d, t in table(spark, root)]
+    size = Counter(h for _, h in docs)
+    keep = {h: max((d for d, x in docs if x == h and d is not None), default=None) for h in size}
+    got = QUERIES["op6_exact_dedup"](spark, root)
+    rows = rows_of(got, "doc_id", "keep_id", "group_size", "text_sha256")
+    assert Counter(rows) == Counter((d, keep[h], size[h], h) for d, h in docs)
+    kept = rows_of(got.filter("kept"), "text_sha256", "doc_id")
+    assert sorted(h for h, _ in kept) == sorted(size) and all(d == keep[h] for h, d in kept)
+    docs_df = spark.read.parquet(f"{root}/documents.parquet")
+    once = xd.keep_first_copies(docs_df)
+    assert once.columns == docs_df.columns and once.count() == len(size)
+
+
+@pytest.mark.parametrize("history", ["false", "true", "doc_id < 100"])
+def test_exact_dedup_does_not_depend_on_the_split(spark, history):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    a = rows_of(xd.exact_dedup(docs, F.expr(history)), "doc_id", "keep_id", "group_size", "kept")
+    b = rows_of(QUERIES["op6_exact_dedup"](spark, SF_SMALL), "doc_id", "keep_id", "group_size", "kept")
+    assert sorted(a) == sorted(b)
+
+
+def test_minimal_perfect_hash():
+    rng = np.random.default_rng(3)
+    keys = rng.integers(0, 1 << 63, (5000, 2)).astype(np.uint64)
+    for built in (xd.MinimalPerfectHash.build(keys), xd.MinimalPerfectHash.build(keys, max_levels=2)):
+        mph = xd.MinimalPerfectHash.load(built.dump())
+        assert sorted(mph.slots(keys)) == list(range(5000))
+        assert (mph.slots(rng.integers(0, 1 << 63, (1000, 2)).astype(np.uint64)) < 5000).all()
+    assert len(xd.MinimalPerfectHash.build(keys[:0]).slots(keys[:3])) == 3
+
+
+# The base patterns as the contract states them
+ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
+
+
+def base_spans(text):
+    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    return [(("assign", "access", "hex")[k], a, b) for a, k, b in sorted(found)]
+
+
+def test_secret_base_matches_brute_force(spark, root):
+    expected = Counter()
+    for d, t in table(spark, root):
+        spans = base_spans(t or "")
+        text = ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+        n = Counter(k for k, _, _ in spans)
+        expected[d, n["assign"], n["access"], n["hex"], hashlib.sha256(text.encode()).hexdigest()] += 1
+    got = QUERIES["op3_secret_scan"](spark, root)
+    assert Counter(rows_of(got, "doc_id", "n_assign", "n_access", "n_hex", "base_sha256")) == expected
+
+
+SECRET = 'api_key = "abcd1234EFGH"'
+B64 = base64.b64encode(SECRET.encode()).decode()
+
+
+@pytest.mark.parametrize("wrapped", [
+    B64, base64.b64encode(B64.encode()).decode(), base64.b64encode(gzip.compress(SECRET.encode())).decode(),
+    base64.urlsafe_b64encode(zlib.compress(B64.encode())).decode(), urllib.parse.quote(SECRET, safe=""),
+    "".join(f"%{c:02X}" for c in urllib.parse.quote(SECRET, safe="").encode()),
+    "".join(f"\\u{ord(c):04x}" for c in SECRET), "".join(f"&#{ord(c)};" for c in SECRET),
+    base64.b64encode(gzip.compress(gzip.compress(SECRET.encode()))).decode(),
+])
+def test_secrets_in_layers_are_mapped_to_the_original(wrapped):
+    text = f"é🙂 see {wrapped} here"
+    spans, refused = secrets.find_secrets(text)
+    at = text.index(wrapped)
+    assert refused == 0 and spans
+    assert all(at <= a < b <= at + len(wrapped) and kind == "assign" and depth > 0 for kind, a, b, depth in spans)
+
+
+def test_secret_worklist_ends_and_counts_refusals(monkeypatch):
+    assert secrets.find_secrets("%2525252525252525") == ([], 0)
+    assert secrets.find_secrets("\\ud83d\\ude00 &#0; %ff%fe \\U0011ffff") == ([], 0)
+    monkeypatch.setattr(secrets, "MAX_LAYER", 1000)
+    bomb = base64.b64encode(gzip.compress(b"a" * 100_000)).decode()
+    assert secrets.find_secrets(bomb)[1] > 0
+    escaped = "pass\\u0077ord=" + "Ab12" * 4
+    assert [s[:3] for s in secrets.find_secrets(escaped)[0]] == [("assign", 0, len(escaped))]
+
+
+def test_language_id(spark, root):
+    got = {(d, h, p) for d, h, p, s in rows_of(QUERIES["op10_language_id"](spark, root), "doc_id", "held_out", "lang_pred",
+                                               "score") if 0 <= s <= 1}
+    docs = rows_of(spark.read.parquet(f"{root}/documents.parquet"), "doc_id", "text", "lang")
+    assert {d for d, _, _ in got} == {d for d, _, _ in docs}
+    for d, t, _ in docs:
+        if not any(c.isalpha() for c in t or "") and d is not None:
+            assert [p for x, _, p in got if x == d] == ["und"]
+    if root == SF_SMALL:
+        lang = {d: x for d, _, x in docs}
+        held = [(p, lang[d]) for d, h, p in got if h]
+        assert len(held) > 20 and np.mean([a == b for a, b in held]) > 0.95
+        assert all(h == (zlib.crc32(str(d).encode()) % 4 == 2) for d, h, _ in got)
+    kept = langid.keep_identified(spark.read.parquet(f"{root}/documents.parquet"))
+    assert kept.columns == spark.read.parquet(f"{root}/documents.parquet").columns
+
+
+def test_language_filter_has_no_false_negatives(spark):
+    rows = [(f"l{i}", f"text number {i} " + chr(97 + i % 26) * 8) for i in range(70)]
+    model = langid.train(spark.createDataFrame(rows, "lang string, text string"))
+    assert len(model["langs"]) == 70 and len(model["masks"]) == 2
+    best, score = langid.identify([t for _, t in rows], model)
+    assert (score > 0.99).all()
+    long_text = rows[3][1] * 300_000                                   # cut into pieces, n-grams across cuts kept
+    assert langid.identify([long_text], model)[1][0] > 0.5
+
+
+def test_quality_scores(spark, root):
+    got = rows_of(QUERIES["op9_quality"](spark, root), "doc_id", "held_out", "score", "predicted")
+    docs = table(spark, root)
+    assert Counter(d for d, *_ in got) == Counter(d for d, _ in docs)
+    assert all(0 <= s <= 1 and p == (s >= 0.3) for _, _, s, p in got)
+    assert all(h == (d is not None and zlib.crc32(str(d).encode()) % 5 == 0) for d, h, _, _ in got)
+
+
+def test_quality_held_out(spark):
+    root = "/root/testdata/sf0.01"
+    score = {d: s for d, h, s in rows_of(QUERIES["op9_quality"](spark, root), "doc_id", "held_out", "score") if h}
+    labels = rows_of(spark.read.parquet(f"{root}/labels.parquet"), "doc_id", "quality")
+    good, bad = ([score[d] for d, q in labels if d in score and q == v] for v in (1, 0))
+    assert np.mean([[g > b for b in bad] for g in good]) > 0.97
+
+
+def test_dual_coordinate_descent_separates():
+    rng = np.random.default_rng(0)
+    rows = [np.sort(rng.choice(50, 8, replace=False)) + (0 if i % 2 else 40) for i in range(300)]
+    y = np.array([i % 2 for i in range(300)])
+    model = quality.fit(rows, y)
+    assert (((quality.margins(rows, model) > 0) == (y == 1)).mean()) > 0.97
+    one_class = quality.fit(rows, np.ones(300, int))
+    assert one_class["slope"] == 0 and one_class["offset"] > 0
