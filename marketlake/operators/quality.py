@@ -11,9 +11,11 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from marketlake.functions.scalar import is_valid_number, safe_div
 from marketlake.operators.scan import index_series
+from marketlake.session import scratch_path
 
 
 class QualityError(ValueError):
@@ -27,11 +29,8 @@ def _slot(df: DataFrame, time: str, unit: str):
     return slot
 
 
-# Most tasks used to expand the DQ-1 grid.
-GRID_MAX_TASKS = 1024
-
 # Chunk used to spread grid generation over tasks, per slot unit.
-_GRID_CHUNK = {"second": "HOUR", "minute": "DAY", "hour": "DAY", "day": None}
+_GRID_CHUNK = {"second": "HOUR", "minute": "DAY", "hour": "DAY", "day": "YEAR", "month": "YEAR"}
 
 
 def _slot_grid(spark, bounds: DataFrame, symbols: list[str], unit: str) -> DataFrame:
@@ -49,10 +48,7 @@ def _slot_grid(spark, bounds: DataFrame, symbols: list[str], unit: str) -> DataF
     chunk = _GRID_CHUNK.get(unit)
     if chunk is None:
         return syms.select("symbol", F.explode(F.sequence("lo", "hi", step)).alias("slot"))
-    # Tasks that expand the chunks: the shuffle width, but not the tens of
-    # thousands a 100 TB job uses for its data shuffles (the grid has only
-    # #symbols x #chunks rows; 1024 tasks expand even second slots quickly).
-    width = min(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), GRID_MAX_TASKS)
+    width = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     cstep = F.expr(f"INTERVAL 1 {chunk}")
     chunks = syms.select("symbol", "lo", "hi",
                          F.explode(F.sequence(F.date_trunc(chunk, "lo"), "hi", cstep)).alias("_c"))
@@ -70,7 +66,9 @@ def missing_partitions(present: DataFrame, symbols: Iterable[str], time: str = "
     """DQ-1: (symbol, slot) pairs expected but absent.
 
     Expected = every listed symbol for every ``unit`` slot from ``start`` to
-    ``end`` (both default to the first / last slot present).  The grid is
+    ``end`` (both default to the first / last slot present).  The listed
+    symbols and the given bounds filter the input, so a check of one hour
+    reads one hour; the input is read once.  The grid is
     generated from the parameters (``explode`` of a list and a ``sequence``),
     so its size is #symbols x #slots and independent of the row count; the
     present side is reduced to distinct (symbol, slot) with a map-side
@@ -79,13 +77,26 @@ def missing_partitions(present: DataFrame, symbols: Iterable[str], time: str = "
     symbols = list(symbols)
     if not symbols:
         raise ValueError("symbols must not be empty")
-    slot = _slot(present, time, unit)
-    seen = present.select(F.col(symbol_col).alias("symbol"), slot.alias("slot")).distinct()
-    lo = F.lit(start) if start is not None else F.min("slot")
-    hi = F.lit(end) if end is not None else F.max("slot")
-    bounds = seen.agg(lo.alias("lo"), hi.alias("hi"))
-    grid = _slot_grid(present.sparkSession, bounds, symbols, unit)
-    missing = grid.join(seen, on=["symbol", "slot"], how="left_anti")
+    kind, spark = dict(present.dtypes)[time], present.sparkSession
+    t = F.col(time)
+    if start is not None:
+        present = present.filter(t >= F.date_trunc(unit, F.lit(start)).cast(kind))
+    if end is not None:
+        present = present.filter(t < (F.date_trunc(unit, F.lit(end)) + F.expr(f"INTERVAL 1 {unit.upper()}")).cast(kind))
+    # the bounds take every symbol's slots, the comparison only the listed ones'
+    seen = present.select(F.col(symbol_col).alias("symbol"), _slot(present, time, unit).alias("slot")).distinct()
+    if start is not None and end is not None:
+        bounds = spark.range(1).select(*[F.date_trunc(unit, F.lit(x)).cast(dict(seen.dtypes)["slot"]).alias(n)
+                                         for x, n in ((start, "lo"), (end, "hi"))])
+    else:
+        path = scratch_path(spark, "seen-slots")
+        seen.write.parquet(path)
+        seen = spark.read.parquet(path)
+        lo = F.date_trunc(unit, F.lit(start)).cast(dict(seen.dtypes)["slot"]) if start is not None else F.min("slot")
+        hi = F.date_trunc(unit, F.lit(end)).cast(dict(seen.dtypes)["slot"]) if end is not None else F.max("slot")
+        bounds = seen.agg(lo.alias("lo"), hi.alias("hi"))
+    grid = _slot_grid(spark, bounds, symbols, unit)
+    missing = grid.join(seen.filter(F.col("symbol").isin(symbols)), on=["symbol", "slot"], how="left_anti")
     if strict and not missing.isEmpty():
         raise QualityError("missing partitions found")
     return missing
@@ -107,10 +118,12 @@ def layer_presence(tables: Mapping[str, DataFrame], strict: bool = False,
     report = parts[0]
     for p in parts[1:]:
         report = report.unionByName(p)
-    if strict:
-        empty = report.filter(~F.col("present")).limit(1).collect()
+    if strict:                                       # one probe per table: the report keeps the result
+        rows = report.collect()
+        report = report.sparkSession.createDataFrame(rows, report.schema)
+        empty = [r["table"] for r in rows if not r["present"]]
         if empty:
-            raise QualityError(f"layer missing or empty: {empty[0]['table']}")
+            raise QualityError(f"layer missing or empty: {empty[0]}")
     return report
 
 
@@ -163,13 +176,16 @@ def rule_counts(df: DataFrame, keys: Iterable[str], price: str, latest: str | No
 
 
 def ingest_totals(log: DataFrame, cycle: str = "cycle", ok: str = "ok",
-                  granule: str | int = "month") -> DataFrame:
+                  granule: str | int | None = None) -> DataFrame:
     """DQ-5: per cycle passed/total, and running ok / fail / success %.
 
     The running totals use the two-level prefix scan of ``index_series`` over
-    the per-cycle rows (granule = month for date cycles, or a number of cycles
-    for numeric cycles), so no single task receives every cycle.
+    the per-cycle rows, so no single task receives every cycle.  ``granule``
+    is a time unit or a number of cycles; by default a month, or 4096 cycles
+    where the cycle column is a number.
     """
+    if granule is None:
+        granule = 4096 if isinstance(log.schema[cycle].dataType, NumericType) else "month"
     per = log.groupBy(cycle).agg(
         F.count_if(F.col(ok)).alias("passed"),
         F.count(F.lit(1)).alias("total"),

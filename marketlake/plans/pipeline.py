@@ -2,17 +2,16 @@
 
 Flow (one JSON parse in total):
 
-1. Bronze JSON is read once with the fixed schema; damaged documents go to
-   the quarantine with their file path, the rest is staged as Parquet under
-   the checkpoint root.  Every later read is a pruned columnar scan of the
-   staged table, and the lineage back to the JSON files is cut there.
-2. Silver ``tickers`` and one candle table per interval (1m, 5m, 1h) with
-   indicators are written.  Candle tables have the layout of the streaming
-   upsert (partitioned by symbol and date, positions and running VWAP sums
-   kept): a full run rebuilds them, a dated run merges its day into them and
-   re-does only the days from there on.
-3. Gold is built from the Silver tickers just written (not recomputed from
-   Bronze), and checked for presence together with the Silver tables.
+1. Bronze JSON of the chosen day and assets is read once with the fixed
+   schema; damaged documents go to the quarantine with their file path, and
+   the columns that Silver needs are staged as Parquet under the checkpoint
+   root.  The lineage back to the JSON files is cut there.
+2. The Bronze gate: every expected symbol must have landed.
+3. Silver ``tickers``, Gold and one candle table per interval (1m, 5m, 1h) are
+   rebuilt by a full run.  A run for a day or for some assets merges its rows
+   into the days they belong to -- by event time: a snapshot taken just before
+   midnight lands in the next day's folder -- and touches nothing else.
+4. The tables are checked for presence, and the staging copy is deleted.
 """
 
 from __future__ import annotations
@@ -20,131 +19,80 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.operators.bronze import select_assets
-from marketlake.operators.gold import build_gold_daily
 from marketlake.operators.indicators import DEFAULT_BUCKET_ROWS
-from marketlake.operators.clean import dedup_latest, drop_invalid, keep_positive
-from marketlake.operators.quality import table_presence
-from marketlake.operators.silver import TICKER_VALUE_COLUMNS, project_ticker
+from marketlake.operators.quality import missing_partitions, table_presence
 from marketlake.paths import Paths
-from marketlake.schemas import KLINE_ARRAYS, SILVER_TICKERS
-from marketlake.session import ensure_utc, scratch_path
-from marketlake.sinks import write_gold, write_silver
-from marketlake.sources import read_bronze, read_stored, split_corrupt
+from marketlake.plans.tickers import GOLD_TABLE, merge_tickers
+from marketlake.schemas import CORRUPT, GOLD_DAILY, KLINE_ARRAYS
+from marketlake.session import delete_path, ensure_utc, scratch_path
+from marketlake.sinks import publish_table
+from marketlake.sources import read_bronze, read_layer, split_corrupt
 from marketlake.streaming.candle_upsert import upsert_candles
 
-GOLD_TABLE = "daily_summary"
-# Row counts observed after each ticker rule (DQ-4), in rule order.
-TICKER_STEPS = ("input", "valid", "unique", "output")
-
 
 def stage_bronze(spark: SparkSession, paths: Paths, date=None, assets: Iterable[str] | None = None,
-                 layout: str = "exchange") -> tuple[DataFrame, str]:
+                 layout: str = "exchange", intervals: Sequence[str] = tuple(KLINE_ARRAYS)) -> tuple[DataFrame, str]:
     """Parse Bronze once: quarantine the damaged documents, stage the rest as
     Parquet.  Returns (staged DataFrame, staging path)."""
-    raw = read_bronze(spark, paths.bronze, date=date, layout=layout,
-                      multiline=(layout == "exchange"))
+    assets = None if assets is None else list(assets)
+    raw = read_bronze(spark, paths.bronze, date=date, layout=layout, multiline=(layout == "exchange"),
+                      assets=assets if layout == "exchange" else None)
     staged_path = scratch_path(spark, "bronze-staged")
-    (raw.write.mode("overwrite").parquet(staged_path))
-    staged = spark.read.parquet(staged_path)
-    good, bad = split_corrupt(staged)
+    raw = raw.select("_file", "metadata", "ticker", *intervals, CORRUPT)
+    raw.write.parquet(staged_path)
+    good, bad = split_corrupt(spark.read.schema(raw.schema).parquet(staged_path))
     bad.write.mode("append").json(paths.quarantine)
     return select_assets(good, assets), staged_path
 
 
+def bronze_gate(good: DataFrame, expected: Iterable[str], date=None, strict: bool = True) -> DataFrame:
+    """DQ-1 before the ETL: (symbol, slot) of expected symbols without a document that day."""
+    at = F.try_to_timestamp("metadata.ingested_at")
+    present = good.select(F.col("metadata.symbol").alias("symbol"), at.alias("ingested_at"))
+    if date is not None:
+        date = date if isinstance(date, _dt.date) else _dt.date.fromisoformat(str(date).replace("/", "-"))
+        date = _dt.datetime(date.year, date.month, date.day)
+    return missing_partitions(present, expected, unit="day", start=date, end=date, strict=strict)
+
+
 def run_batch(spark: SparkSession, paths: Paths, date: str | _dt.date | None = None,
               strict: bool = True, intervals: Sequence[str] = tuple(KLINE_ARRAYS),
               assets: Iterable[str] | None = None, bucket_rows: int = DEFAULT_BUCKET_ROWS,
-              layout: str = "exchange", now: _dt.datetime | None = None) -> dict[str, DataFrame]:
+              layout: str = "exchange", now: _dt.datetime | None = None,
+              expected: Iterable[str] | None = None, publish: dict | None = None) -> dict[str, DataFrame]:
     """Run the whole batch ETL; returns the quality reports.
 
-    ``date`` limits the Bronze read to one day; tickers and Gold are then
-    replaced for that day only (dynamic partition overwrite on
-    ``symbol``/``date``), and that day's candles are merged into the candle
-    tables: the cumulative VWAP and look-back windows continue from the
-    stored rows before it, and later stored days are re-done.  Candles with a
-    NULL ``open_time`` have no day and are not stored.
+    Without ``date`` and ``assets`` every table is rebuilt, and partitions that
+    Bronze no longer holds go.  ``date`` limits the Bronze read to that day's
+    landing folders, ``assets`` to these assets' folders; the rows found are
+    merged, so other days and assets stay as they are.  Candles with a NULL
+    ``open_time`` have no day and are not stored.
+
+    ``expected`` symbols are checked first (DQ-1; a missing one fails a strict
+    run before anything is written); ``publish`` holds ``publish_table``
+    options for Gold.
     """
     ensure_utc(spark)
-    good, _ = stage_bronze(spark, paths, date=date, assets=assets, layout=layout)
-
-    tick_path = paths.silver_table("tickers")
-    tickers, observations = observed_tickers(good)
-    write_silver(tickers, tick_path, partition_by=("symbol", "date"), dynamic=True)
-    rule_report = _observed_counts(observations, good)
-
-    tables = {"tickers": tick_path}
+    rebuild = date is None and assets is None
+    good, staged_path = stage_bronze(spark, paths, date, assets, layout, intervals)
+    reports = {}
+    if expected is not None:
+        missing = bronze_gate(good, expected, date, strict)
+        reports["bronze_missing"] = spark.createDataFrame(missing.collect(), missing.schema)
+    counts = merge_tickers(spark, good, paths, replace=rebuild, now=now)
+    tables = {"tickers": paths.silver_table("tickers")}
     for array_name in intervals:
         label = KLINE_ARRAYS[array_name]
-        path = paths.silver_table(f"klines_{label}")
-        upsert_candles(spark, good, path, array_name, bucket_rows=bucket_rows,
-                       replace=date is None)
-        tables[f"klines_{label}"] = path
-
-    # no ticker at all (every fetch failed) leaves no data file to read
-    silver_tickers = read_stored(spark, tick_path) or spark.createDataFrame([], SILVER_TICKERS)
-    gold_path = paths.gold_table(GOLD_TABLE)
-    if date is None:
-        write_gold(build_gold_daily(silver_tickers, now=now), gold_path,
-                   partition_by=("symbol",), dynamic=False)
-    else:
-        # Gold is one row per symbol and day, partitioned by symbol: merge the
-        # new day into the existing rows through a staging copy (never
-        # overwrite a path the same plan reads), then replace the symbols.
-        d = date if isinstance(date, _dt.date) else _dt.date.fromisoformat(str(date).replace("/", "-"))
-        fresh = build_gold_daily(silver_tickers.filter(F.col("date") == F.lit(d)), now=now)
-        old = read_stored(spark, gold_path)
-        if old is not None:
-            old = old.filter(~F.col("date").eqNullSafe(F.lit(d)))
-            fresh = old.unionByName(fresh.select(*old.columns))
-        staging = scratch_path(spark, "gold-merge")
-        fresh.write.parquet(staging)
-        write_gold(spark.read.parquet(staging), gold_path, partition_by=("symbol",), dynamic=True)
-    tables[GOLD_TABLE] = gold_path
+        tables[f"klines_{label}"] = paths.silver_table(f"klines_{label}")
+        upsert_candles(spark, good, tables[f"klines_{label}"], array_name, bucket_rows, replace=rebuild)
+    tables[GOLD_TABLE] = paths.gold_table(GOLD_TABLE)
+    delete_path(spark, staged_path)
 
+    if publish is not None:
+        publish_table(read_layer(spark, tables[GOLD_TABLE], GOLD_DAILY), **publish)
     presence = table_presence(spark, tables, strict=strict)
-    rules = spark.createDataFrame([rule_report])
-    return {"presence": presence, "ticker_rules": rules}
-
-
-def _observed_counts(observations: list[Observation], good: DataFrame) -> dict[str, int]:
-    """The DQ-4 counts gathered during the write.  When a stage produces no
-    rows, AQE replaces the plan above it with an empty relation and every
-    ``observe`` node in it reports nothing; only then are those steps counted
-    with separate jobs (the rules produced no rows, so little is left to
-    count)."""
-    from py4j.protocol import Py4JJavaError
-    counts: dict[str, int] = {}
-    frames = None
-    for i, (step, o) in enumerate(zip(TICKER_STEPS, observations)):
-        try:
-            counts.update(o.get)
-        except Py4JJavaError:
-            frames = frames or _ticker_steps(good)
-            counts[f"n_{step}"] = frames[i].count()
-    return counts
-
-
-def _ticker_steps(good: DataFrame) -> list[DataFrame]:
-    """The Silver ticker rules, one DataFrame per step of ``TICKER_STEPS``."""
-    projected = project_ticker(good)
-    valid = drop_invalid(projected, ["symbol", "last_price"])
-    unique = dedup_latest(valid, ["symbol", "ingested_at"], None,
-                          tiebreak=["name", "asset_class", *TICKER_VALUE_COLUMNS])
-    return [projected, valid, unique, keep_positive(unique, "last_price")]
-
-
-def observed_tickers(good: DataFrame) -> tuple[DataFrame, list[Observation]]:
-    """Silver tickers with DQ-4 row counts gathered during the same pass
-    (``observe`` metrics are filled when the write runs; no extra job)."""
-    obs = [Observation(f"ticker_{n}") for n in TICKER_STEPS]
-    df = project_ticker(good).observe(obs[0], F.count(F.lit(1)).alias("n_input"))
-    df = drop_invalid(df, ["symbol", "last_price"]).observe(obs[1], F.count(F.lit(1)).alias("n_valid"))
-    df = dedup_latest(df, ["symbol", "ingested_at"], None,
-                      tiebreak=["name", "asset_class", *TICKER_VALUE_COLUMNS])
-    df = df.observe(obs[2], F.count(F.lit(1)).alias("n_unique"))
-    df = keep_positive(df, "last_price").observe(obs[3], F.count(F.lit(1)).alias("n_output"))
-    return df, obs
+    return {**reports, "presence": presence, "ticker_rules": spark.createDataFrame([counts])}

@@ -59,11 +59,6 @@ BRONZE = T.StructType([
     T.StructField(CORRUPT, T.StringType()),
 ])
 
-BRONZE_DDL_NO_CORRUPT = T.StructType([f for f in BRONZE.fields if f.name != CORRUPT])
-
-# Raw positional candle as the exchange returns it: 12 values per candle.
-POSITIONAL_KLINES = T.ArrayType(T.ArrayType(T.StringType()))
-
 TICK = T.StructType([
     T.StructField("symbol", T.StringType()),
     T.StructField("price", T.StringType()),
@@ -104,6 +99,23 @@ SILVER_KLINES = T.StructType([
     T.StructField("interval", T.StringType()),
 ] + [T.StructField(c, T.DoubleType()) for c in INDICATOR_COLUMNS])
 
+# Stored candle tables: the Silver columns, their day, and what a later batch continues from.
+CANDLE_TABLE = T.StructType(SILVER_KLINES.fields + [
+    T.StructField("_i", T.LongType()),
+    T.StructField("_cum_pv", T.DoubleType()),
+    T.StructField("_cum_v", T.DoubleType()),
+    T.StructField("date", T.DateType()),
+])
+
+# One row per series and day of a candle table: the positions it holds.
+CANDLE_DAYS = T.StructType([
+    T.StructField("symbol", T.StringType()),
+    T.StructField("interval", T.StringType()),
+    T.StructField("date", T.DateType()),
+    T.StructField("first_i", T.LongType()),
+    T.StructField("last_i", T.LongType()),
+])
+
 GOLD_DAILY = T.StructType([
     T.StructField("symbol", T.StringType()),
     T.StructField("name", T.StringType()),

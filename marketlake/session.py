@@ -76,24 +76,19 @@ def ensure_utc(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set (a shared file system / object store path).
-    Only when it is unset -- tests and local runs -- a folder is created here
-    and registered as the checkpoint dir.
+    On a cluster it must be set (a shared file system or object store): a
+    local folder would leave each executor's part of a table on its own disk.
+    Only a ``local`` master without it -- tests, trials -- gets a folder made
+    here and registered as the checkpoint dir.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        try:
-            root = spark.sparkContext.getCheckpointDir()
-        except Exception:  # no SparkContext handle (remote session)
-            root = None
+        root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="marketlake-ckpt-")
-        for setter in (lambda: spark.sparkContext.setCheckpointDir(root),
-                       lambda: spark.conf.set("spark.checkpoint.dir", root)):
-            try:
-                setter()
-            except Exception:  # core confs may be read-only at run time
-                pass
+        spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
@@ -102,9 +97,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so plain-Python helpers can use the path."""
-    return path[5:] if path.startswith("file:") else path
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder through Hadoop's file system, if it is there."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -124,4 +120,4 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 __all__ = ["build_session", "ensure_utc", "checkpoint_root", "scratch_path", "path_exists",
-           "local_path", "sizing_conf"]
+           "delete_path", "sizing_conf"]

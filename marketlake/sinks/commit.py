@@ -1,0 +1,87 @@
+"""Crash-safe replacement of partitions of a stored Parquet table.
+
+A change is first staged as a whole (``{staging}/rows``, the partitions that
+come out empty, and any side tables), then announced by a ``pending`` record,
+then applied, then the record and the staging copy go.  Every step of
+``apply`` can be repeated, so a run that died anywhere is finished by
+``recover`` before the next one reads the table: without a complete record
+nothing was applied; with one, the same staged change is applied again.
+
+Side tables and the record live in the hidden folder ``_{table}`` next to the
+table, out of the reach of an overwrite of the table itself.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from marketlake.session import delete_path, path_exists
+
+EMPTIED = "emptied"
+
+
+def side_path(path: str, name: str) -> str:
+    parent, _, table = path.rstrip("/").rpartition("/")
+    return f"{parent}/_{table}/{name}"
+
+
+def overwrite(df: DataFrame, path: str, partition_by: Sequence[str], replace: bool) -> None:
+    """Replace all of the table, or only the partitions that ``df`` has rows of."""
+    (df.hint("rebalance", *partition_by).write.mode("overwrite")
+     .option("partitionOverwriteMode", "static" if replace else "dynamic")
+     .partitionBy(*partition_by).parquet(path))
+
+
+def commit(spark: SparkSession, path: str, staging: str, partition_by: Sequence[str],
+           replace: bool = False, sides: Sequence[str] = ()) -> None:
+    """Apply what is staged under ``staging`` to the table at ``path``."""
+    announce(spark, path, staging, partition_by, replace, sides)
+    recover(spark, path)
+
+
+def announce(spark: SparkSession, path: str, staging: str, partition_by: Sequence[str],
+             replace: bool, sides: Sequence[str]) -> None:
+    record = spark.createDataFrame([(staging, replace, list(partition_by), list(sides))],
+                                   "staging string, replace boolean, partition_by array<string>, sides array<string>")
+    record.coalesce(1).write.mode("overwrite").parquet(side_path(path, "pending"))
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish an announced change, if there is one."""
+    pending = side_path(path, "pending")
+    if not path_exists(spark, pending):
+        return
+    if path_exists(spark, f"{pending}/_SUCCESS"):
+        change = spark.read.parquet(pending).first()
+        apply(spark, path, change["staging"], change["partition_by"], change["replace"], change["sides"])
+        delete_path(spark, pending)
+        delete_path(spark, change["staging"])
+    else:
+        delete_path(spark, pending)
+
+
+def apply(spark: SparkSession, path: str, staging: str, partition_by: Sequence[str], replace: bool,
+          sides: Sequence[str]) -> None:
+    overwrite(spark.read.parquet(f"{staging}/rows"), path, partition_by, replace)
+    if not replace and path_exists(spark, f"{staging}/{EMPTIED}"):
+        drop_partitions(spark, path, spark.read.parquet(f"{staging}/{EMPTIED}"))
+    for name in sides:
+        spark.read.parquet(f"{staging}/{name}").write.mode("overwrite").parquet(side_path(path, name))
+
+
+def drop_partitions(spark: SparkSession, path: str, gone: DataFrame) -> None:
+    """Delete the partitions whose values are the rows of ``gone`` (a change's emptied ones)."""
+    if gone.isEmpty():
+        return
+    stored = spark.read.schema(gone.schema).parquet(path)
+    gone = gone.select([F.col(c).alias(f"_{c}") for c in gone.columns])
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in stored.columns])
+    folders = (stored.withColumn("_dir", F.regexp_replace("_metadata.file_path", "/[^/]*$", ""))
+               .join(gone, same, "left_semi").select("_dir").distinct())
+    for row in folders.toLocalIterator():
+        delete_path(spark, row["_dir"])

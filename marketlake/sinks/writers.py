@@ -72,7 +72,8 @@ def publish_table(df: DataFrame, table: str = "market.crypto_daily", url: str |
             opts["user"] = user
         if not _blank(password):
             opts["password"] = password
-        df.write.format("jdbc").options(**opts).mode(mode).save()
+        # keep the target's definition and grants: empty it, do not drop it
+        df.write.format("jdbc").options(**opts, truncate="true", batchsize="10000").mode(mode).save()
         return "jdbc"
     spark = df.sparkSession
     if "." in table:

@@ -23,23 +23,30 @@ def _as_list(paths: str | Sequence[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def _date_glob(root: str, date) -> str:
+def _roots(root: str, date, assets) -> list[str]:
+    names = sorted(assets) if assets is not None else ["*"]
+    return [_date_glob(root, date, n) if date is not None else f"{root.rstrip('/')}/{n}" for n in names]
+
+
+def _date_glob(root: str, date, name: str) -> str:
     if isinstance(date, str):
         date = _dt.date.fromisoformat(date.replace("/", "-"))
     # down to the hour folders: #assets x 24 root paths, which is above
     # Spark's parallel-listing threshold, so the listing runs on executors
-    return f"{root.rstrip('/')}/*/{date:%Y}/{date:%m}/{date:%d}/*"
+    return f"{root.rstrip('/')}/{name}/{date:%Y}/{date:%m}/{date:%d}/*"
 
 
 def read_bronze(spark: SparkSession, paths: str | Sequence[str], date=None,
-                multiline: bool = True, layout: str = "exchange") -> DataFrame:
+                multiline: bool = True, layout: str = "exchange",
+                assets: Sequence[str] | None = None) -> DataFrame:
     """SRC-1/3/5: Bronze envelopes, one row per document, plus ``_file``.
 
     * ``layout="exchange"``: ``{name}/YYYY/MM/DD/HH/`` folders, one
       pretty-printed document per file (``multiline``), read recursively;
       ``date`` (date or ``YYYY-MM-DD``/``YYYY/MM/DD``) narrows the listing to
-      that day's folders; ``name, year, month, day, hour`` are parsed from the
-      path.
+      that day's folders; ``path_name, year, month, day, path_hour`` are parsed
+      from the path (the landing time, not the event time).  ``assets`` narrows
+      the listing to these names' folders.
     * ``layout="hive"``: the ``name=/date=/hour=`` layout of ``write_bronze``
       (NDJSON); ``date`` becomes a partition filter.
     """
@@ -48,8 +55,8 @@ def read_bronze(spark: SparkSession, paths: str | Sequence[str], date=None,
               .option("columnNameOfCorruptRecord", CORRUPT))
     roots = _as_list(paths)
     if layout == "exchange":
-        if date is not None:
-            roots = [_date_glob(r, date) for r in roots]
+        if date is not None or assets is not None:
+            roots = [g for r in roots for g in _roots(r, date, assets)]
         df = (reader.option("multiline", multiline).option("recursiveFileLookup", True)
               .json(roots))
         df = df.withColumn("_file", F.col("_metadata.file_path"))

@@ -4,27 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from marketlake.operators.clean import select_symbols
 from marketlake.session import path_exists
 
 
-def read_layer(spark: SparkSession, path: str, symbols: Iterable[str] | None = None) -> DataFrame:
-    """A Silver or Gold table; ``symbols`` prunes ``symbol=`` partitions at the scan."""
-    return select_symbols(spark.read.parquet(path), symbols)
+def read_layer(spark: SparkSession, path: str, schema: StructType,
+               symbols: Iterable[str] | None = None) -> DataFrame:
+    """A Silver or Gold table with its fixed schema; ``symbols`` prunes ``symbol=`` partitions.
 
+    The schema also types the partition columns (symbol ``"007"`` stays text),
+    and a table without rows reads as an empty one.
+    """
+    return select_symbols(spark.read.schema(schema).parquet(path), symbols)
 
-def read_stored(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
-    """A stored table, or None when the path does not exist or holds no data
-    file -- a table written from no rows (partitioned, so not even a schema
-    file) cannot be read, and counts as having no rows yet."""
-    if not path_exists(spark, path):
-        return None
-    try:
-        return spark.read.format(fmt).load(path)
-    except AnalysisException as e:
-        if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":
-            return None
-        raise
+
+def read_stored(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
+    """A stored table, or None when its path does not exist."""
+    return read_layer(spark, path, schema) if path_exists(spark, path) else None

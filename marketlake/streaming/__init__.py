@@ -8,4 +8,4 @@ from marketlake.streaming.bronze_stream import (  # noqa: F401
     stream_bronze,
 )
 from marketlake.streaming.candle_upsert import candle_upsert_query, upsert_candles  # noqa: F401,E402
-from marketlake.streaming.pipeline import await_all, start_streams  # noqa: F401,E402
+from marketlake.streaming.pipeline import await_all, each_batch, start_streams, ticker_query  # noqa: F401,E402

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from marketlake.operators.gold import daily_metrics
 from marketlake.schemas import BRONZE, CORRUPT
 from marketlake.sources.bronze import with_path_partitions
 
@@ -98,17 +99,7 @@ def gold_daily_stream(tickers: DataFrame, watermark: str | None = "1 hour",
     t = F.col(time)
     if watermark:
         tickers = tickers.withWatermark(time, watermark)
-    agg = (tickers
-           .groupBy("symbol", "name", F.window(t, "1 day").alias("day"))
-           .agg(F.min_by("open_price", t).alias("open"),
-                F.max("high_price").alias("high"),
-                F.min("low_price").alias("low"),
-                F.max_by("last_price", t).alias("close"),
-                F.sum("volume").alias("total_volume"),
-                F.avg("vwap").alias("avg_vwap"),
-                F.sum("trade_count").alias("total_trades"),
-                F.avg("price_change_pct").alias("avg_price_change_pct"),
-                F.count(F.lit(1)).alias("snapshot_count")))
+    agg = tickers.groupBy("symbol", "name", F.window(t, "1 day").alias("day")).agg(*daily_metrics(time))
     return agg.select(
         "symbol", "name", F.to_date(F.col("day.start")).alias("date"),
         "open", "high", "low", "close", "total_volume", "avg_vwap", "total_trades",

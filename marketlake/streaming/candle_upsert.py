@@ -1,58 +1,57 @@
-"""Streaming candles with indicators (STR-5) as a micro-batch upsert.
+"""Candle tables with indicators, kept up to date batch by batch (STR-5).
 
 Row-frame windows are not allowed on a stream, and a late or corrected candle
 changes every later cumulative VWAP of its series, so candles are kept in a
-Silver table that each micro-batch updates in place:
+Silver table that each (micro-)batch updates in place:
 
-1. the batch's candles (one interval) are cleaned and reduced to the latest
-   copy per (symbol, interval, open_time);
+1. the batch's candles (one interval) are cleaned, reduced to the latest copy
+   per (symbol, interval, open_time) and staged;
 2. per series, ``lo`` = the day of its earliest new candle; stored rows from
    ``lo`` on are re-done, and the ``LOOKBACK`` stored rows before ``lo`` are the
-   context (they carry their position ``_i`` and the running VWAP sums);
-3. latest copy wins over new + re-done rows, then the positive-close rule;
-   positions, VWAP sums and SMA / Bollinger / RSI continue from the context
-   rows.  A usual micro-batch redoes a bounded number of rows per series and
-   uses one window per series; a first load, backfill or far-back correction
-   uses the two-level scan of ``index_series`` and buckets of positions, so
-   it never puts a whole series in one task;
-4. the result is staged in the checkpoint root and written back with dynamic
-   partition overwrite on (symbol, date): only touched days change.
-
-The table stores ``_i``, ``_cum_pv`` and ``_cum_v`` next to the Silver
-columns, and a one-row-per-series state table ``_series`` (last position,
-first day) in a hidden sub-folder.  The state says exactly how many context
-rows exist before ``lo``, so the context is searched in date-pruned windows
-that widen only until they are found: an ordinary batch reads a few recent
-days of its series, never the whole history.  Re-running a batch
-(``foreachBatch`` is at-least-once) gives the same table.  Candles with a
-NULL ``open_time`` cannot be placed in a day partition and are not stored.
+   context (they carry their position ``_i`` and the running VWAP sums).  The
+   day table names the (symbol, interval, day) partitions of both, so one join
+   reads them and nothing else;
+3. latest copy wins over new, re-done and removed rows, then the
+   positive-close rule; positions, VWAP sums and SMA / Bollinger / RSI continue
+   from the context through the two-level scan and buckets of positions, at
+   every size: no task holds a whole series;
+4. rows, emptied days and side tables are staged and committed together (see
+   ``marketlake.sinks.commit``): a run that died at any point is finished or
+   forgotten by the next one, and re-running a batch gives the same table.
+
+Side tables (hidden, next to the table): ``days``, one row per series and day
+with the positions it holds -- made anew from the table if it is missing --
+and ``removed``, the latest copies that the price rule took out, so that an
+older copy arriving later does not bring a candle back.  Candles with a NULL
+``open_time`` cannot be placed in a day partition and are not stored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from marketlake.functions.scalar import safe_div, typical_price
-from marketlake.operators.clean import dedup_latest, drop_invalid, keep_positive, latest_n
+from marketlake.operators.clean import dedup_latest, drop_invalid
 from marketlake.operators.indicators import (DEFAULT_BUCKET_ROWS, INDICATORS, LOOKBACK,
                                              _frame_indicators, _rsi_columns, bucket_frame)
-from marketlake.operators.scan import add_lookback_buckets, add_nullable, index_series
+from marketlake.operators.scan import add_lookback_buckets, index_series
 from marketlake.operators.silver import CANDLE_VALUE_COLUMNS, project_klines
-from marketlake.schemas import KLINE_ARRAYS
-from marketlake.session import path_exists, scratch_path
+from marketlake.schemas import CANDLE_DAYS, CANDLE_TABLE, KLINE_ARRAYS
+from marketlake.session import delete_path, path_exists, scratch_path
+from marketlake.sinks.commit import EMPTIED, commit, recover, side_path
 from marketlake.sources.silver import read_stored
 
 KEYS = ["symbol", "interval"]
+DAY = [*KEYS, "date"]
 BASE = ["symbol", "interval", "open_time", "ingested_at", "open", "high", "low", "close",
         "volume", "num_trades"]
 CARRIED = ["_i", "_cum_pv", "_cum_v"]
-# Most rows per series a batch may redo with one window per series (a bounded
-# group: at most this many rows in one task); larger batches use buckets.
-PLAIN_MAX_ROWS = 100_000
+REMOVED = StructType([CANDLE_TABLE[c] for c in (*BASE, "date")])
 
 
 def _latest(df: DataFrame) -> DataFrame:
@@ -60,70 +59,24 @@ def _latest(df: DataFrame) -> DataFrame:
                         tiebreak=list(CANDLE_VALUE_COLUMNS))
 
 
-def _context(stored: DataFrame, need: DataFrame, global_lo, first_days: int):
-    """The ``LOOKBACK`` stored rows before each series' ``_lo``, and the most
-    rows any series of ``need`` redoes.
-
-    ``need`` holds per series ``_lo``, ``_need`` (rows that exist before
-    ``_lo``, capped at ``LOOKBACK``) and ``_first`` (first stored day).  Only
-    the days ``[_lo - k, _lo)`` are scanned (partition pruning on ``date``);
-    ``k`` grows until every series has its ``_need`` rows or reaches its first
-    day, so a series with a long gap costs a wider scan and the common case
-    costs a few days.
-    """
-    k = max(1, int(first_days))
-    while True:
-        window = stored.filter(F.col("date") >= F.date_sub(F.lit(global_lo), k))
-        cand = (window.join(need, on=KEYS, how="inner")
-                .filter((F.col("date") < F.col("_lo")) & (F.col("date") >= F.date_sub(F.col("_lo"), k))))
-        # at most LOOKBACK rows per series: kept in memory for the check and
-        # the merge (recomputed from its lineage if an executor is lost)
-        ctx = latest_n(cand, LOOKBACK, KEYS, ["open_time"]).persist()
-        found = ctx.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_found"))
-        short = ((F.coalesce(F.col("_found"), F.lit(0)) < F.col("_need"))
-                 & (F.date_sub(F.col("_lo"), k) > F.coalesce(F.col("_first"), F.col("_lo"))))
-        # one row back: how many series still lack context, and the most rows
-        # any series redoes (for the plan choice)
-        probe = need.join(found, on=KEYS, how="left").agg(
-            F.count_if(short).alias("_short"), F.max("_rows").alias("_most")).first()
-        if probe["_short"] == 0:
-            return ctx, probe["_most"]
-        ctx.unpersist()
-        k *= 4
+def _written(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _tp_v():
-    return typical_price("high", "low", "close") * F.col("volume")
+def _side(spark: SparkSession, path: str, name: str, schema: StructType) -> DataFrame | None:
+    """A side table, or None when it is missing or was not written to its end."""
+    where = side_path(path, name)
+    if not path_exists(spark, f"{where}/_SUCCESS"):
+        return None
+    return spark.read.schema(schema).parquet(where)
 
 
-def _series_windows(rows: DataFrame, ctx: DataFrame | None) -> DataFrame:
-    """Indicators with one window per series over context + rows: used when
-    the rows to redo per series are bounded (``plain_max_rows``)."""
-    both = rows.withColumn("_ctx", F.lit(False))
-    for c, t in (("_i", "long"), ("_cum_pv", "double"), ("_cum_v", "double")):
-        both = both.withColumn(c, F.lit(None).cast(t))
-    if ctx is not None:
-        both = both.unionByName(ctx.withColumn("_ctx", F.lit(True)))
-    w = Window.partitionBy(*KEYS).orderBy(F.col("open_time").asc())
-    whole = Window.partitionBy(*KEYS)
-    own = ~F.col("_ctx")
-    ctx_i = F.when(F.col("_ctx"), F.col("_i"))
-    out = both.withColumns({
-        "_k": F.sum(F.when(own, 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0)),
-        "_base": F.max(ctx_i).over(whole),
-        "_off_pv": F.max_by(F.when(F.col("_ctx"), F.col("_cum_pv")), ctx_i).over(whole),
-        "_off_v": F.max_by(F.when(F.col("_ctx"), F.col("_cum_v")), ctx_i).over(whole),
-        "_run_pv": F.sum(F.when(own, _tp_v())).over(w),
-        "_run_v": F.sum(F.when(own, F.col("volume").cast("double"))).over(w),
-    })
-    out = _rsi_columns(out.withColumns(dict(_frame_indicators(w, "close"))), w, "close")
-    return (out.filter(own)
-            .withColumn("_i", F.coalesce(F.col("_base") + 1, F.lit(0)) + F.col("_k") - 1)
-            .withColumn("_cum_pv", add_nullable("_off_pv", "_run_pv"))
-            .withColumn("_cum_v", add_nullable("_off_v", "_run_v")))
+def _day_table(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(*DAY).agg(F.min("_i").alias("first_i"), F.max("_i").alias("last_i"))
 
 
-def _bucketed(rows: DataFrame, ctx: DataFrame | None, bucket_rows: int) -> DataFrame:
+def _with_indicators(rows: DataFrame, ctx: DataFrame | None, bucket_rows: int) -> DataFrame:
     """Indicators without a whole-series window: positions and VWAP sums
     continue from the context's newest row per series (a #series-row table)
     through the two-level scan; SMA / Bollinger / RSI run over buckets of
@@ -134,148 +87,90 @@ def _bucketed(rows: DataFrame, ctx: DataFrame | None, bucket_rows: int) -> DataF
             (F.max("_i") + 1).alias("_i0"),
             F.max_by("_cum_pv", "_i").alias("_s0__cum_pv"),
             F.max_by("_cum_v", "_i").alias("_s0__cum_v"))
-    own_rows = index_series(rows, KEYS, "open_time",
-                            sums={"_cum_pv": _tp_v(), "_cum_v": F.col("volume").cast("double")},
-                            unit="day", index_col="_i", start=start)
+    sums = {"_cum_pv": typical_price("high", "low", "close") * F.col("volume"),
+            "_cum_v": F.col("volume").cast("double")}
+    own_rows = index_series(rows, KEYS, "open_time", sums=sums, unit="day", index_col="_i", start=start)
     own_rows = own_rows.withColumn("_ctx", F.lit(False))
     both = own_rows if ctx is None else own_rows.unionByName(ctx.withColumn("_ctx", F.lit(True)))
     bucketed, w = bucket_frame(add_lookback_buckets(both, "_i", bucket_rows, LOOKBACK), KEYS)
     out = _rsi_columns(bucketed.withColumns(dict(_frame_indicators(w, "close"))), w, "close")
-    return out.filter(F.col("_own") & ~F.col("_ctx")).drop("_part")
+    out = out.withColumn("vwap", safe_div(F.col("_cum_pv"), F.col("_cum_v")))
+    return out.filter(F.col("_own") & ~F.col("_ctx")).select(*BASE, *INDICATORS, *CARRIED, "date")
 
 
 def upsert_candles(spark: SparkSession, batch: DataFrame, path: str,
-                   array_name: str = "klines_1h", context_days: int = 3,
-                   bucket_rows: int = DEFAULT_BUCKET_ROWS, replace: bool = False,
-                   plain_max_rows: int = PLAIN_MAX_ROWS) -> None:
-    """Merge one micro-batch of Bronze envelopes into the candle table at ``path``.
+                   array_name: str = "klines_1h", bucket_rows: int = DEFAULT_BUCKET_ROWS,
+                   replace: bool = False) -> None:
+    """Merge a batch of Bronze envelopes into the candle table at ``path``.
 
     ``replace=True`` builds the table from ``batch`` alone and replaces all of
     it (a full rebuild); the default merges into what is stored.
-
-    ``context_days`` is the first look-back window searched for the context
-    rows (it widens automatically when a series has a gap).  A small
-    per-series state table ``{path}/_series`` (last position, first day)
-    tells exactly how many context rows exist, so the search never reads
-    the whole history.
-
-    Plan choice per batch: when at most ``plain_max_rows`` rows per series
-    are (re)computed -- the usual micro-batch -- one window per series does
-    it in the fewest stages; beyond that (a first load, a backfill, a fix far
-    back) positions, sums and look-back windows use the bucketed plan with
-    ``bucket_rows`` positions per bucket, so no task holds a whole series.
-    Both give the same rows.
     """
-    new = project_klines(batch, array_name).filter(F.col("open_time").isNotNull())
-    new = _latest(drop_invalid(new, ["symbol", "close"])).select(*BASE)
-    # The batch's deduplicated candles and their per-series summary feed
-    # several jobs below; both are bounded by the micro-batch and cached
-    # (recomputed from the batch files if an executor is lost).
-    new = new.withColumn("date", F.to_date("open_time")).persist()
-    lo = new.groupBy(*KEYS).agg(F.min("date").alias("_lo"),
-                                F.count(F.lit(1)).alias("_new_n")).persist()
-    try:
-        _upsert(spark, new, lo, path, context_days, bucket_rows, replace, plain_max_rows)
-    finally:
-        lo.unpersist()
-        new.unpersist()
-
-
-def _upsert(spark: SparkSession, new: DataFrame, lo: DataFrame, path: str, context_days: int,
-            bucket_rows: int, replace: bool, plain_max_rows: int) -> None:
-    state_path = f"{path.rstrip('/')}/_series"
-
-    stored = None if replace else read_stored(spark, path)
-    if stored is not None and path_exists(spark, state_path):
-        global_lo = lo.agg(F.min("_lo")).first()[0]
-        if global_lo is None:
-            return
-        state = spark.read.parquet(state_path)
-        redo = (stored.filter(F.col("date") >= F.lit(global_lo)).join(lo, on=KEYS, how="inner")
-                .filter(F.col("date") >= F.col("_lo")))
-        first_redo = redo.groupBy(*KEYS).agg(F.min("_i").alias("_i0"))
-        before_lo = F.coalesce(F.col("_i0"), F.col("max_i") + 1, F.lit(0))
-        need = (lo.join(first_redo, on=KEYS, how="left").join(state, on=KEYS, how="left")
-                .select(*KEYS, "_lo", F.col("first_date").alias("_first"),
-                        F.least(F.lit(LOOKBACK).cast("long"), before_lo).alias("_need"),
-                        (before_lo - 1).alias("_ctx_max"),
-                        # rows to redo: new ones plus the stored positions from _lo on
-                        (F.col("_new_n") + F.coalesce(F.col("max_i") - F.col("_i0") + 1, F.lit(0)))
-                        .alias("_rows"))).persist()
-        ctx, most = _context(stored, need, global_lo, context_days)
-        cached = [need, ctx]
-        ctx = ctx.select(*BASE, "date", *CARRIED)
-        rows = keep_positive(_latest(new.unionByName(redo.select(*BASE, "date"))), "close")
-        prev_state = state
-    else:
-        most = lo.agg(F.max("_new_n")).first()[0]
-        if most is None and not replace:
-            return
-        rows = keep_positive(new, "close")
-        ctx = None
-        need = None
-        cached = []
-        prev_state = None
-    if most is None or most <= plain_max_rows:
-        out = _series_windows(rows, ctx)
-    else:
-        out = _bucketed(rows, ctx, bucket_rows)
-    out = (out.withColumn("vwap", safe_div(F.col("_cum_pv"), F.col("_cum_v")))
-           .select(*BASE, *INDICATORS, *CARRIED, "date"))
-
+    recover(spark, path)
     staging = scratch_path(spark, "candle-upsert")
-    out.write.parquet(staging + "/rows")
-    staged = spark.read.parquet(staging + "/rows")
-
-    # Series state after this batch: rows from _lo on were all rewritten, so
-    # their last position is the series' last position (or, if every such row
-    # was removed, the position just before _lo).
-    touched = staged.groupBy(*KEYS).agg(F.max("_i").alias("_new_max"), F.min("date").alias("_new_first"))
-    upd = lo.join(touched, on=KEYS, how="left")
-    if need is not None:
-        upd = upd.join(need.select(*KEYS, F.when(F.col("_ctx_max") >= 0, F.col("_ctx_max")).alias("_ctx_max")),
-                       on=KEYS, how="left")
-    else:
-        upd = upd.withColumn("_ctx_max", F.lit(None).cast("long"))
-    upd = upd.select(*KEYS, "_lo", F.coalesce("_new_max", "_ctx_max").alias("_m"),
-                     F.col("_new_first").alias("_f"), F.lit(True).alias("_t"))
-    if prev_state is not None:
-        t = F.coalesce(F.col("_t"), F.lit(False))
-        kept_first = F.when(F.col("first_date") < F.col("_lo"), F.col("first_date"))
-        merged = prev_state.join(upd, on=KEYS, how="full").select(
-            *KEYS,
-            F.when(t, F.col("_m")).otherwise(F.col("max_i")).alias("max_i"),
-            F.when(t, F.least(kept_first, F.col("_f"))).otherwise(F.col("first_date")).alias("first_date"))
-    else:
-        merged = upd.select(*KEYS, F.col("_m").alias("max_i"), F.col("_f").alias("first_date"))
-    merged.write.parquet(staging + "/series")
-
-    # The plan reads the staged copy, never ``path``: a static overwrite (full
-    # rebuild) is safe, and a merge replaces only the touched (symbol, date)s.
-    (staged.hint("rebalance", "symbol", "date").write
-     .mode("overwrite").option("partitionOverwriteMode", "static" if replace else "dynamic")
-     .partitionBy("symbol", "date").parquet(path))
-    spark.read.parquet(staging + "/series").coalesce(1).write.mode("overwrite").parquet(state_path)
-    for df in cached:
-        df.unpersist()
+    new = project_klines(batch, array_name).filter(F.col("open_time").isNotNull())
+    new = _latest(drop_invalid(new, ["symbol", "close"])).select(*BASE, F.to_date("open_time").alias("date"))
+    new = _written(new, f"{staging}/new")
+    if not replace and new.isEmpty():
+        delete_path(spark, staging)
+        return
+    lo = new.groupBy(*KEYS).agg(F.min("date").alias("_lo"))          # one row per series
+
+    stored = None if replace else read_stored(spark, path, CANDLE_TABLE)
+    ctx = days = removed = None
+    rows = new
+    if stored is not None:
+        days = _side(spark, path, "days", CANDLE_DAYS)
+        if days is None:
+            days = _day_table(stored)
+        days = _written(days, f"{staging}/days-before")              # the table itself is rewritten below
+        removed = _side(spark, path, "removed", REMOVED)
+        touched = days.join(lo, on=KEYS, how="inner")
+        last = (touched.filter(F.col("date") < F.col("_lo")).groupBy(*KEYS)
+                .agg(F.max("last_i").alias("_last")))
+        before = (touched.filter(F.col("date") < F.col("_lo")).join(last, on=KEYS, how="inner")
+                  .filter(F.col("last_i") > F.col("_last") - LOOKBACK).select(*DAY, "_last"))
+        ctx = (stored.join(before, on=DAY, how="inner").filter(F.col("_i") > F.col("_last") - LOOKBACK)
+               .select(*BASE, "date", *CARRIED))
+        redo = touched.filter(F.col("date") >= F.col("_lo")).select(*DAY)
+        rows = new.unionByName(stored.join(redo, on=DAY, how="left_semi").select(*BASE, "date"))
+        if removed is not None:
+            again = removed.join(lo, on=KEYS, how="inner").filter(F.col("date") >= F.col("_lo"))
+            rows = rows.unionByName(again.select(*BASE, "date"))
+    merged = _latest(rows).withColumn("_kept", F.coalesce(F.col("close") > 0, F.lit(False)))
+    merged = _written(merged, f"{staging}/merged")
+    out = _with_indicators(merged.filter("_kept").drop("_kept"), ctx, bucket_rows)
+    out = _written(out, f"{staging}/rows")
+
+    gone = merged.filter(~F.col("_kept")).select(*BASE, "date")
+    after = _day_table(out)
+    if stored is not None:
+        def earlier(side: DataFrame) -> DataFrame:
+            """Rows of a side table that this batch does not re-do."""
+            return (side.join(lo, on=KEYS, how="left")
+                    .filter(F.col("_lo").isNull() | (F.col("date") < F.col("_lo"))).drop("_lo"))
+
+        if removed is not None:
+            gone = gone.unionByName(earlier(removed).select(*BASE, "date"))
+        after = earlier(days).unionByName(after)
+        (redo.select("symbol", "date").distinct()
+         .join(out.select("symbol", "date").distinct(), on=["symbol", "date"], how="left_anti")
+         .write.parquet(f"{staging}/{EMPTIED}"))
+    gone.write.parquet(f"{staging}/removed")
+    after.write.parquet(f"{staging}/days")
+    commit(spark, path, staging, ("symbol", "date"), replace, sides=("removed", "days"))
+
+
+def upsert_all(spark: SparkSession, batch: DataFrame, root: str, intervals: Sequence[str],
+               bucket_rows: int = DEFAULT_BUCKET_ROWS) -> None:
+    for a in intervals:
+        upsert_candles(spark, batch, f"{root.rstrip('/')}/klines_{KLINE_ARRAYS[a]}", a, bucket_rows)
 
 
 def candle_upsert_query(spark: SparkSession, envelopes: DataFrame, root: str, checkpoint: str,
                         intervals: Sequence[str] = tuple(KLINE_ARRAYS), trigger: str | None = None,
-                        context_days: int = 3, bucket_rows: int = DEFAULT_BUCKET_ROWS,
-                        plain_max_rows: int = PLAIN_MAX_ROWS) -> StreamingQuery:
+                        bucket_rows: int = DEFAULT_BUCKET_ROWS) -> StreamingQuery:
     """STR-5: keep ``{root}/klines_{1m,5m,1h}`` up to date from a Bronze stream."""
-
-    def handle(batch_df: DataFrame, _epoch: int) -> None:
-        batch_df.persist()
-        try:
-            for a in intervals:
-                upsert_candles(spark, batch_df, f"{root.rstrip('/')}/klines_{KLINE_ARRAYS[a]}", a,
-                               context_days, bucket_rows, plain_max_rows=plain_max_rows)
-        finally:
-            batch_df.unpersist()
-
-    w = envelopes.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if trigger in (None, "once", "available_now") \
-        else w.trigger(processingTime=trigger)
-    return w.start()
+    from marketlake.streaming.pipeline import each_batch
+    return each_batch(envelopes, lambda batch, _epoch: upsert_all(spark, batch, root, intervals, bucket_rows),
+                      checkpoint, trigger)

@@ -1,56 +1,82 @@
 """The continuous form of the ETL: one Bronze file stream feeding Silver
 tickers, the daily Gold, the candle tables and the quarantine.
 
-This replaces the reference's poll-and-rerun loop: new landed files are
-processed incrementally, each query keeps its own checkpoint under
-``{root}/_checkpoints/<name>`` and resumes exactly where it stopped.
+This replaces the reference's poll-and-rerun loop: new landed files are parsed
+once per micro-batch, staged as Parquet, and merged with the same writers as a
+batch run, so batch and stream can take turns on the same tables and the open
+day is in Gold.  The checkpoint is ``{root}/_checkpoints/lake``; a repeated
+micro-batch gives the same tables.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from marketlake.operators.clean import drop_invalid, keep_positive
-from marketlake.operators.silver import project_ticker
+from marketlake.operators.indicators import DEFAULT_BUCKET_ROWS
 from marketlake.paths import Paths
+from marketlake.plans.tickers import merge_tickers
 from marketlake.schemas import CORRUPT, KLINE_ARRAYS
-from marketlake.session import ensure_utc
-from marketlake.streaming.bronze_stream import dedup_tickers, gold_daily_stream, start, stream_bronze
-from marketlake.streaming.candle_upsert import candle_upsert_query
+from marketlake.session import delete_path, ensure_utc, scratch_path
+from marketlake.sources.bronze import split_corrupt
+from marketlake.streaming.bronze_stream import stream_bronze
+from marketlake.streaming.candle_upsert import upsert_all
+
+
+def each_batch(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str,
+               trigger: str | None = None, name: str | None = None) -> StreamingQuery:
+    """Run ``handle`` on every micro-batch, staged as Parquet first (one parse, no cache).
+
+    ``trigger``: see ``bronze_stream.start``.
+    """
+    spark = stream.sparkSession
+
+    def staged(batch: DataFrame, epoch: int) -> None:
+        path = scratch_path(spark, "micro-batch")
+        batch.write.parquet(path)
+        try:
+            handle(spark.read.schema(batch.schema).parquet(path), epoch)
+        finally:
+            delete_path(spark, path)
+
+    w = stream.writeStream.foreachBatch(staged).option("checkpointLocation", checkpoint)
+    if name:
+        w = w.queryName(name)
+    w = w.trigger(availableNow=True) if trigger in (None, "once", "available_now") \
+        else w.trigger(processingTime=trigger)
+    return w.start()
+
+
+def ticker_query(spark: SparkSession, envelopes: DataFrame, paths: Paths, checkpoint: str,
+                 trigger: str | None = None) -> StreamingQuery:
+    """STR-3/4: keep Silver tickers and the daily Gold up to date from a Bronze stream."""
+    return each_batch(envelopes, lambda batch, _epoch: merge_tickers(spark, batch, paths), checkpoint, trigger)
 
 
 def start_streams(spark: SparkSession, paths: Paths, trigger: str | None = None,
-                  watermark: str = "1 hour", intervals: Sequence[str] = tuple(KLINE_ARRAYS),
+                  intervals: Sequence[str] = tuple(KLINE_ARRAYS),
                   max_files_per_trigger: int | None = None, layout: str = "exchange",
-                  context_days: int = 3) -> dict[str, StreamingQuery]:
-    """Start the four streaming queries; returns them by name.
+                  bucket_rows: int = DEFAULT_BUCKET_ROWS) -> dict[str, StreamingQuery]:
+    """Start the stream; returns its query by name.
 
     ``trigger=None`` processes what has landed and stops (``availableNow``);
     a string such as ``"30 seconds"`` runs continuously at that interval.
     """
     ensure_utc(spark)
-    ck = f"{paths.root.rstrip('/')}/_checkpoints"
     raw = stream_bronze(spark, paths.bronze, max_files_per_trigger=max_files_per_trigger,
                         multiline=(layout == "exchange"), layout=layout)
-    good = raw.filter(F.col(CORRUPT).isNull())
-    ticks = keep_positive(dedup_tickers(drop_invalid(project_ticker(good), ["symbol", "last_price"]),
-                                        watermark), "last_price")
-    queries = {
-        "tickers": start(ticks, paths.silver_table("tickers"), f"{ck}/tickers", trigger,
-                         partition_by=("symbol", "date")),
-        "daily_summary": start(gold_daily_stream(ticks, watermark=None),
-                               paths.gold_table("daily_summary"), f"{ck}/daily_summary", trigger,
-                               partition_by=("symbol",)),
-        "quarantine": start(raw.filter(F.col(CORRUPT).isNotNull()).select("_file", "metadata", CORRUPT),
-                            paths.quarantine, f"{ck}/quarantine", trigger, fmt="json"),
-        "candles": candle_upsert_query(spark, good, paths.silver, f"{ck}/candles", intervals,
-                                       trigger, context_days),
-    }
-    return queries
+    raw = raw.select("_file", "metadata", "ticker", *intervals, CORRUPT)
+
+    def handle(batch: DataFrame, epoch: int) -> None:
+        good, bad = split_corrupt(batch)
+        # one folder per micro-batch: a repeated one replaces its own rows
+        bad.write.mode("overwrite").json(f"{paths.quarantine.rstrip('/')}/stream/batch={epoch}")
+        merge_tickers(spark, good, paths)
+        upsert_all(spark, good, paths.silver, intervals, bucket_rows)
+
+    return {"lake": each_batch(raw, handle, f"{paths.root.rstrip('/')}/_checkpoints/lake", trigger, "lake")}
 
 
 def await_all(queries: dict[str, StreamingQuery]) -> None:

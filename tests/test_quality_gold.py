@@ -89,7 +89,7 @@ def test_slicer_prunes_partitions(spark, tmp):
     ticks(spark, [("A", t, 1.0, 1.0, 1.0, 1.0), ("B", t, 1.0, 1.0, 1.0, 1.0)]) \
         .write.partitionBy("symbol").parquet(tmp + "/t")
     from marketlake.sources import read_layer
-    df = read_layer(spark, tmp + "/t", ["A"])
+    df = read_layer(spark, tmp + "/t", spark.read.parquet(tmp + "/t").schema, ["A"])
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(symbol" in plan and df.count() == 1
 

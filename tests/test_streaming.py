@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from marketlake.operators import clean
 from marketlake.operators.gold import build_gold_daily
 from marketlake.operators.silver import extract_ticker, project_ticker
+from marketlake.sinks.commit import side_path
 from marketlake.sources import read_bronze
 from marketlake.streaming import dedup_tickers, gold_daily_stream, run_to_completion, stream_bronze
 from tests.test_pipeline import make_lake
@@ -16,7 +17,8 @@ def test_stream_equals_batch(spark, tmp):
     paths = make_lake(os.path.join(tmp, "lake"))
     raw = stream_bronze(spark, paths.bronze, max_files_per_trigger=3)
     t = clean.drop_invalid(project_ticker(raw), ["symbol", "last_price"])
-    t = clean.keep_positive(dedup_tickers(t, "1 hour"), "last_price")
+    # files landed within one clock tick may come in any order: wait for all of them
+    t = clean.keep_positive(dedup_tickers(t, "3 days"), "last_price")
     run_to_completion(t, tmp + "/s/data", tmp + "/s/ck")
     streamed = spark.read.parquet(tmp + "/s/data")
     batch = extract_ticker(read_bronze(spark, paths.bronze))
@@ -68,8 +70,8 @@ def test_late_snapshot_dropped_after_watermark(spark, tmp):
     assert rows[dt.date(2024, 3, 3)].close == 30.0
 
 
-@pytest.mark.parametrize("plan", ["series", "bucketed"])
-def test_candle_upsert_replay_and_late_correction(spark, tmp, plan):
+@pytest.mark.parametrize("bucket_rows", [20, 16384])
+def test_candle_upsert_replay_and_late_correction(spark, tmp, bucket_rows):
     import datetime as dt
     import json
 
@@ -96,7 +98,7 @@ def test_candle_upsert_replay_and_late_correction(spark, tmp, plan):
         return raw.select(F.from_json("doc", BRONZE).alias("e")).select("e.*")
 
     path = tmp + "/klines_1h"
-    kw = {"bucket_rows": 20, "plain_max_rows": 0} if plan == "bucketed" else {}
+    kw = {"bucket_rows": bucket_rows}
     b1, b2 = frame(docs_for([1, 2, 3])), frame(docs_for([4, 5]))
     upsert_candles(spark, b1, path, **kw)
     upsert_candles(spark, b2, path, **kw)
@@ -132,8 +134,8 @@ def test_start_streams_matches_batch(spark, tmp):
     assert isinstance(paths, Paths)
 
 
-@pytest.mark.parametrize("plan", ["series", "bucketed"])
-def test_candle_upsert_context_across_gap(spark, tmp, plan):
+@pytest.mark.parametrize("bucket_rows", [20, 16384])
+def test_candle_upsert_context_across_gap(spark, tmp, bucket_rows):
     import json
 
     from marketlake.operators.indicators import INDICATORS, add_indicators
@@ -152,17 +154,17 @@ def test_candle_upsert_context_across_gap(spark, tmp, plan):
         return raw.select(F.from_json("doc", BRONZE).alias("e")).select("e.*")
 
     path = tmp + "/klines_1h"
-    kw = {"bucket_rows": 20, "plain_max_rows": 0} if plan == "bucketed" else {}
-    upsert_candles(spark, frame(docs([1, 2, 3])), path, context_days=1, **kw)
-    upsert_candles(spark, frame(docs([20])), path, context_days=1, **kw)   # 17-day gap
-    upsert_candles(spark, frame(docs([2])), path, context_days=1, **kw)    # replay inside history
+    kw = {"bucket_rows": bucket_rows}
+    upsert_candles(spark, frame(docs([1, 2, 3])), path, **kw)
+    upsert_candles(spark, frame(docs([20])), path, **kw)   # 17-day gap
+    upsert_candles(spark, frame(docs([2])), path, **kw)    # replay inside history
     expect = add_indicators(extract_klines(frame(docs([1, 2, 3, 20])), "klines_1h"), strategy="plain")
     cols = ["open_time", "close"] + list(INDICATORS)
     rnd = lambda rows: sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in rows)
     got = spark.read.parquet(path)
     assert rnd(got.select(cols).collect()) == rnd(expect.select(cols).collect())
-    state = spark.read.parquet(path + "/_series").collect()[0]
-    assert state.max_i == 31 and str(state.first_date) == "2024-03-01"
+    days = {str(r.date): (r.first_i, r.last_i) for r in spark.read.parquet(side_path(path, "days")).collect()}
+    assert days == {f"2024-03-{d:02d}": (8 * i, 8 * i + 7) for i, d in enumerate((1, 2, 3, 20))}
 
 
 def test_candle_upsert_empty_batch_is_noop(spark, tmp):
