@@ -18,8 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.operators.bronze import build_envelope, ticker_struct
+from marketlake.operators.clean import drop_invalid, keep_positive
 from marketlake.operators.gold import ohlc_bars
-from marketlake.operators.silver import clean_candles, extract_ticker
+from marketlake.operators.silver import extract_ticker
 from marketlake.session import ensure_utc
 
 
@@ -38,9 +39,10 @@ def props_k(col: str = "props"):
 
 
 def candles(ev: DataFrame) -> DataFrame:
-    """Hourly bars per event type, cleaned with the Silver candle rules."""
+    """Hourly bars per event type under the Silver candle rules; the bars are
+    groups already, so there are no copies to remove."""
     bars = ohlc_bars(ev, key="event_type", time="ts", price="value", unit="hour", interval="1h")
-    return clean_candles(bars, latest=None)
+    return keep_positive(drop_invalid(bars, ["symbol", "close"]), "close")
 
 
 def ticker_envelopes(ev: DataFrame) -> DataFrame:
