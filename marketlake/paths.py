@@ -16,6 +16,10 @@ class Paths:
     def bronze(self) -> str:
         return self._join("bronze")
 
+    @property
+    def bronze_compact(self) -> str:
+        return self._join("bronze_compact")
+
     @property
     def silver(self) -> str:
         return self._join("silver")

@@ -39,8 +39,8 @@ def stage_bronze(spark: SparkSession, paths: Paths, date=None, assets: Iterable[
     """Parse Bronze once: quarantine the damaged documents, stage the rest as
     Parquet.  Returns (staged DataFrame, staging path)."""
     assets = None if assets is None else list(assets)
-    raw = read_bronze(spark, paths.bronze, date=date, layout=layout, multiline=(layout == "exchange"),
-                      assets=assets if layout == "exchange" else None)
+    raw = read_bronze(spark, paths.bronze_compact if layout == "compact" else paths.bronze, date=date, layout=layout,
+                      multiline=(layout == "exchange"), assets=None if layout == "hive" else assets)
     staged_path = scratch_path(spark, "bronze-staged")
     raw = raw.select("_file", "metadata", "ticker", *intervals, CORRUPT)
     raw.write.parquet(staged_path)

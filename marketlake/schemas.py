@@ -59,6 +59,13 @@ BRONZE = T.StructType([
     T.StructField(CORRUPT, T.StringType()),
 ])
 
+# Compacted Bronze: the parsed documents with their file, asset folder and event day.
+COMPACT_BRONZE = T.StructType(BRONZE.fields + [
+    T.StructField("_file", T.StringType()),
+    T.StructField("name", T.StringType()),
+    T.StructField("date", T.DateType()),
+])
+
 TICK = T.StructType([
     T.StructField("symbol", T.StringType()),
     T.StructField("price", T.StringType()),

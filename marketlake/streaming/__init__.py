@@ -1,6 +1,7 @@
 """Structured Streaming forms of the Bronze read, dedup, Gold and candles (STR-1..6)."""
 
 from marketlake.streaming.bronze_stream import (  # noqa: F401
+    compact_bronze,
     dedup_tickers,
     gold_daily_stream,
     run_to_completion,

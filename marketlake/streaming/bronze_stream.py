@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from marketlake.operators.gold import daily_metrics
-from marketlake.schemas import BRONZE, CORRUPT
+from marketlake.schemas import BRONZE, COMPACT_BRONZE, CORRUPT
 from marketlake.sources.bronze import with_path_partitions
 
 
@@ -77,6 +77,22 @@ def run_to_completion(df: DataFrame, path: str, checkpoint: str, **kw) -> Stream
     return q
 
 
+def compact_bronze(spark: SparkSession, source: str, target: str, checkpoint: str, trigger: str | None = None,
+                   max_files_per_trigger: int | None = None, multiline: bool = True,
+                   layout: str = "exchange") -> StreamingQuery:
+    """Turn landed one-document files into a Parquet table by asset and event day.
+
+    Each landed file is parsed once, by one micro-batch; a later run takes only
+    the files that came since.  Damaged documents keep their raw text, with a
+    null name and day, so that the quarantine can still be filled from here.
+    """
+    raw = stream_bronze(spark, source, max_files_per_trigger, multiline, layout)
+    day = F.to_date(F.try_to_timestamp("metadata.ingested_at"))
+    rows = raw.withColumns({"name": F.col("metadata.name"), "date": day})
+    return start(rows.select([f.name for f in COMPACT_BRONZE]), target, checkpoint, trigger,
+                 partition_by=("name", "date"), query_name=None)
+
+
 def dedup_tickers(tickers: DataFrame, watermark: str = "1 hour", time: str = "ingested_at",
                   keys: Sequence[str] = ("symbol", "ingested_at")) -> DataFrame:
     """STR-3: drop re-landed copies of a snapshot within the watermark.

@@ -126,6 +126,31 @@ def test_bronze_gate(spark, tmp):
     assert [r.symbol for r in reports["bronze_missing"].collect()] == ["ETHUSDT"]
 
 
+def test_compacted_bronze_takes_new_files_only_and_prunes(spark, tmp):
+    from marketlake.streaming import compact_bronze
+    paths = make_lake(os.path.join(tmp, "lake"))
+
+    def compact():
+        compact_bronze(spark, paths.bronze, paths.bronze_compact, tmp + "/ck").awaitTermination()
+
+    compact()
+    run_batch(spark, paths, layout="compact", intervals=(), now=NOW)
+    assert tables(spark, paths) == from_bronze(spark, paths)
+    land(paths.bronze, envelope("XRP", "XRPUSDT", utc(2024, 3, 3, 1), ticker("9")))
+    path = land(paths.bronze, envelope("XRP", "XRPUSDT", utc(2024, 3, 3, 2), ticker("9")))
+    with open(path, "r+", encoding="utf-8") as f:
+        f.truncate(40)
+    compact()
+    one = read_bronze(spark, paths.bronze_compact, date="2024-03-03", layout="compact", assets=["XRP"])
+    assert one.count() == 1
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan or "PartitionFilters: [isnotnull(name" in plan
+    run_batch(spark, paths, date="2024-03-03", assets=["XRP"], layout="compact", intervals=(), now=NOW)
+    whole = read_bronze(spark, paths.bronze_compact, layout="compact")
+    assert whole.count() == 14 and whole.filter("_corrupt_record IS NOT NULL").count() == 1
+    assert len(tables(spark, paths)[0]) == 13
+
+
 # --- candle table
 
 def day_docs(day, closes, late=0):
