@@ -3,12 +3,14 @@
 Every text is scanned as it stands; then URL, Unicode, base64 and compressed
 layers inside it are unwrapped, each new layer is scanned and put on the
 worklist, until no layer gives a new one.  A layer that was seen before with
-the same text at the same place is not taken again, which ends cycles.  Every
-layer carries, per character, the place in the original text it came from, so
-a secret found at any depth is reported as a span of the original.
-
-A document is one row's work and nothing is shuffled; memory is bounded by the
-longest text and by ``MAX_LAYER``.
+the same text at the same place is not taken again, and a compressed stream
+that unpacks to bytes it came from is left, which ends cycles.  Every layer
+carries, per character, the place in the original text it came from, so a
+secret found at any depth is reported as a span of the original.
+
+A document is one row's work and nothing is shuffled.  Layers are unpacked one
+at a time and dropped when done, so memory holds one chain of nested layers,
+each bounded by the longest text or by ``MAX_LAYER``, and a digest per layer.
 """
 
 from __future__ import annotations
@@ -18,7 +20,9 @@ import bz2
 import lzma
 import re
 import zlib
+from array import array
 from collections import deque
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -66,7 +70,7 @@ class Layer:
 
     def replaced(self, pattern: re.Pattern, decode) -> Layer | None:
         """This layer with every match decoded; ``decode`` gives [(character, source length)] or None."""
-        text, starts, ends, at, changed = [], [], [], 0, False
+        text, starts, ends, at, changed = [], array("q"), array("q"), 0, False
 
         def keep(a: int, b: int) -> None:
             text.append(self.text[a:b])
@@ -94,7 +98,10 @@ class Layer:
     def inside(self, start: int, end: int, text: str) -> Layer:
         """A layer unpacked from the characters start..end of this one."""
         a, b = self.span(start, end)
-        return Layer(text, [a] * len(text), [b] * len(text), self.depth + 1)
+        return Layer(text, array("q", [a]) * len(text), array("q", [b]) * len(text), self.depth + 1)
+
+    def key(self) -> tuple[bytes, int, int]:
+        return blake2b(self.text.encode(), digest_size=16).digest(), *self.span(0, len(self.text))
 
 
 def _percent(run: str):
@@ -160,8 +167,12 @@ def _plain(run: str) -> str | None:
     if "-" in body or "_" in body:
         body = body.replace("-", "+").replace("_", "/")
     raw = base64.b64decode(body + "=" * (-len(body) % 4))
+    seen = set()
     while (inner := _unpacked(raw)) is not None:
+        seen.add(blake2b(raw, digest_size=16).digest())
         raw = inner
+        if blake2b(raw, digest_size=16).digest() in seen:        # a stream that holds itself
+            return None
     try:
         text = raw.decode()
     except UnicodeDecodeError:
@@ -169,8 +180,8 @@ def _plain(run: str) -> str | None:
     return None if not text or CONTROL.search(text) else text
 
 
-def _unwrapped(layer: Layer, refused: list[int]):
-    """All layers one step below ``layer``."""
+def _rewritten(layer: Layer):
+    """The layer with its URL escapes, surrogate pairs or Unicode escapes decoded."""
     text = layer.text
     steps = []
     if "%" in text:
@@ -183,6 +194,11 @@ def _unwrapped(layer: Layer, refused: list[int]):
         new = layer.replaced(pattern, decode)
         if new is not None:
             yield new
+
+
+def _inner(layer: Layer, refused: list[int]):
+    """The layers packed into base64 runs of ``layer``."""
+    text = layer.text
     for m in BASE64.finditer(text):
         runs = [m.span()]
         while runs:
@@ -202,23 +218,37 @@ def _unwrapped(layer: Layer, refused: list[int]):
 def find_secrets(text: str) -> tuple[list[tuple[str, int, int, int]], int]:
     """Spans (kind, start, end, depth) by start, kind and end; and how many layers were too large.
 
-    A span found at several depths is listed once, with the least.
+    A span found at several depths is listed once, with the least seen; the
+    text itself is scanned first, so its own spans have depth 0.
     """
     depth_of: dict[tuple[int, int, int], int] = {}
-    refused = [0]
-    todo, seen = deque([Layer(text)]), {(text, 0, len(text))}
-    while todo:
-        layer = todo.popleft()
-        for kind, a, b in scan(layer.text):
-            start, end = layer.span(a, b)
-            depth_of.setdefault((start, kind, end), layer.depth)
-        for new in _unwrapped(layer, refused):
-            if not new.text:
-                continue
-            key = (new.text, new.starts[0], new.ends[-1])
-            if key not in seen:
-                seen.add(key)
-                todo.append(new)
+    refused, seen = [0], set()
+
+    def unseen(layer: Layer) -> bool:
+        key = layer.key() if layer.text else None
+        if key is None or key in seen:
+            return False
+        seen.add(key)
+        return True
+
+    first = Layer(text)
+    # one entry per nested run being worked on: its rewritten forms to do, and what the last one holds
+    stack = [(deque([first] if unseen(first) else []), iter(()))]
+    while stack:
+        todo, held = stack[-1]
+        inner = next(held, None)
+        if inner is not None:
+            if unseen(inner):
+                stack.append((deque([inner]), iter(())))
+        elif todo:
+            layer = todo.popleft()
+            for kind, a, b in scan(layer.text):
+                start, end = layer.span(a, b)
+                depth_of[start, kind, end] = min(layer.depth, depth_of.get((start, kind, end), layer.depth))
+            todo.extend(filter(unseen, _rewritten(layer)))
+            stack[-1] = todo, _inner(layer, refused)
+        else:
+            stack.pop()
     return [(KINDS[k], a, b, d) for (a, k, b), d in sorted(depth_of.items())], refused[0]
 
 

@@ -203,6 +203,23 @@ def test_secret_worklist_ends_and_counts_refusals(monkeypatch):
     assert [s[:3] for s in secrets.find_secrets(escaped)[0]] == [("assign", 0, len(escaped))]
 
 
+def test_secret_streams_that_hold_themselves_end(monkeypatch):
+    loop = {b"\x1f\x8bA" * 8: b"\x1f\x8bB" * 8, b"\x1f\x8bB" * 8: b"\x1f\x8bA" * 8}
+    monkeypatch.setattr(secrets, "_unpacked", loop.get)
+    text = base64.b64encode(b"\x1f\x8bA" * 8).decode()
+    assert secrets.find_secrets(f"token=abcd1234 {text}") == ([("assign", 0, 14, 0)], 0)
+
+
+def test_secrets_below_many_layers():
+    text = SECRET
+    for _ in range(30):
+        text = base64.b64encode(zlib.compress(text.encode())).decode()
+    spans, refused = secrets.find_secrets(f"see {text} end")
+    assert refused == 0 and [s[:3] for s in spans if s[0] == "assign"] == [("assign", 4, 4 + len(text))]
+    assert secrets.find_secrets(" ".join(base64.b64encode(gzip.compress(b"a " * 100_000 + bytes([97 + i]))).decode()
+                                         for i in range(20)))[1] == 0
+
+
 def test_language_id(spark, root):
     got = {(d, h, p) for d, h, p, s in rows_of(QUERIES["op10_language_id"](spark, root), "doc_id", "held_out", "lang_pred",
                                                "score") if 0 <= s <= 1}
