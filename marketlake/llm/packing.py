@@ -4,10 +4,12 @@
 places the pieces with a bounded-space online best-fit: a fixed number of open
 bins, kept in a bitset keyed by free space.  A piece goes to the open bin with
 the least free space that still holds it; when no bin holds it and all are
-open, the fullest bin closes.  Each task packs the rows of its own input
-partition while it reads them, so nothing is shuffled and a task holds only
-the open bins' free space, one batch and a word cache of bounded size.  A lost
-task is repeated on the same rows in the same order and gives the same bins.
+open, the fullest bin closes.  The pieces of one batch of rows (about a million
+characters, less than the open bins hold) are handed to it longest first, which
+leaves short ones to fill the gaps.  Each task packs the rows of its own input
+partition while it reads them, so nothing is shuffled and a task holds only the
+open bins' free space, one batch and a word cache of bounded size.  A lost task
+is repeated on the same rows in the same order and gives the same bins.
 
 White space is dropped by the tokenizer and always ends a token, so a text's
 ids are the ids of its white-space separated words in a row; each distinct
@@ -135,7 +137,7 @@ class WordEncoder(dict):
         return b"".join(map(self.__getitem__, text.encode().split()))
 
 
-def _batches(texts: list[str], most: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def _batches(texts: list[str], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of rows whose texts have about ``most`` characters together."""
     start = total = 0
     for i, t in enumerate(texts):
@@ -170,17 +172,19 @@ def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACIT
             encoder = encoder or WordEncoder.of_worker(vocabulary)
             ids_, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for lo, hi in _batches(texts):
-                cols: tuple[list, ...] = ([], [], [], [], [], [], [])
+                cols: tuple[list, ...] = ([], [], [], [], [])
                 for d, raw in zip(ids_[lo:hi], map(encoder.encode, texts[lo:hi])):
                     raw += end
                     for piece, at in enumerate(range(0, len(raw), 4 * capacity)):
                         blob = raw[at:at + 4 * capacity]
-                        n = len(blob) >> 2
-                        seq, offset = bins.place(n)
-                        for col, v in zip(cols, (d, piece, at >> 2, n, blob, seq, offset)):
+                        for col, v in zip(cols, (d, piece, at >> 2, len(blob) >> 2, blob)):
                             col.append(v)
+                lengths = cols[3]
+                places: list = [None] * len(lengths)
+                for i in sorted(range(len(lengths)), key=lengths.__getitem__, reverse=True):
+                    places[i] = bins.place(lengths[i])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, f.type) for c, f in zip(cols, PIECES)], schema=PIECES)
+                    [pa.array(c, f.type) for c, f in zip((*cols, *zip(*places)), PIECES)], schema=PIECES)
 
     source = docs.select(F.col(doc_id).cast("bigint").alias("d"), text_or_empty(text).alias("t"))
     return source.mapInArrow(run, PIECES_DDL)

@@ -67,6 +67,12 @@ def test_best_fit_is_dense():
     assert len(used) < 1.02 * sizes.sum() / 2048
 
 
+def test_packing_is_dense(spark):
+    rows = packing.pack(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").coalesce(1))
+    total, sequences = rows.agg(F.sum("length"), F.count_distinct("sequence_id")).first()
+    assert sequences <= 1.005 * total / 2048 + 1
+
+
 def brute_fingerprint(text):
     import xxhash
     w = WORDS.findall(lower_az(text))
