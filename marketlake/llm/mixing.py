@@ -121,7 +121,7 @@ def mixed(rows: DataFrame, plan: DataFrame, names: dict[str, str]) -> DataFrame:
     here = F.struct(F.col(names["key"]).alias("key"), F.col("doc_id").cast("bigint").alias("doc_id"),
                     F.col(names["size"]).alias("size"))
     edge, rng = F.col(names["edge"]), F.col(names["range"])
-    more = (rng < edge) | ((rng == edge) & (here <= F.col(names["last"])))
+    more = (F.col(names["size"]) > 0) & ((rng < edge) | ((rng == edge) & (here <= F.col(names["last"]))))
     return (rows.join(plan, F.col("source").eqNullSafe(F.col(names["of"])) & (rng % SALTS == F.col(names["salt"])))
             .withColumn(names["copies"], (F.col(names["epochs"]) + F.coalesce(more, F.lit(False)).cast("int")).cast("int")))
 

@@ -200,6 +200,17 @@ def test_targets_level(spark, sizes):
     assert all(got[f"s{i}"] == pytest.approx(goal[i]) for i in goal)
 
 
+def test_mix_takes_rows_without_words_with_complete_epochs_only(spark, tmp_path):
+    docs = [(i, "one two three" if i % 2 else "", "ab"[i % 4 // 2]) for i in range(400)]
+    spark.createDataFrame(docs, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/d")
+    taken = Counter(rows_of(mixing.mix(spark.read.parquet(f"{tmp_path}/d")), "doc_id", "source"))
+    words = {d: bool(t) for d, t, _ in docs}
+    for source, target in (("a", 300 * 2 / 3), ("b", 300 * 4 / 3)):      # weights 1 and 2, 300 words each
+        empties = {taken[d, s] for d, _, s in docs if s == source and not words[d]}
+        assert empties == {int(target // 300)}
+        assert abs(3 * sum(n for (d, s), n in taken.items() if s == source and words[d]) - target) <= 3
+
+
 def test_mix_repeats_rows_whole(spark, odd):
     docs = spark.read.parquet(f"{odd}/documents.parquet")
     out = mixing.mix(docs)
