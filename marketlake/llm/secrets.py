@@ -11,17 +11,22 @@ secret found at any depth is reported as a span of the original.
 A document is one row's work and nothing is shuffled.  Layers are unpacked one
 at a time and dropped when done, so memory holds one chain of nested layers,
 each bounded by the longest text or by ``MAX_LAYER``, and a digest per layer.
+What unpacks to more than ``MAX_LAYER`` is scanned whole, as a stream in
+windows of about that size: what is open at a window's edge moves on to the
+next, and a run longer than half a window is unpacked as a stream of its own.
 """
 
 from __future__ import annotations
 
 import base64
 import bz2
+import codecs
 import lzma
 import re
 import zlib
 from array import array
 from collections import deque
+from functools import partial
 from hashlib import blake2b
 
 import pyarrow as pa
@@ -38,11 +43,17 @@ HEX = re.compile(r"[0-9a-f]{32,}")                   # runs are maximal, so shor
 KINDS = ("assign", "access", "hex")
 LEAST_VALUE, LEAST_ACCESS = 8, 16
 
-MAX_LAYER = 16 << 20                                 # a layer that unpacks beyond this is counted as refused
+MAX_LAYER = 16 << 20                                 # what unpacks beyond this is scanned as a stream, in windows
+OVERLAP = 4096                                       # characters that windows share at least
+STEP = 1 << 18                                       # bytes unpacked at once
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
 SURROGATES = re.compile(r"\\u([dD][89abAB][0-9A-Fa-f]{2})\\u([dD][c-fC-F][0-9A-Fa-f]{2})")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+RUN = re.compile(r"[A-Za-z0-9+/_-]*={0,2}")
+# what may go on beyond the end of a text, read backwards: a base64 run, one with escapes, all without white space
+OPEN = [re.compile(x) for x in (r"={0,2}[A-Za-z0-9+/_-]*", r"[A-Za-z0-9+/_=%\\&#;-]*", r"\S*")]
+SPACES = re.compile(r"\x20{65,}")
 CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
 SPANS_DDL = "doc_id bigint, spans array<struct<kind:string,start:bigint,end:bigint,depth:int>>, refused int"
 
@@ -58,7 +69,11 @@ def scan(text: str) -> list[tuple[int, int, int]]:
 
 
 class Layer:
-    """A text and the original span of each of its characters (None: the original itself)."""
+    """A text and the original span of each of its characters.
+
+    ``starts`` and ``ends`` are None for the original itself, and two numbers
+    in a layer that came out of one run, where all spans are that run.
+    """
 
     __slots__ = ("text", "starts", "ends", "depth")
 
@@ -66,7 +81,12 @@ class Layer:
         self.text, self.starts, self.ends, self.depth = text, starts, ends, depth
 
     def span(self, start: int, end: int) -> tuple[int, int]:
-        return (start, end) if self.starts is None else (self.starts[start], self.ends[end - 1])
+        if self.starts is None:
+            return start, end
+        return (self.starts, self.ends) if self.packed() else (self.starts[start], self.ends[end - 1])
+
+    def packed(self) -> bool:
+        return isinstance(self.starts, int)
 
     def replaced(self, pattern: re.Pattern, decode) -> Layer | None:
         """This layer with every match decoded; ``decode`` gives [(character, source length)] or None."""
@@ -74,8 +94,9 @@ class Layer:
 
         def keep(a: int, b: int) -> None:
             text.append(self.text[a:b])
-            starts.extend(range(a, b) if self.starts is None else self.starts[a:b])
-            ends.extend(range(a + 1, b + 1) if self.ends is None else self.ends[a:b])
+            if not self.packed():
+                starts.extend(range(a, b) if self.starts is None else self.starts[a:b])
+                ends.extend(range(a + 1, b + 1) if self.ends is None else self.ends[a:b])
 
         for m in pattern.finditer(self.text):
             got = decode(m[0])
@@ -85,20 +106,22 @@ class Layer:
             pos = m.start()
             for char, width in got:
                 text.append(char)
-                a, b = self.span(pos, pos + width)
-                starts.append(a)
-                ends.append(b)
+                if not self.packed():
+                    a, b = self.span(pos, pos + width)
+                    starts.append(a)
+                    ends.append(b)
                 pos += width
             at, changed = m.end(), True
         if not changed:
             return None
         keep(at, len(self.text))
+        if self.packed():
+            starts, ends = self.starts, self.ends
         return Layer("".join(text), starts, ends, self.depth + 1)
 
     def inside(self, start: int, end: int, text: str) -> Layer:
         """A layer unpacked from the characters start..end of this one."""
-        a, b = self.span(start, end)
-        return Layer(text, array("q", [a]) * len(text), array("q", [b]) * len(text), self.depth + 1)
+        return Layer(text, *self.span(start, end), self.depth + 1)
 
     def key(self) -> tuple[bytes, int, int]:
         return blake2b(self.text.encode(), digest_size=16).digest(), *self.span(0, len(self.text))
@@ -126,58 +149,248 @@ class TooLarge(Exception):
     pass
 
 
-def _unpacked(raw: bytes) -> bytes | None:
-    """``raw`` decompressed once if it looks compressed (gzip, zlib, bzip2, xz, zstd), else None."""
-    try:
-        if raw[:2] == b"\x1f\x8b" or raw[:1] == b"\x78" and len(raw) > 2 and int.from_bytes(raw[:2], "big") % 31 == 0:
-            d = zlib.decompressobj(47)
-            out = d.decompress(raw, MAX_LAYER)
-            whole = d.eof
-        elif raw[:3] == b"BZh":
-            d = bz2.BZ2Decompressor()
-            out = d.decompress(raw, MAX_LAYER)
-            whole = d.eof
-        elif raw[:6] == b"\xfd7zXZ\x00":
-            d = lzma.LZMADecompressor(memlimit=256 << 20)
-            out = d.decompress(raw, MAX_LAYER)
-            whole = d.eof
-        elif raw[:4] == b"\x28\xb5\x2f\xfd":
-            import zstandard
-            with zstandard.ZstdDecompressor(max_window_size=64 << 20).stream_reader(raw) as r:
-                out = r.read(MAX_LAYER)
-                whole = not r.read(1)
-        else:
+class _Zlib:
+    """zlib's decompressor (gzip and zlib) with the methods of bz2's."""
+
+    def __init__(self):
+        self.d = zlib.decompressobj(47)
+        self.eof, self.needs_input, self.unused_data = False, True, b""
+
+    def decompress(self, data: bytes, most: int) -> bytes:
+        out = self.d.decompress(self.d.unconsumed_tail + data, most)
+        self.eof, self.unused_data = self.d.eof, self.d.unused_data
+        self.needs_input = not self.d.unconsumed_tail and len(out) < most
+        return out
+
+
+class _Zstd:
+    """zstandard's decompressor with the methods of bz2's; a few bytes at a time, as it has no bound for the output."""
+
+    def __init__(self):
+        import zstandard
+        self.d = zstandard.ZstdDecompressor(max_window_size=64 << 20).decompressobj()
+        self.held, self.eof, self.needs_input, self.unused_data = b"", False, True, b""
+
+    def decompress(self, data: bytes, most: int) -> bytes:
+        self.held += data
+        out, size, at = [], 0, 0
+        while at < len(self.held) and size < most and not self.eof:
+            out.append(self.d.decompress(self.held[at:at + 256]))
+            size += len(out[-1])
+            at += 256
+            self.eof = self.d.eof
+        self.held = self.held[at:]
+        self.needs_input = not self.held
+        if self.eof:
+            self.unused_data = self.d.unused_data + self.held
+        return b"".join(out)
+
+
+def _decompressor(head: bytes):
+    """A decompressor for what starts with ``head`` (gzip, zlib, bzip2, xz, zstd), or None."""
+    if head[:2] == b"\x1f\x8b" or head[:1] == b"\x78" and len(head) > 2 and int.from_bytes(head[:2], "big") % 31 == 0:
+        return _Zlib()
+    if head[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if head[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor(memlimit=256 << 20)
+    if head[:4] == b"\x28\xb5\x2f\xfd":
+        try:
+            return _Zstd()
+        except ImportError:
             return None
-    except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError, ImportError):
-        return None
+    return None
+
+
+class _Feed:
+    """The bytes of an iterator; what follows ``mark`` can be taken again."""
+
+    def __init__(self, pieces):
+        self.pieces, self.held, self.at, self.mark = iter(pieces), b"", 0, 0
+
+    def more(self) -> bool:
+        piece = next(self.pieces, None)
+        if piece is None:
+            return False
+        if self.at - self.mark > MAX_LAYER:
+            self.mark = self.at
+        self.held = self.held[self.mark:] + piece
+        self.at, self.mark = self.at - self.mark, 0
+        return True
+
+    def head(self, n: int) -> bytes:
+        while len(self.held) - self.at < n and self.more():
+            pass
+        return self.held[self.at:self.at + n]
+
+    def take(self) -> bytes:
+        while self.at == len(self.held) and self.more():
+            pass
+        got = self.held[self.at:self.at + STEP]
+        self.at += len(got)
+        return got
+
+
+def _member(feed: _Feed, d):
+    """The bytes that ``d`` makes of ``feed``, in pieces; a stream cut short still gives what it holds."""
+    try:
+        while not d.eof and (data := feed.take()):
+            while True:
+                out = d.decompress(data, STEP)
+                data = b""
+                if out:
+                    yield out
+                if d.eof or d.needs_input:
+                    break
+    except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError):
+        return
     except Exception as error:                       # zstandard's own error type, without importing it above
-        if type(error).__name__ == "ZstdError":
-            return None
-        raise
-    if not whole and len(out) >= MAX_LAYER:
-        raise TooLarge
-    return out                                       # a stream cut short still gives what it holds
+        if type(error).__name__ != "ZstdError":
+            raise
+
+
+def _streams(pieces):
+    """What the compressed stream in ``pieces`` unpacks to, in pieces; nothing if there is none."""
+    feed = _Feed(pieces)
+    d = _decompressor(feed.head(6))
+    if d is not None:
+        yield from _member(feed, d)
+
+
+def _unpacked(raw: bytes) -> bytes | None:
+    """``raw`` decompressed once if it looks compressed (gzip, zlib, bzip2, xz, zstd), else None."""
+    out, size = [], 0
+    for piece in _streams([raw]):
+        out.append(piece)
+        size += len(piece)
+        if size > MAX_LAYER:
+            raise TooLarge
+    return b"".join(out) or None
+
+
+def _decoded(run):
+    """The bytes of a base64 run that comes in pieces."""
+    rest = ""
+    for piece in run:
+        rest += piece.rstrip("=").replace("-", "+").replace("_", "/")
+        whole = len(rest) // 4 * 4
+        yield base64.b64decode(rest[:whole])
+        rest = rest[whole:]
+    if len(rest) > 1:
+        yield base64.b64decode(rest + "=" * (4 - len(rest)))
+
+
+def _characters(pieces):
+    decoder = codecs.getincrementaldecoder("utf-8")("replace")
+    for piece in pieces:
+        yield decoder.decode(piece)
+    yield decoder.decode(b"", True)
+
+
+def _run_at(characters, start: int):
+    """The base64 run that begins at ``start``, in pieces."""
+    for piece in characters:
+        if start < len(piece):
+            run = RUN.match(piece, start)[0]
+            yield run
+            if len(run) < len(piece) - start:
+                return
+        start = max(0, start - len(piece))
+
+
+def _windows(characters):
+    """(text, None) for each window, and (None, start) for each base64 run too long for one.
+
+    In a packed layer all spans are the same, so a match may be in two windows.
+    """
+    most, shared = MAX_LAYER, min(OVERLAP, MAX_LAYER // 4)
+    parts, length = [], 0
+    at, inside = 0, False                            # at: where the end of the window is, less its length
+    for piece in characters:
+        for i in range(0, len(piece), most // 4):
+            parts.append(piece[i:i + most // 4])
+            length += len(parts[-1])
+            if length < most:
+                continue
+            held = SPACES.sub(" " * 64, "".join(parts))          # for the patterns one space is as good as many
+            at += length - len(held)
+            parts, length = [held], len(held)
+            if length < most:
+                continue
+            yield held, None
+            back = held[::-1]
+            open_runs = [len(x.match(back)[0]) for x in OPEN]
+            if open_runs[0] < most // 2:
+                keep, inside = max(n for n in open_runs if n < most // 2), False
+            else:
+                keep = 0
+                if not inside or open_runs[0] < len(held):
+                    yield None, at + len(held) - open_runs[0]
+                inside = True
+            cut = len(held) - max(shared, min(keep + shared, most * 3 // 4))
+            at += cut
+            parts, length = [held[cut:]], len(held) - cut
+    if length:
+        yield "".join(parts), None
+
+
+def _scanned_as_stream(source, refused: list[int]):
+    """The texts of all that ``source()``, bytes in pieces, unpacks to, layer below layer.
+
+    A layer is unpacked again for the one below it, so none is held whole.
+    """
+    seen = set()
+
+    def hashed(pieces, digest):
+        for piece in pieces:
+            digest.update(piece)
+            yield piece
+
+    while True:
+        inner = partial(lambda outer: _streams(outer()), source)
+        if next(inner(), None) is None:
+            return
+        digest = blake2b(digest_size=16)
+        for text, start in _windows(_characters(hashed(inner(), digest))):
+            if start is None:
+                yield text
+                continue
+            refused[0] += 1
+            yield from _scanned_as_stream(lambda s=start, i=inner: _decoded(_run_at(_characters(i()), s)), refused)
+        if digest.digest() in seen:                  # a stream that holds itself
+            return
+        seen.add(digest.digest())
+        source = inner
 
 
-def _plain(run: str) -> str | None:
-    """The text in a base64 run, through any compressed layers; None if there is none."""
+def _plain(run: str, refused: list[int]):
+    """The texts in a base64 run, through any compressed layers; none if there is none."""
     body = run.rstrip("=")
     if len(body) % 4 == 1:
-        return None
+        return
     if "-" in body or "_" in body:
         body = body.replace("-", "+").replace("_", "/")
     raw = base64.b64decode(body + "=" * (-len(body) % 4))
     seen = set()
-    while (inner := _unpacked(raw)) is not None:
+    while True:
+        try:
+            inner = _unpacked(raw)
+        except TooLarge:
+            refused[0] += 1
+            yield from _scanned_as_stream(partial(iter, [raw]), refused)
+            return
+        if inner is None:
+            break
         seen.add(blake2b(raw, digest_size=16).digest())
         raw = inner
         if blake2b(raw, digest_size=16).digest() in seen:        # a stream that holds itself
-            return None
+            return
     try:
         text = raw.decode()
     except UnicodeDecodeError:
-        return None
-    return None if not text or CONTROL.search(text) else text
+        return
+    if text and not CONTROL.search(text):
+        yield text
 
 
 def _rewritten(layer: Layer):
@@ -203,20 +416,16 @@ def _inner(layer: Layer, refused: list[int]):
         runs = [m.span()]
         while runs:
             a, b = runs.pop()
-            try:
-                got = _plain(text[a:b])
-            except TooLarge:
-                refused[0] += 1
-                continue
-            if got is not None:
+            got = None
+            for got in _plain(text[a:b], refused):
                 yield layer.inside(a, b, got)
-            elif (a, b) == m.span():                 # perhaps a path or a name stands before the run
+            if got is None and (a, b) == m.span():                 # perhaps a path or a name stands before the run
                 runs += [(a + p.start(), a + p.end()) for p in re.finditer(r"[A-Za-z0-9]{16,}={0,2}", m[0])
                          if p.span() != (0, b - a)]
 
 
 def find_secrets(text: str) -> tuple[list[tuple[str, int, int, int]], int]:
-    """Spans (kind, start, end, depth) by start, kind and end; and how many layers were too large.
+    """Spans (kind, start, end, depth) by start, kind and end; and how many layers were scanned as streams.
 
     A span found at several depths is listed once, with the least seen; the
     text itself is scanned first, so its own spans have depth 0.
@@ -256,8 +465,9 @@ def secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     """One row per row of ``docs``: doc_id, spans, refused.
 
     ``spans`` is sorted by start, then kind (assign, access, hex), then end;
-    depth 0 are the base spans.  ``refused`` counts layers that would unpack
-    to more than ``MAX_LAYER``.  A null or empty text has no spans; a null id
+    depth 0 are the base spans.  ``refused`` counts layers refused as
+    one text, as they unpack to more than ``MAX_LAYER``: they are scanned as
+    streams, and their spans are listed.  A null or empty text has no spans; a null id
     stays null; an empty table gives no rows; other columns are not read.
     """
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("depth", pa.int32())]))
