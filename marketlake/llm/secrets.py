@@ -53,6 +53,7 @@ BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 RUN = re.compile(r"[A-Za-z0-9+/_-]*={0,2}")
 # what may go on beyond the end of a text, read backwards: a base64 run, one with escapes, all without white space
 OPEN = [re.compile(x) for x in (r"={0,2}[A-Za-z0-9+/_-]*", r"[A-Za-z0-9+/_=%\\&#;-]*", r"\S*")]
+MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
 SPACES = re.compile(r"\x20{65,}")
 CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
 SPANS_DDL = "doc_id bigint, spans array<struct<kind:string,start:bigint,end:bigint,depth:int>>, refused int"
@@ -187,19 +188,12 @@ class _Zstd:
 
 
 def _decompressor(head: bytes):
-    """A decompressor for what starts with ``head`` (gzip, zlib, bzip2, xz, zstd), or None."""
-    if head[:2] == b"\x1f\x8b" or head[:1] == b"\x78" and len(head) > 2 and int.from_bytes(head[:2], "big") % 31 == 0:
+    """A decompressor for what starts with ``head`` (see ``MAGIC``)."""
+    if head[:1] in b"\x1f\x78":
         return _Zlib()
-    if head[:3] == b"BZh":
+    if head[:1] == b"B":
         return bz2.BZ2Decompressor()
-    if head[:6] == b"\xfd7zXZ\x00":
-        return lzma.LZMADecompressor(memlimit=256 << 20)
-    if head[:4] == b"\x28\xb5\x2f\xfd":
-        try:
-            return _Zstd()
-        except ImportError:
-            return None
-    return None
+    return _Zstd() if head[:1] == b"\x28" else lzma.LZMADecompressor(memlimit=256 << 20)
 
 
 class _Feed:
@@ -218,47 +212,70 @@ class _Feed:
         self.at, self.mark = self.at - self.mark, 0
         return True
 
-    def head(self, n: int) -> bytes:
-        while len(self.held) - self.at < n and self.more():
-            pass
-        return self.held[self.at:self.at + n]
-
-    def take(self) -> bytes:
+    def seek(self) -> bytes | None:
+        """Marks the next place that looks compressed, and gives what is passed on the way; None if there is no more."""
+        passed = b""
+        while (m := MAGIC.search(self.held, self.at)) is None:
+            end = max(self.at, len(self.held) - 5)   # a signature may go on in the next piece
+            passed = (passed + self.held[self.at:end]).strip(b"\0")[:1]
+            self.at = self.mark = end
+            if not self.more():
+                return None
+        passed += self.held[self.at:m.start()].strip(b"\0")[:1]
+        self.at = self.mark = m.start()
+        return passed
+
+    def take(self, most: int) -> bytes:
         while self.at == len(self.held) and self.more():
             pass
-        got = self.held[self.at:self.at + STEP]
+        got = self.held[self.at:self.at + most]
         self.at += len(got)
         return got
 
 
-def _member(feed: _Feed, d):
-    """The bytes that ``d`` makes of ``feed``, in pieces; a stream cut short still gives what it holds."""
+def _member(feed: _Feed):
+    """What the stream at the front of ``feed`` unpacks to, in pieces; one cut short still gives what it holds.
+
+    Leaves ``feed`` behind the stream, or, if it does not come to its end, behind the first byte.
+    """
     try:
-        while not d.eof and (data := feed.take()):
+        d, most = _decompressor(feed.held[feed.at:feed.at + 1]), 1024
+        while data := feed.take(most):
+            most = min(2 * most, STEP)               # there may be many small members
             while True:
                 out = d.decompress(data, STEP)
                 data = b""
                 if out:
                     yield out
-                if d.eof or d.needs_input:
+                if d.eof:
+                    feed.at -= len(d.unused_data)
+                    return
+                if d.needs_input:
                     break
-    except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError):
-        return
+    except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError, ImportError):
+        pass
     except Exception as error:                       # zstandard's own error type, without importing it above
         if type(error).__name__ != "ZstdError":
             raise
+    feed.at = feed.mark + 1
 
 
 def _streams(pieces):
-    """What the compressed stream in ``pieces`` unpacks to, in pieces; nothing if there is none."""
-    feed = _Feed(pieces)
-    d = _decompressor(feed.head(6))
-    if d is not None:
-        yield from _member(feed, d)
+    """What all compressed streams in ``pieces`` unpack to, in pieces; nothing if there is none.
+
+    Members that follow each other are joined; between others stands a line break.
+    """
+    feed, given = _Feed(pieces), False
+    while (passed := feed.seek()) is not None:
+        for out in _member(feed):
+            if passed and given:
+                yield b"\n"
+            passed, given = b"", True
+            yield out
 
 
 def _unpacked(raw: bytes) -> bytes | None:
-    """``raw`` decompressed once if it looks compressed (gzip, zlib, bzip2, xz, zstd), else None."""
+    """The compressed streams in ``raw`` (gzip, zlib, bzip2, xz, zstd), unpacked once and joined; None without any."""
     out, size = [], 0
     for piece in _streams([raw]):
         out.append(piece)
@@ -372,25 +389,27 @@ def _plain(run: str, refused: list[int]):
         body = body.replace("-", "+").replace("_", "/")
     raw = base64.b64decode(body + "=" * (-len(body) % 4))
     seen = set()
-    while True:
+    while (digest := blake2b(raw, digest_size=16).digest()) not in seen:         # else a stream that holds itself
+        seen.add(digest)
+        text = _text(raw)
+        if text:
+            yield text
         try:
-            inner = _unpacked(raw)
+            raw = _unpacked(raw)
         except TooLarge:
             refused[0] += 1
             yield from _scanned_as_stream(partial(iter, [raw]), refused)
             return
-        if inner is None:
-            break
-        seen.add(blake2b(raw, digest_size=16).digest())
-        raw = inner
-        if blake2b(raw, digest_size=16).digest() in seen:        # a stream that holds itself
+        if raw is None:
             return
+
+
+def _text(raw: bytes) -> str | None:
     try:
         text = raw.decode()
     except UnicodeDecodeError:
-        return
-    if text and not CONTROL.search(text):
-        yield text
+        return None
+    return None if CONTROL.search(text) else text
 
 
 def _rewritten(layer: Layer):

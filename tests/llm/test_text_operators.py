@@ -1,8 +1,10 @@
 """Packing, SimHash, exact dedup, secrets, language ID and quality against brute force."""
 
 import base64
+import bz2
 import gzip
 import hashlib
+import lzma
 import re
 import urllib.parse
 import zlib
@@ -253,6 +255,24 @@ def test_secrets_at_window_edges_are_found(monkeypatch):
             assert ("assign", 0, len(run)) in {s[:3] for s in secrets.find_secrets(run)[0]}, (at, inside)
 
 
+def zstd(raw):
+    import zstandard
+    return zstandard.ZstdCompressor().compress(raw)
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstd])
+@pytest.mark.parametrize("bound", [16 << 20, 30_000])
+def test_secrets_in_later_members_are_found(monkeypatch, pack, bound):
+    monkeypatch.setattr(secrets, "MAX_LAYER", bound)
+    middle = noise_lines(2000).encode() + SECRET[:12].encode()
+    for raw in (pack(b"first one\n") + pack(middle) + pack(SECRET[12:].encode()),       # a secret over two members
+                pack(b"first one\n") + b"\0\0\0\0" + pack(b"x") + b"other bytes" + pack(SECRET.encode())):
+        run = in_base64(raw)
+        assert ("assign", 4, 4 + len(run)) in {s[:3] for s in secrets.find_secrets(f"see {run} end")[0]}
+    many = in_base64(pack(b"a line\n") * 3000 + pack(SECRET.encode()))
+    assert [s[0] for s in secrets.find_secrets(many)[0]] == ["assign"]
+
+
 def test_language_id(spark, root):
     got = {(d, h, p) for d, h, p, s in rows_of(QUERIES["op10_language_id"](spark, root), "doc_id", "held_out", "lang_pred",
                                                "score") if 0 <= s <= 1}
