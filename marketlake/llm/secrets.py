@@ -55,7 +55,9 @@ RUN = re.compile(r"[A-Za-z0-9+/_-]*={0,2}")
 OPEN = [re.compile(x) for x in (r"={0,2}[A-Za-z0-9+/_-]*", r"[A-Za-z0-9+/_=%\\&#;-]*", r"\S*")]
 MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
 SPACES = re.compile(r"\x20{65,}")
-CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
+CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f\ufffd]")
+# UTF-16 and UTF-32 read as UTF-8: characters with one or three NULs between them
+WIDE = re.compile(r"(?:[^\x00]\x00){8,}[^\x00]?|(?:[^\x00]\x00{3}){8,}[^\x00]?")
 SPANS_DDL = "doc_id bigint, spans array<struct<kind:string,start:bigint,end:bigint,depth:int>>, refused int"
 
 
@@ -129,11 +131,13 @@ class Layer:
 
 
 def _percent(run: str):
-    try:
-        text = bytes.fromhex(run.replace("%", "")).decode()
-    except UnicodeDecodeError:
-        return None
-    return [(c, 3 * len(c.encode())) for c in text]
+    text = bytes.fromhex(run.replace("%", "")).decode(errors="surrogateescape")
+    return [("\ufffd", 3) if "\ud800" <= c <= "\udfff" else (c, 3 * len(c.encode())) for c in text]
+
+
+def _wide(run: str):
+    width = 4 if run[2] == "\0" else 2
+    return [(c, min(width, len(run) - i * width)) for i, c in enumerate(run[::width])]
 
 
 def _pair(pair: str):
@@ -391,9 +395,7 @@ def _plain(run: str, refused: list[int]):
     seen = set()
     while (digest := blake2b(raw, digest_size=16).digest()) not in seen:         # else a stream that holds itself
         seen.add(digest)
-        text = _text(raw)
-        if text:
-            yield text
+        yield raw.decode(errors="replace")
         try:
             raw = _unpacked(raw)
         except TooLarge:
@@ -404,18 +406,12 @@ def _plain(run: str, refused: list[int]):
             return
 
 
-def _text(raw: bytes) -> str | None:
-    try:
-        text = raw.decode()
-    except UnicodeDecodeError:
-        return None
-    return None if CONTROL.search(text) else text
-
-
 def _rewritten(layer: Layer):
-    """The layer with its URL escapes, surrogate pairs or Unicode escapes decoded."""
+    """The layer with its wide characters, URL escapes, surrogate pairs or Unicode escapes decoded."""
     text = layer.text
     steps = []
+    if "\0" in text:
+        steps.append((WIDE, _wide))
     if "%" in text:
         steps.append((PERCENT, _percent))
     if "\\u" in text:
@@ -435,10 +431,11 @@ def _inner(layer: Layer, refused: list[int]):
         runs = [m.span()]
         while runs:
             a, b = runs.pop()
-            got = None
+            noise = True
             for got in _plain(text[a:b], refused):
                 yield layer.inside(a, b, got)
-            if got is None and (a, b) == m.span():                 # perhaps a path or a name stands before the run
+                noise = noise and CONTROL.search(got) is not None
+            if noise and (a, b) == m.span():                 # perhaps a path or a name stands before the run
                 runs += [(a + p.start(), a + p.end()) for p in re.finditer(r"[A-Za-z0-9]{16,}={0,2}", m[0])
                          if p.span() != (0, b - a)]
 
@@ -486,7 +483,8 @@ def secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     ``spans`` is sorted by start, then kind (assign, access, hex), then end;
     depth 0 are the base spans.  ``refused`` counts layers refused as
     one text, as they unpack to more than ``MAX_LAYER``: they are scanned as
-    streams, and their spans are listed.  A null or empty text has no spans; a null id
+    streams, and their spans are listed.  Bytes that are not UTF-8 count as
+    U+FFFD; the rest of their layer is scanned.  A null or empty text has no spans; a null id
     stays null; an empty table gives no rows; other columns are not read.
     """
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("depth", pa.int32())]))

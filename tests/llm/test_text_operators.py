@@ -4,8 +4,10 @@ import base64
 import bz2
 import gzip
 import hashlib
+import io
 import lzma
 import re
+import tarfile
 import urllib.parse
 import zlib
 from collections import Counter
@@ -273,6 +275,31 @@ def test_secrets_in_later_members_are_found(monkeypatch, pack, bound):
     assert [s[0] for s in secrets.find_secrets(many)[0]] == ["assign"]
 
 
+def tar_gz(text):
+    out = io.BytesIO()
+    with tarfile.open(fileobj=out, mode="w:gz") as tar:
+        info = tarfile.TarInfo("a/file.txt")
+        info.size = len(text)
+        tar.addfile(info, io.BytesIO(text.encode()))
+    return out.getvalue()
+
+
+@pytest.mark.parametrize("raw", [
+    tar_gz("x\n" + SECRET), SECRET.encode("utf-16"), ("\u00e9\u6f22 " + SECRET).encode("utf-16-be"), SECRET.encode("utf-32"),
+    gzip.compress(SECRET.encode("utf-16-le")), f"caf\u00e9 {SECRET}".encode("latin-1"), f"\x1b[31m{SECRET}\x1b[0m".encode(),
+    f"{SECRET} \u6f22".encode()[:-1], zlib.compress(noise_lines(300).encode() + SECRET.encode() + b" " + noise_lines(9).encode())[:-9],
+    SECRET.encode() + b"\0\xff",
+])
+def test_secrets_beside_bytes_that_are_no_text_are_found(raw):
+    run = in_base64(raw)
+    assert [s[:3] for s in secrets.find_secrets(f"see {run} end")[0]] == [("assign", 4, 4 + len(run))]
+
+
+def test_secrets_in_escapes_that_are_not_utf8_are_found():
+    quoted = "".join(f"%{c:02X}" for c in f"caf\u00e9 {SECRET}".encode("latin-1"))
+    assert [s[:3] for s in secrets.find_secrets(f"see {quoted} end")[0]] == [("assign", 4 + 15, 3 + len(quoted) - 2)]
+
+
 def test_language_id(spark, root):
     got = {(d, h, p) for d, h, p, s in rows_of(QUERIES["op10_language_id"](spark, root), "doc_id", "held_out", "lang_pred",
                                                "score") if 0 <= s <= 1}
