@@ -28,7 +28,9 @@ from array import array
 from collections import deque
 from functools import partial
 from hashlib import blake2b
+from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,13 +51,28 @@ STEP = 1 << 18                                       # bytes unpacked at once
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
 SURROGATES = re.compile(r"\\u([dD][89abAB][0-9A-Fa-f]{2})\\u([dD][c-fC-F][0-9A-Fa-f]{2})")
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-RUN = re.compile(r"[A-Za-z0-9+/_-]*={0,2}")
+BREAK = r"[ \t]{0,32}(?:\r\n?|\n)[ \t]{0,32}"           # a wrapped run is one run
+BASE64 = re.compile(rf"[A-Za-z0-9+/_-]{{16,}}(?:{BREAK}[A-Za-z0-9+/_-]+)*(?:(?:{BREAK})?=){{0,2}}")
+LINE = re.compile(r"[A-Za-z0-9+/_=-]+")
+PART = re.compile(r"[A-Za-z0-9]+|[+/_-]")
+RUN = re.compile(r"[A-Za-z0-9+/_\s-]*={0,2}")
+TO_STANDARD = str.maketrans("-_", "+/")
 # what may go on beyond the end of a text, read backwards: a base64 run, one with escapes, all without white space
-OPEN = [re.compile(x) for x in (r"={0,2}[A-Za-z0-9+/_-]*", r"[A-Za-z0-9+/_=%\\&#;-]*", r"\S*")]
+KREAB = r"[ \t]{0,32}(?:\n\r?|\r)[ \t]{0,32}"
+OPEN = [re.compile(x) for x in (rf"\s{{0,66}}={{0,2}}[A-Za-z0-9+/_-]*(?:{KREAB}[A-Za-z0-9+/_-]+)*",
+                                rf"\s{{0,66}}[A-Za-z0-9+/_=%\\&#;-]*(?:{KREAB}[A-Za-z0-9+/_=%\\&#;-]+)*", r"\S*")]
+# bytes as quote() and repr() write them: what stands for itself and what is escaped
+QUOTED = re.compile(r"(?:%[0-9A-Fa-f]{2}|[A-Za-z0-9_.~+/!'()*-])+")
+REPR = re.compile(r"""(?:\\x[0-9A-Fa-f]{2}|\\u00[0-9A-Fa-f]{2}|\\[abfnrtv0\\'"]|[\x20-\x5b\x5d-\x7e])+""")
+BYTE = {"%": re.compile(r"%..|."), "\\": re.compile(r"\\x..|\\u00..|\\.|.")}
+MARK = r"(?:%|\\x|\\u00)"
+ESCAPED_MAGIC = re.compile(rf"{MARK}1f{MARK}8b|(?:x|{MARK}78)(?:\^|{MARK}(?:01|5e|9c|da))|(?:B|{MARK}42)(?:Z|{MARK}5a)(?:h|{MARK}68)"
+                           rf"|{MARK}fd|{MARK}b5", re.IGNORECASE)
+SHORT = {f"\\{c}": ord(x) for c, x in zip("abfnrtv0", "\a\b\f\n\r\t\v\0")}
 MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
 SPACES = re.compile(r"\x20{65,}")
 CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f\ufffd]")
+NO_TEXT = re.compile(r"[\x01-\x08\x0e-\x1f\x7f\ufffd]")
 # UTF-16 and UTF-32 read as UTF-8: characters with one or three NULs between them
 WIDE = re.compile(r"(?:[^\x00]\x00){8,}[^\x00]?|(?:[^\x00]\x00{3}){8,}[^\x00]?")
 SPANS_DDL = "doc_id bigint, spans array<struct<kind:string,start:bigint,end:bigint,depth:int>>, refused int"
@@ -293,7 +310,7 @@ def _decoded(run):
     """The bytes of a base64 run that comes in pieces."""
     rest = ""
     for piece in run:
-        rest += piece.rstrip("=").replace("-", "+").replace("_", "/")
+        rest += "".join(piece.rstrip("=").split()).translate(TO_STANDARD)
         whole = len(rest) // 4 * 4
         yield base64.b64decode(rest[:whole])
         rest = rest[whole:]
@@ -301,6 +318,13 @@ def _decoded(run):
         yield base64.b64decode(rest + "=" * (4 - len(rest)))
 
 
+def _from(run, start: int):
+    for piece in run:
+        piece = "".join(piece.split())
+        yield piece[start:]
+        start = max(0, start - len(piece))
+
+
 def _characters(pieces):
     decoder = codecs.getincrementaldecoder("utf-8")("replace")
     for piece in pieces:
@@ -377,25 +401,20 @@ def _scanned_as_stream(source, refused: list[int]):
                 yield text
                 continue
             refused[0] += 1
-            yield from _scanned_as_stream(lambda s=start, i=inner: _decoded(_run_at(_characters(i()), s)), refused)
+            for k in range(4):                       # it need not begin where the run does
+                yield from _scanned_as_stream(
+                    lambda s=start, i=inner, k=k: _decoded(_from(_run_at(_characters(i()), s), k)), refused)
         if digest.digest() in seen:                  # a stream that holds itself
             return
         seen.add(digest.digest())
         source = inner
 
 
-def _plain(run: str, refused: list[int]):
-    """The texts in a base64 run, through any compressed layers; none if there is none."""
-    body = run.rstrip("=")
-    if len(body) % 4 == 1:
-        return
-    if "-" in body or "_" in body:
-        body = body.replace("-", "+").replace("_", "/")
-    raw = base64.b64decode(body + "=" * (-len(body) % 4))
+def _below(raw: bytes, refused: list[int]):
+    """The texts of all that ``raw`` unpacks to, layer below layer."""
     seen = set()
     while (digest := blake2b(raw, digest_size=16).digest()) not in seen:         # else a stream that holds itself
         seen.add(digest)
-        yield raw.decode(errors="replace")
         try:
             raw = _unpacked(raw)
         except TooLarge:
@@ -404,6 +423,108 @@ def _plain(run: str, refused: list[int]):
             return
         if raw is None:
             return
+        yield raw.decode(errors="replace")
+
+
+def _base64(body: str) -> bytes:
+    if len(body) % 4 == 1:
+        body = body[:-1]
+    return base64.b64decode(body + "=" * (-len(body) % 4))
+
+
+def _run(layer: Layer, lines: list[tuple[int, int]], refused: list[int]):
+    """The layers in the base64 run of these lines; returns if it is one from its first character on.
+
+    If it is not, perhaps a path or a name stands before it: then it is
+    decoded from all four places in a group of characters, and what is found
+    is mapped to the parts between + / - _ that hold it.  Likewise, texts in a
+    wrapped run are mapped to its lines.
+    """
+    body = "".join(layer.text[a:b] for a, b in lines).rstrip("=").translate(TO_STANDARD)
+    first, last = lines[0][0], lines[-1][1]
+    raw = _base64(body)
+    text = raw.decode(errors="replace")
+    clean = CONTROL.search(text) is None
+    whole = clean or bool(MAGIC.match(raw)) and next(_streams([raw]), None) is not None
+    mostly = 4 * len(NO_TEXT.findall(text)) < len(text)          # a text that is not all UTF-8
+    parts = lines if whole or mostly else [(a + p.start(), a + p.end()) for a, b in lines for p in PART.finditer(layer.text[a:b])]
+    single = layer.packed() or len(parts) == 1
+    if not single:
+        at = np.cumsum([0] + [b - a for a, b in parts])[:-1]
+        spans = np.array([layer.span(a, b) for a, b in parts])
+        spans[-1, 1] = layer.span(first, last)[1]    # with the padding
+    for k in range(1 if whole else 4):
+        if k:
+            raw = _base64(body[k:])
+            text = raw.decode(errors="replace")
+        if single:
+            yield layer.inside(first, last, text)
+        else:
+            code = np.frombuffer(raw.decode(errors="surrogateescape").encode("utf-32-le", "surrogatepass"), "<u4").copy()
+            stray = (code >= 0xD800) & (code <= 0xDFFF)          # a byte that is not UTF-8
+            width = np.where(stray, 1, 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000))
+            code[stray] = 0xFFFD
+            text = code.tobytes().decode("utf-32-le")
+            end = np.cumsum(width)
+            a, b = (k + (end - width) * 8 // 6, k + (end * 8 - 1) // 6)
+            where = [spans[np.searchsorted(at, x, "right") - 1, i] for i, x in enumerate((a, b))]
+            yield Layer(text, *(array("q", x.astype(np.int64).tobytes()) for x in where), layer.depth + 1)
+        start = first
+        if not (whole or single) and (m := MAGIC.search(raw)):
+            start = parts[int(np.searchsorted(at, k + m.start() * 8 // 6, "right")) - 1][0]
+        for inner in _below(raw, refused):
+            yield layer.inside(start, last, inner)
+    return whole
+
+
+def _wrapped(lines: list[tuple[int, int]]):
+    """``lines`` grouped: all but the first and the last line of a wrapped run are equally long."""
+    width, at = [b - a for a, b in lines], 0
+    while at < len(lines):
+        end = at + 1
+        if end < len(lines):
+            full = width[end] if width[end:end + 2] == [width[end]] * 2 else max(width[at:end + 1])
+            end += 1
+            while end < len(lines) and width[end - 1] == full >= width[end]:
+                end += 1
+        yield lines[at:end]
+        at = end
+
+
+def _runs_of_their_own(text: str, lines: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The lines that may as well be runs by themselves: each is a text, or more than one starts a stream."""
+    if len(lines) == 1:
+        return []
+    raw = [_base64(text[a:b].rstrip("=").translate(TO_STANDARD)) if b - a >= 16 else b"" for a, b in lines]
+    streams = [bool(MAGIC.match(r)) for r in raw]
+    return [line for line, r, packed in zip(lines, raw, streams) if r and (
+        packed and sum(streams) > 1 or not packed and CONTROL.search(r.decode(errors="replace")) is None)]
+
+
+def _escaped(layer: Layer, pattern: re.Pattern, mark: str, refused: list[int]):
+    """The layers in compressed bytes that are written with escapes."""
+    for m in pattern.finditer(layer.text):
+        if mark not in m[0]:
+            continue
+        tokens = BYTE[mark].findall(m[0])
+        raw = bytes(int(t[-2:], 16) if len(t) > 2 else SHORT.get(t, ord(t[-1])) for t in tokens)
+        if mark == "%":
+            raw = raw if "+" not in m[0] else bytes(0x20 if t == "+" else c for t, c in zip(tokens, raw))
+        found = MAGIC.search(raw)
+        if found is None:
+            continue
+        at = list(accumulate(map(len, tokens), initial=m.start()))
+        while found is not None:
+            i, j = found.start(), len(tokens)
+            before = layer.text[at[i] - 1:at[i]]
+            if before in ("'", '"'):                 # a literal: it ends with the quote
+                j = next((n for n in range(i, j) if tokens[n] == before), j)
+            end = j
+            if before not in ("'", '"') and all(len(t) > 1 for t in tokens[i:i + 32]):   # no byte stands for itself
+                end = next((n for n in range(i, j) if len(tokens[n]) == 1), j)
+            for text in _below(raw[i:j], refused):
+                yield layer.inside(at[i], at[end], text)
+            found = MAGIC.search(raw, j)
 
 
 def _rewritten(layer: Layer):
@@ -425,19 +546,20 @@ def _rewritten(layer: Layer):
 
 
 def _inner(layer: Layer, refused: list[int]):
-    """The layers packed into base64 runs of ``layer``."""
+    """The layers packed into base64 runs and escaped bytes of ``layer``."""
     text = layer.text
     for m in BASE64.finditer(text):
-        runs = [m.span()]
-        while runs:
-            a, b = runs.pop()
-            noise = True
-            for got in _plain(text[a:b], refused):
-                yield layer.inside(a, b, got)
-                noise = noise and CONTROL.search(got) is not None
-            if noise and (a, b) == m.span():                 # perhaps a path or a name stands before the run
-                runs += [(a + p.start(), a + p.end()) for p in re.finditer(r"[A-Za-z0-9]{16,}={0,2}", m[0])
-                         if p.span() != (0, b - a)]
+        lines = [(m.start() + p.start(), m.start() + p.end()) for p in LINE.finditer(m[0])]
+        groups, whole = list(_wrapped(lines)), True
+        for group in groups:
+            whole = (yield from _run(layer, group, refused)) and whole
+            for line in _runs_of_their_own(text, group):
+                yield from _run(layer, [line], refused)
+        if not whole and len(groups) > 1:
+            yield from _run(layer, lines, refused)
+    if ("%" in text or "\\" in text) and ESCAPED_MAGIC.search(text):
+        yield from _escaped(layer, QUOTED, "%", refused)
+        yield from _escaped(layer, REPR, "\\", refused)
 
 
 def find_secrets(text: str) -> tuple[list[tuple[str, int, int, int]], int]:

@@ -300,6 +300,41 @@ def test_secrets_in_escapes_that_are_not_utf8_are_found():
     assert [s[:3] for s in secrets.find_secrets(f"see {quoted} end")[0]] == [("assign", 4 + 15, 3 + len(quoted) - 2)]
 
 
+def wrapped(raw, width=76, by="\n"):
+    run = in_base64(raw)
+    return by.join(run[i:i + width] for i in range(0, len(run), width))
+
+
+LOG = (noise_lines(40) + SECRET + "\n" + noise_lines(5)).encode()
+
+
+@pytest.mark.parametrize("run", [
+    *(wrapped(pack(LOG), width, by) for pack in (gzip.compress, bz2.compress, lzma.compress, zlib.compress, zstd)
+      for width, by in ((76, "\n"), (64, "\r\n"), (75, "\n    "))),
+    "/data/some-name/" + in_base64(gzip.compress(LOG)).replace("+", "-").replace("/", "_"),
+    "name" + in_base64(zlib.compress(LOG)), "x_" + in_base64(bytes(range(40, 60)) + b" ~?>~ " + SECRET.encode()),
+    "-----BEGIN CERTIFICATE-----\n" + wrapped(gzip.compress(LOG), 64) + "\n-----END CERTIFICATE-----",
+    "first " + in_base64(gzip.compress(LOG))[:90] + "\n " + wrapped(gzip.compress(LOG), 60)[91:],
+    urllib.parse.quote(gzip.compress(LOG)), urllib.parse.quote_plus(bz2.compress(LOG)), urllib.parse.quote(zstd(LOG)),
+    "".join(f"%{c:02x}" for c in zlib.compress(LOG)), "".join(f"\\x{c:02x}" for c in lzma.compress(LOG)),
+    repr(gzip.compress(LOG)), repr(bz2.compress(LOG)), "".join(f"\\u00{c:02x}" for c in zstd(LOG)),
+])
+def test_secrets_in_wrapped_glued_and_escaped_runs_are_found(run):
+    text = f"see {run} end"
+    found = [s for s in secrets.find_secrets(text)[0] if s[0] == "assign"]
+    assert found and all(3 < a < b <= 4 + len(run) for _, a, b, _ in found)
+
+
+def test_secrets_over_wrapped_lines_are_whole():
+    for at in range(20, 57):
+        run = wrapped(b"." * at + b"token=" + b"a1B2" * 6 + b" \n" + b"." * 100)
+        text = f"see:\n{run}\n\nend"
+        assert ("assign", 5, 5 + 76 * 2 + 1 if at > 27 else 5 + 76) in {s[:3] for s in secrets.find_secrets(text)[0]}, at
+    ones = [in_base64(f"secret=abcd1234EFGH{i:02}".encode()) for i in range(3)]     # lines that are one run each
+    spans = secrets.find_secrets("\n".join(ones))[0]
+    assert {s[1:3] for s in spans} >= {(29 * i, 29 * i + 28) for i in range(3)}
+
+
 def test_language_id(spark, root):
     got = {(d, h, p) for d, h, p, s in rows_of(QUERIES["op10_language_id"](spark, root), "doc_id", "held_out", "lang_pred",
                                                "score") if 0 <= s <= 1}
