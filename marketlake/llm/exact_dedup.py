@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import crc_mod, read, save, text_or_empty, with_row_key, without
+from marketlake.llm.common import as_table, crc_mod, read, save, text_or_empty, with_row_key, without
 
 SHARD_KEYS = 32_768
 LOAD = 2.0                                        # bits per key at each level
@@ -212,6 +212,7 @@ def exact_dedup(docs: DataFrame, historical=None, doc_id: str = "doc_id",
 
 def keep_first_copies(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows whose text another row keeps; same columns."""
+    docs = as_table(docs)
     return without(docs, exact_dedup(docs).filter(~F.col("kept")))
 
 

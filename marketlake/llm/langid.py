@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import crc_mod, read, save, text_or_empty, with_row_key, without
+from marketlake.llm.common import as_table, crc_mod, read, save, text_or_empty, with_row_key, without
 
 GRAM = 4
 LOG2_POSITIONS = 20
@@ -163,6 +163,7 @@ def learn(docs: DataFrame) -> dict:
 
 def keep_identified(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that have no language: null, without letters, or no known n-gram."""
+    docs = as_table(docs)
     predicted = predict(docs, learn(docs))
     return without(docs, predicted.filter((F.col("lang_pred") == UNDETERMINED) | (F.col("score") <= 0)))
 

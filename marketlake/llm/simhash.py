@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.common import read, save, text_or_empty, with_row_key, without
+from marketlake.llm.common import as_table, read, save, text_or_empty, with_row_key, without
 from marketlake.llm.graph import components
 
 SHINGLE_WORDS = 3
@@ -186,6 +186,7 @@ def near_groups(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = RADIU
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of near copies; same columns."""
+    docs = as_table(docs)
     return without(docs, near_groups(docs).filter(~F.col("stays")))
 
 

@@ -152,6 +152,28 @@ def test_exact_dedup_does_not_depend_on_the_split(spark, history):
     assert sorted(a) == sorted(b)
 
 
+def frames_that_are_no_scan(spark):
+    """Texts repeated as a union of tables, an in-memory frame, and several rows of one row of a table."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(40)
+    rows = [(int(i), f"some words of text number {i} {'abc' * int(i)}", "en") for i in range(20)]
+    memory = spark.createDataFrame(rows + rows + [(99, "123", "en")], "doc_id long, text string, lang string").repartition(3)
+    table = spark.read.parquet(f"{SF_SMALL}/documents.parquet").filter("doc_id < 30")
+    return [table.union(table), memory, docs.union(docs), table.withColumn("n", F.explode(F.array(F.lit(1), F.lit(2))))]
+
+
+@pytest.mark.parametrize("i", range(4))
+def test_rows_of_frames_that_are_no_scan_are_dropped(spark, i):
+    docs = frames_that_are_no_scan(spark)[i]
+    lower = [lower_az(t) for _, t in rows_of(docs, "doc_id", "text")]
+    once = xd.keep_first_copies(docs)
+    assert once.columns == docs.columns
+    assert len(lower) > once.count() == len(set(lower))
+    assert simhash.keep_one_of_each(docs).count() <= len(set(lower))
+    with_none = docs.limit(1000).unionByName(docs.limit(1).withColumn("text", F.lit("1 2 3")))
+    identified = rows_of(langid.keep_identified(with_none), "text")
+    assert identified and ("1 2 3",) not in identified
+
+
 def test_minimal_perfect_hash():
     rng = np.random.default_rng(3)
     keys = rng.integers(0, 1 << 63, (5000, 2)).astype(np.uint64)
