@@ -8,7 +8,8 @@ reduces the new rows the same way and looks each digest up: a slot whose
 digest is byte-equal is a repeat and joins that group; the rest, nonmembers,
 form groups of their own.  Only digests move; a digest is in a shuffle once
 per map task however many copies a text has, and a shard holds about
-``shard_keys`` digests whatever the input size.
+``SHARD_KEYS`` digests, historical and new ones together, whatever the input
+size and the split.
 
 Texts are equal when identical after lower-casing A-Z; null counts as empty.
 """
@@ -174,17 +175,18 @@ def _sharded(groups: DataFrame, shards: int) -> DataFrame:
     return groups.withColumn("shard", F.pmod(F.xxhash64("digest"), F.lit(shards)))
 
 
-def build_index(history: DataFrame, shard_keys: int = SHARD_KEYS) -> tuple[DataFrame, int]:
-    """The written index over ``history`` (rows of ``digests``) and its number of shards."""
-    groups = save(distinct_digests(history), "digest-history")
-    shards = max(1, -(-groups.count() // shard_keys))
-    index = _sharded(groups, shards).groupBy("shard").applyInArrow(_build_shard, INDEX_DDL)
-    return save(index, "digest-index"), shards
+def build_index(history: DataFrame, shards: int) -> DataFrame:
+    """The written index over ``history`` (rows of ``distinct_digests``)."""
+    index = _sharded(history, shards).groupBy("shard").applyInArrow(_build_shard, INDEX_DDL)
+    return save(index, "digest-index")
 
 
 def probe(index: DataFrame, shards: int, batch: DataFrame) -> DataFrame:
-    """All groups of history and ``batch`` together: (digest, keep_id, keep_row, group_size, historical)."""
-    new = _sharded(distinct_digests(batch), shards)
+    """All groups of history and ``batch`` (rows of ``distinct_digests``) together.
+
+    (digest, keep_id, keep_row, group_size, historical)
+    """
+    new = _sharded(batch, shards)
     return (index.groupBy("shard").cogroup(new.groupBy("shard"))
             .applyInArrow(lambda old, rows: _probe_shard(old, rows), GROUP_DDL))
 
@@ -203,8 +205,10 @@ def exact_dedup(docs: DataFrame, historical=None, doc_id: str = "doc_id",
     rows = save(digests(docs, doc_id, text), "digests")
     old = historical if historical is not None else crc_mod("doc_id", 2) == 0
     old = F.coalesce(old, F.lit(False))
-    index, shards = build_index(rows.filter(old))
-    groups = save(probe(index, shards, rows.filter(~old)), "digest-groups")
+    history = save(distinct_digests(rows.filter(old)), "digest-history")
+    batch = save(distinct_digests(rows.filter(~old)), "digest-batch")
+    shards = max(1, -(-(history.count() + batch.count()) // SHARD_KEYS))
+    groups = save(probe(build_index(history, shards), shards, batch), "digest-groups")
     return (rows.join(groups, "digest")
             .select("doc_id", "row_key", "digest", "keep_id", "group_size",
                     (F.col("row_key") == F.col("keep_row")).alias("kept")))

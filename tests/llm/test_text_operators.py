@@ -174,6 +174,23 @@ def test_rows_of_frames_that_are_no_scan_are_dropped(spark, i):
     assert identified and ("1 2 3",) not in identified
 
 
+@pytest.mark.parametrize("history", ["false", "doc_id < 3", "true"])
+def test_exact_dedup_shards_hold_few_new_digests(spark, monkeypatch, history):
+    sizes, probe = [], xd.probe
+
+    def probed(index, shards, batch):
+        groups = xd._sharded(probe(index, shards, batch), shards)
+        sizes.extend(n for n, in rows_of(groups.groupBy("shard").count(), "count"))
+        return groups.drop("shard")
+
+    monkeypatch.setattr(xd, "SHARD_KEYS", 20)
+    monkeypatch.setattr(xd, "probe", probed)
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    distinct = len({lower_az(t) for _, t in rows_of(docs, "doc_id", "text")})
+    assert rows_of(xd.exact_dedup(docs, F.expr(history)).groupBy().count(), "count") == [(docs.count(),)]
+    assert sum(sizes) == distinct > 60 and max(sizes) <= 50
+
+
 def test_minimal_perfect_hash():
     rng = np.random.default_rng(3)
     keys = rng.integers(0, 1 << 63, (5000, 2)).astype(np.uint64)
