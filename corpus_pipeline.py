@@ -20,7 +20,7 @@ from marketlake.llm.simhash import keep_one_of_each
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows without an identifiable language go."""
+    """Rows whose text is null or has no letter, so that no language can be identified, go."""
     return keep_identified(docs)
 
 

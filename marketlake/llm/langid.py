@@ -35,6 +35,8 @@ def _pieces(texts: list[str]):
     who, lengths, parts, total = [], [], [], 0
     for i, t in enumerate(texts):
         raw = b" " + t.lower().encode() + b" "
+        if len(raw) == GRAM - 1:                     # one ASCII character: padded to one n-gram
+            raw += b" "
         for at in range(0, max(1, len(raw) - GRAM + 1), PIECE):
             part = raw[at:at + PIECE + GRAM - 1]
             who.append(i)
@@ -162,10 +164,17 @@ def learn(docs: DataFrame) -> dict:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows that have no language: null, without letters, or no known n-gram."""
+    """``docs`` without the rows whose text has no language: null or without letters.
+
+    These are the rows that ``predict`` gives ``und``.  A text whose n-grams
+    are known nowhere has score 0 and stays.  If no row has a language to
+    learn from, nothing is predicted and the same rows go.
+    """
     docs = as_table(docs)
-    predicted = predict(docs, learn(docs))
-    return without(docs, predicted.filter((F.col("lang_pred") == UNDETERMINED) | (F.col("score") <= 0)))
+    model = learn(docs)
+    if not model["langs"]:
+        return docs.filter(text_or_empty("text").rlike(LETTER))
+    return without(docs, predict(docs, model).filter(F.col("lang_pred") == UNDETERMINED))
 
 
 def op10_language_id(spark, sf_dir) -> DataFrame:

@@ -401,6 +401,21 @@ def test_language_filter_has_no_false_negatives(spark):
     assert langid.identify([long_text], model)[1][0] > 0.5
 
 
+@pytest.mark.parametrize("lang", ["en", None])
+def test_only_texts_without_letters_have_no_language(spark, tmp_path, lang):
+    rows = [(i, f"some words of text number {i}", lang) for i in range(20)]
+    odd = [(100, "\u0e20\u0e32\u0e29\u0e32\u0e44\u0e17\u0e22"), (101, "a"), (102, "\u00e9"), (103, "q!"), (104, "12 ?!"), (105, ""), (106, None)]
+    spark.createDataFrame(rows + [(i, t, None) for i, t in odd], "doc_id long, text string, lang string"
+                          ).write.parquet(f"{tmp_path}/documents.parquet")
+    kept = langid.keep_identified(spark.read.parquet(f"{tmp_path}/documents.parquet"))
+    assert sorted(i for i, in rows_of(kept, "doc_id")) == [*range(20), 100, 101, 102, 103]
+
+
+def test_one_letter_has_one_gram():
+    _, lengths, raw = next(langid._pieces(["a"]))
+    assert len(langid._grams(lengths, raw)[0]) == 1
+
+
 def test_quality_scores(spark, root):
     got = rows_of(QUERIES["op9_quality"](spark, root), "doc_id", "held_out", "score", "predicted")
     docs = table(spark, root)
