@@ -9,7 +9,9 @@ taken in key order while the prefix sum of their sizes stays within the
 budget; the document at the edge is taken if more than half of it fits.
 
 A source may hold any share of all rows, so no window spans a source.  Keys
-fall into ``buckets`` ranges; the sizes of (source, range) are summed first
+fall into ``buckets`` ranges of their logarithm: a weight only shifts that of
+a key, so no range holds more than 0.03% of the keys of any weight expected.
+The sizes of (source, range) are summed first
 (map-side), their prefix sums run over at most ``buckets`` rows a source, and
 only the documents of the one range that holds a source's edge are sorted.
 """
@@ -24,7 +26,8 @@ from marketlake.llm.common import WORD, fresh, read, save
 
 WEIGHTS = (1, 2, 3)
 MOST_EPOCHS = 3
-BUCKETS = 4096
+BUCKETS = 32_768
+LEAST_LN, MOST_LN = -8.0, 16.0                     # what lies outside is in the first or the last range
 SALTS = 64
 PROSE_WORD = 6.0                                   # mean characters of a word, white space included
 
@@ -76,7 +79,8 @@ def keyed(docs: DataFrame, names: dict[str, str], weight: Column | None = None,
     u = ((F.conv(F.substring(F.md5(F.encode(ident, "UTF-8")), 1, 12), 16, 10).cast("bigint") + F.lit(0.5))
          / F.lit(float(1 << 48)))
     return (docs.withColumn(size, size_of("text")).withColumn(key, -F.ln(u) / w)
-            .withColumn(rng, F.floor((F.lit(1.0) - F.exp(-F.col(key))) * F.lit(buckets)).cast("int")))
+            .withColumn(rng, F.least(F.greatest(F.floor((F.ln(F.col(key)) - F.lit(LEAST_LN)) * F.lit(buckets / (MOST_LN - LEAST_LN))),
+                                                F.lit(0)), F.lit(buckets - 1)).cast("int")))
 
 
 def mix_plan(rows: DataFrame, weights=WEIGHTS, most_epochs: int = MOST_EPOCHS) -> DataFrame:

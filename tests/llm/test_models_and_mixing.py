@@ -254,3 +254,15 @@ def test_pipeline_run_equals_brute_force(spark):
     expected = Counter(rows_of(mixing.mix(staged), "doc_id"))
     pieces = rows_of(corpus_pipeline.run(spark, SF_SMALL).filter("piece = 0"), "doc_id")
     assert Counter(pieces) == expected
+
+
+@pytest.mark.parametrize("chars", [5, 60, 300, 100_000])
+def test_mixing_ranges_are_even_for_any_weight(spark, chars):
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("s").alias("source"),
+                                    F.expr(f"repeat(substr(md5(CAST(id AS STRING)), 1, 5), {chars} DIV 5)").alias("text"))
+    rows = mixing.keyed(docs, mixing.PLAIN).drop("text")
+    largest = rows.groupBy("range").count().agg(F.max("count")).first()[0]
+    salted = rows.groupBy(F.col("range") % mixing.SALTS).count().agg(F.max("count")).first()[0]
+    assert largest <= 20 and salted <= 4 * 4000 / mixing.SALTS
+    wrong = rows.selectExpr("key", "range", "lag(range) OVER (ORDER BY key) AS before").filter("before > range")
+    assert wrong.count() == 0
