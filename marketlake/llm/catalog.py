@@ -7,6 +7,7 @@ from marketlake.llm.hmm import op7_hmm_scores
 from marketlake.llm.langid import op10_language_id
 from marketlake.llm.mixing import OP8_SQL, op8_mixing
 from marketlake.llm.packing import op1_best_fit_packing
+from marketlake.llm.periodic import op11_periodic_runs
 from marketlake.llm.quality import op9_quality
 from marketlake.llm.secrets import op3_secret_scan
 from marketlake.llm.simhash import op2_simhash
@@ -22,6 +23,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_quality": op9_quality,
     "op10_language_id": op10_language_id,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 #: the other operators have no SQL form: tests/llm holds brute-force versions of them
