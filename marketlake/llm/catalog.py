@@ -8,6 +8,7 @@ from marketlake.llm.langid import op10_language_id
 from marketlake.llm.mixing import OP8_SQL, op8_mixing
 from marketlake.llm.packing import op1_best_fit_packing
 from marketlake.llm.periodic import op11_periodic_runs
+from marketlake.llm.phrases import OP13_SQL, op13_phrases
 from marketlake.llm.quality import op9_quality
 from marketlake.llm.secrets import op3_secret_scan
 from marketlake.llm.simhash import op2_simhash
@@ -24,7 +25,8 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_language_id": op10_language_id,
     "op11_periodic_runs": op11_periodic_runs,
+    "op13_phrases": op13_phrases,
 }
 
 #: the other operators have no SQL form: tests/llm holds brute-force versions of them
-ORACLE = {"op5_chat_format": OP5_SQL, "op6_exact_dedup": OP6_SQL, "op8_mixing": OP8_SQL}
+ORACLE = {"op5_chat_format": OP5_SQL, "op6_exact_dedup": OP6_SQL, "op8_mixing": OP8_SQL, "op13_phrases": OP13_SQL}
