@@ -9,6 +9,7 @@ from marketlake.llm.mixing import OP8_SQL, op8_mixing
 from marketlake.llm.packing import op1_best_fit_packing
 from marketlake.llm.periodic import op11_periodic_runs
 from marketlake.llm.phrases import OP13_SQL, op13_phrases
+from marketlake.llm.pii import op12_personal_data
 from marketlake.llm.quality import op9_quality
 from marketlake.llm.secrets import op3_secret_scan
 from marketlake.llm.simhash import op2_simhash
@@ -25,6 +26,7 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_language_id": op10_language_id,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_personal_data": op12_personal_data,
     "op13_phrases": op13_phrases,
 }
 
