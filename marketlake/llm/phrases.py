@@ -46,7 +46,7 @@ KIND = np.zeros(256, np.uint8)                    # 0 word, 1 blank, 2 separator
 KIND[list(BLANKS)], KIND[list(SEPARATORS)] = 1, 2
 PLAIN = bytes(c + 32 if 65 <= c <= 90 else 32 if KIND[c] else c for c in range(256))
 FACTORS = np.random.default_rng(11).integers(1 << 62, (1 << 63) - 1, LONGEST + 2).astype(np.uint64) | np.uint64(1)
-STRIPES = "lang string, prefix string, slice int, next array<string>, n array<bigint>"
+STRIPES = "key string, entries string"            # slice, prefix, language by tabs; next word and count in turn by spaces
 MERGED = "lang string, prefix string, slice int, total bigint, next array<string>, n array<bigint>"
 
 
@@ -123,12 +123,12 @@ def _stripes(lang: str, prefixes: pa.Array, which: np.ndarray, nexts: np.ndarray
     order = np.lexsort((slices, which))
     which, nexts, n, slices = which[order], nexts[order], n[order], slices[order]
     new = np.flatnonzero(np.r_[True, (np.diff(which) != 0) | (np.diff(slices) != 0)]) if len(which) else np.array([], int)
+    key = pc.binary_join_element_wise(pa.array(slices[new], pa.int32()).cast(pa.string()),
+                                      prefixes.take(pa.array(which[new])), pa.scalar(lang), "\t")
+    entry = pc.binary_join_element_wise(words.take(pa.array(nexts)), pa.array(n, pa.int64()).cast(pa.string()), " ")
     offsets = pa.array(np.r_[new, len(which)], pa.int32())
-    return pa.RecordBatch.from_arrays(
-        [pa.array([lang] * len(new), pa.string()), prefixes.take(pa.array(which[new])),
-         pa.array(slices[new], pa.int32()), pa.ListArray.from_arrays(offsets, words.take(pa.array(nexts))),
-         pa.ListArray.from_arrays(offsets, pa.array(n, pa.int64()))],
-        names=["lang", "prefix", "slice", "next", "n"])
+    return pa.RecordBatch.from_arrays([key, pc.binary_join(pa.ListArray.from_arrays(offsets, entry), " ")],
+                                      names=["key", "entries"])
 
 
 def _group_stripes(lang: str, texts: list[str], orders: range, passed: PhraseFilter | None, hot: set):
@@ -171,45 +171,43 @@ def _group_stripes(lang: str, texts: list[str], orders: range, passed: PhraseFil
 
 
 def _merge(batches, least: int):
-    """Add up sorted stripes: per stripe its total and the entries counted at least ``least`` times."""
+    """Add up stripes sorted by key: per stripe its total and the entries counted at least ``least`` times."""
     def rows(keys, entries, totals):
-        """keys: rows of (lang, prefix, slice); entries (g, next, n); one output row per key."""
+        """One output row per key; entries (g, next, n) belong to the key numbered g."""
         frequent = entries.filter(pc.greater_equal(entries["n"], least)).sort_by("g")
         sizes = np.bincount(frequent["g"].to_numpy(), minlength=len(keys))
         offsets = pa.array(np.r_[0, np.cumsum(sizes)], pa.int32())
+        parts = pc.list_flatten(pc.split_pattern(keys, "\t", max_splits=2))
+        number, prefix, lang = (parts.take(pa.array(np.arange(i, 3 * len(keys), 3))) for i in range(3))
         flat = lambda c: frequent[c].combine_chunks()
         return pa.RecordBatch.from_arrays(
-            [*[keys[c].combine_chunks() for c in ("lang", "prefix", "slice")], pa.array(totals),
+            [lang, prefix, number.cast(pa.int32()), pa.array(totals),
              pa.ListArray.from_arrays(offsets, flat("next")), pa.ListArray.from_arrays(offsets, flat("n"))],
             names=["lang", "prefix", "slice", "total", "next", "n"])
 
     key = held = None                             # the last stripe seen may go on in the next batch
     for b in batches:
-        t = pa.Table.from_batches([b])
-        if not t.num_rows:
+        if not b.num_rows:
             continue
-        own, entry_row = t.select(["lang", "prefix", "slice"]), np.repeat(
-            np.arange(t.num_rows), pc.list_value_length(t["next"]).to_numpy())
-        nexts, n = pc.list_flatten(t["next"]).combine_chunks(), pc.list_flatten(t["n"]).combine_chunks()
+        keys, lists = b.column(0), pc.split_pattern(b.column(1), " ")
+        row = np.repeat(np.arange(b.num_rows), pc.list_value_length(lists).to_numpy() // 2)
+        flat = pc.list_flatten(lists)
+        nexts = flat.take(pa.array(np.arange(0, len(flat), 2)))
+        n = flat.take(pa.array(np.arange(1, len(flat), 2))).cast(pa.int64())
         if key is not None:
-            own = pa.concat_tables([key, own])
-            entry_row = np.r_[np.zeros(held.num_rows, np.int64), entry_row + 1]
+            keys, row = pa.concat_arrays([key, keys]), np.r_[np.zeros(held.num_rows, np.int64), row + 1]
             nexts, n = pa.concat_arrays([held["next"].combine_chunks(), nexts]), pa.concat_arrays([held["n"].combine_chunks(), n])
-        new = np.zeros(own.num_rows, bool)
-        new[0] = True
-        for c in own.columns:
-            c = c.combine_chunks()
-            new[1:] |= pc.not_equal(c[1:], c[:-1]).to_numpy(zero_copy_only=False)
+        new = np.r_[True, pc.not_equal(keys[1:], keys[:-1]).to_numpy(zero_copy_only=False)]
         group = np.cumsum(new) - 1
-        entries = pa.table({"g": group[entry_row], "next": nexts, "n": n}).group_by(
+        entries = pa.table({"g": group[row], "next": nexts, "n": n}).group_by(
             ["g", "next"], use_threads=False).aggregate([("n", "sum")]).rename_columns(["g", "next", "n"])
         firsts, last = np.flatnonzero(new), int(group[-1])
         if last:
             done = entries.filter(pc.less(entries["g"], last))
             totals = np.zeros(last, np.int64)
             np.add.at(totals, done["g"].to_numpy(), done["n"].to_numpy())
-            yield rows(own.take(pa.array(firsts[:-1])), done, totals)
-        key, held = own.slice(int(firsts[-1]), 1), entries.filter(pc.equal(entries["g"], last)).select(["next", "n"])
+            yield rows(keys.take(pa.array(firsts[:-1])), done, totals)
+        key, held = keys.slice(int(firsts[-1]), 1), entries.filter(pc.equal(entries["g"], last)).select(["next", "n"])
     if key is not None:
         entries = held.append_column("g", pa.array(np.zeros(held.num_rows, np.int64)))
         yield rows(key, entries, np.array([pc.sum(held["n"]).as_py()], np.int64))
@@ -233,8 +231,7 @@ def merged_stripes(source: DataFrame, orders: range, least: int, passed: PhraseF
             for lang, texts in by.items():
                 yield from _group_stripes(lang, texts, orders, known, hot_words)
 
-    keys = ["lang", "prefix", "slice"]
-    stripes = source.mapInArrow(run, STRIPES).repartition(*keys).sortWithinPartitions(*keys)
+    stripes = source.mapInArrow(run, STRIPES).repartition("key").sortWithinPartitions("key")
     return save(stripes.mapInArrow(lambda batches: _merge(batches, least), MERGED), f"stripes-{orders[0]}")
 
 
