@@ -133,10 +133,16 @@ def table_presence(spark: SparkSession, paths: Mapping[str, str], fmt: str = "pa
     from pyspark.errors import AnalysisException
 
     from marketlake.session import path_exists
+    from marketlake.sinks import lake
     tables = {}
     for name, path in paths.items():
         table = None
-        if path_exists(spark, path):
+        root, key = lake.locate(path)
+        held = lake.snapshot(spark, root).tables
+        if key in held:
+            folders = sorted(held[key].values())
+            table = spark.read.format(fmt).load([f"{root}/{f}" for f in folders]) if folders else None
+        elif not lake.is_lake(spark, root) and path_exists(spark, path):
             try:
                 table = spark.read.format(fmt).load(path)
             except AnalysisException as e:

@@ -31,7 +31,7 @@ from marketlake.schemas import CORRUPT, GOLD_DAILY, KLINE_ARRAYS
 from marketlake.session import delete_path, ensure_utc, scratch_path
 from marketlake.sinks import publish_table
 from marketlake.sources import read_bronze, read_layer, split_corrupt
-from marketlake.streaming.candle_upsert import upsert_candles
+from marketlake.streaming.candle_upsert import upsert_all
 
 
 def stage_bronze(spark: SparkSession, paths: Paths, date=None, assets: Iterable[str] | None = None,
@@ -85,10 +85,10 @@ def run_batch(spark: SparkSession, paths: Paths, date: str | _dt.date | None = N
         reports["bronze_missing"] = spark.createDataFrame(missing.collect(), missing.schema)
     counts = merge_tickers(spark, good, paths, replace=rebuild, now=now)
     tables = {"tickers": paths.silver_table("tickers")}
+    upsert_all(spark, good, paths.silver, intervals, bucket_rows, replace=rebuild)
     for array_name in intervals:
         label = KLINE_ARRAYS[array_name]
         tables[f"klines_{label}"] = paths.silver_table(f"klines_{label}")
-        upsert_candles(spark, good, tables[f"klines_{label}"], array_name, bucket_rows, replace=rebuild)
     tables[GOLD_TABLE] = paths.gold_table(GOLD_TABLE)
     delete_path(spark, staged_path)
 

@@ -2,15 +2,18 @@
 
 Batch runs and the stream write these tables through ``merge_tickers`` only.
 A merge reads the stored days that the new snapshots fall on, lets the fixed
-survivor win among copies of a snapshot, and replaces just those days of
-Silver and of Gold; nothing else is read or written.  Snapshots that the price
-rule takes out are remembered (hidden side table ``removed``), so the result
-does not depend on how the input was cut into runs.
+survivor win among copies of a snapshot, and replaces just those days; other
+symbols' rows of such a day are carried over as they are.  Snapshots that the
+price rule takes out are remembered (table ``tickers_removed``), so the result
+does not depend on how the input was cut into runs.  Silver, Gold and the
+removed snapshots change in one commit of the lake (``sinks.lake``): a run that
+dies leaves all of them as they were, and two writers lose nothing.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -20,9 +23,8 @@ from marketlake.operators.gold import build_gold_daily
 from marketlake.operators.silver import TICKER_VALUE_COLUMNS, project_ticker
 from marketlake.paths import Paths
 from marketlake.schemas import GOLD_DAILY, SILVER_TICKERS
-from marketlake.session import path_exists, scratch_path
-from marketlake.sinks.commit import EMPTIED, commit, recover, side_path
-from marketlake.sources.silver import read_stored
+from marketlake.session import delete_path, scratch_path
+from marketlake.sinks import lake
 
 GOLD_TABLE = "daily_summary"
 PARTITION = ("symbol", "date")
@@ -72,55 +74,67 @@ def _counts(observations: list[Observation], good: DataFrame) -> dict[str, int]:
     return {f"n_{s}": counts.get(f"n_{s}", 0) for s in TICKER_STEPS}
 
 
+def _names(paths: Paths) -> tuple[str, str, str, str]:
+    root, silver = lake.locate(paths.silver_table("tickers"))
+    return root, silver, f"{silver}_removed", lake.locate(paths.gold_table(GOLD_TABLE))[1]
+
+
+def stage_tickers(spark: SparkSession, new: DataFrame, paths: Paths, at: lake.Snapshot, replace: bool = False,
+                  now: _dt.datetime | None = None) -> lake.Change:
+    """Stage the merge of unique tickers with a flag ``_kept`` (a written table) into the lake as of ``at``."""
+    root, silver, removed, gold = _names(paths)
+    columns = [f.name for f in SILVER_TICKERS]
+    days = lake.days_of(new)
+    keys = new.select(*PARTITION).distinct()
+    if replace:
+        rows, gone = new.filter("_kept").select(*columns), new.filter(~F.col("_kept")).select(*columns)
+        summary = build_gold_daily(rows, now=now).select([f.name for f in GOLD_DAILY])
+    else:
+        stored = lake.read(spark, at, silver, SILVER_TICKERS, days)
+        taken = lake.read(spark, at, removed, SILVER_TICKERS, days)
+        parts = new.select(*columns)
+        for held in (stored, taken):
+            parts = parts.unionByName(_on_days(held, keys, "left_semi"))
+        scratch = scratch_path(spark, "tickers-merged")
+        merged = _survivors(parts).withColumn("_kept", _positive())
+        merged.write.parquet(scratch)
+        merged = spark.read.schema(merged.schema).parquet(scratch)
+        rows = merged.filter("_kept").select(*columns)
+        # the touched (symbol, day)s are whole in ``rows``; what the days hold besides is carried over
+        summary = build_gold_daily(rows, now=now).select([f.name for f in GOLD_DAILY]).unionByName(
+            _on_days(lake.read(spark, at, gold, GOLD_DAILY, days), keys, "left_anti"))
+        rows = rows.unionByName(_on_days(stored, keys, "left_anti"))
+        gone = merged.filter(~F.col("_kept")).select(*columns).unionByName(_on_days(taken, keys, "left_anti"))
+    change = lake.Change()
+    for name, df, cluster in ((silver, rows, ("symbol", "ingested_at")), (removed, gone, ("symbol", "ingested_at")),
+                              (gold, summary, ("symbol",))):
+        written = {d: f for (d,), f in lake.stage(df, root, name, cluster).items()}
+        change.days[name] = {**dict.fromkeys(days), **written}
+        if replace:
+            change.whole.add(name)
+            change.days[name] = written
+    if not replace:
+        delete_path(spark, scratch)
+    return change
+
+
 def merge_tickers(spark: SparkSession, good: DataFrame, paths: Paths, replace: bool = False,
-                  now: _dt.datetime | None = None) -> dict[str, int]:
+                  now: _dt.datetime | None = None,
+                  on_staged: Callable[[lake.Change], None] | None = None) -> dict[str, int]:
     """Merge the tickers of Bronze envelopes into Silver and refresh Gold for
     the days they touch; ``replace=True`` rebuilds both tables from ``good``
     alone.  Returns the DQ-4 counts of ``good``.
 
     The day of a snapshot is its own event time, whatever folder it landed in.
+    ``on_staged``: see ``lake.update``.
     """
-    path, gold_path = paths.silver_table("tickers"), paths.gold_table(GOLD_TABLE)
-    recover(spark, path)
-    staging = scratch_path(spark, "tickers")
+    scratch = scratch_path(spark, "tickers")
     tickers, observations = observed_tickers(good)
-    tickers.write.parquet(f"{staging}/new")
+    tickers.write.parquet(scratch)
     counts = _counts(observations, good)
-    new = spark.read.schema(tickers.schema).parquet(f"{staging}/new")
-    columns = [f.name for f in SILVER_TICKERS]
-
-    stored = None if replace else read_stored(spark, path, SILVER_TICKERS)
-    days = new.select(*PARTITION).distinct()
-    if stored is not None:
-        parts = [new.select(*columns), _on_days(stored, days, "left_semi").select(*columns)]
-        side = side_path(path, "removed")
-        removed = (spark.read.schema(SILVER_TICKERS).parquet(side)
-                   if path_exists(spark, f"{side}/_SUCCESS") else None)
-        if removed is not None:
-            parts.append(_on_days(removed, days, "left_semi").select(*columns))
-        rows = parts[0]
-        for p in parts[1:]:
-            rows = rows.unionByName(p)
-        merged = _survivors(rows).withColumn("_kept", _positive())
-        merged.write.parquet(f"{staging}/merged")
-        merged = spark.read.schema(merged.schema).parquet(f"{staging}/merged")
-        gone = merged.filter(~F.col("_kept")).select(*columns)
-        if removed is not None:
-            gone = gone.unionByName(_on_days(removed, days, "left_anti").select(*columns))
-    else:
-        merged, gone = new, new.filter(~F.col("_kept")).select(*columns)
-    rows = merged.filter("_kept").select(*columns)
-    rows.write.parquet(f"{staging}/rows")
-    gone.write.parquet(f"{staging}/removed")
-    emptied = _on_days(days, rows.select(*PARTITION).distinct(), "left_anti")
-    emptied.write.parquet(f"{staging}/{EMPTIED}")
-
-    # Gold of the touched days comes from the staged rows, which hold those days whole
-    recover(spark, gold_path)
-    gold_staging = scratch_path(spark, "gold")
-    staged = spark.read.schema(SILVER_TICKERS).parquet(f"{staging}/rows")
-    build_gold_daily(staged, now=now).select([f.name for f in GOLD_DAILY]).write.parquet(f"{gold_staging}/rows")
-    spark.read.parquet(f"{staging}/{EMPTIED}").write.parquet(f"{gold_staging}/{EMPTIED}")
-    commit(spark, path, staging, PARTITION, replace, sides=("removed",))
-    commit(spark, gold_path, gold_staging, PARTITION, replace)
+    new = spark.read.schema(tickers.schema).parquet(scratch)
+    if replace or not new.isEmpty():
+        lake.update(spark, _names(paths)[0], lambda at: stage_tickers(spark, new, paths, at, replace, now),
+                    on_staged=on_staged)
+    delete_path(spark, scratch)
     return counts

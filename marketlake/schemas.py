@@ -106,7 +106,7 @@ SILVER_KLINES = T.StructType([
     T.StructField("interval", T.StringType()),
 ] + [T.StructField(c, T.DoubleType()) for c in INDICATOR_COLUMNS])
 
-# Stored candle tables: the Silver columns, their day, and what a later batch continues from.
+# Candle tables as read: the Silver columns, the position and the VWAP sums of the series, the day.
 CANDLE_TABLE = T.StructType(SILVER_KLINES.fields + [
     T.StructField("_i", T.LongType()),
     T.StructField("_cum_pv", T.DoubleType()),
@@ -114,13 +114,23 @@ CANDLE_TABLE = T.StructType(SILVER_KLINES.fields + [
     T.StructField("date", T.DateType()),
 ])
 
-# One row per series and day of a candle table: the positions it holds.
+# Candle tables as stored: nothing that a change on an earlier day would change, but for the look-back.
+CANDLE_ROWS = T.StructType([f for f in SILVER_KLINES.fields if f.name != "vwap"] + [
+    T.StructField("_j", T.LongType()),
+    T.StructField("_day_pv", T.DoubleType()),
+    T.StructField("_day_v", T.DoubleType()),
+    T.StructField("date", T.DateType()),
+])
+
+# One row per series and day of a candle table: its candles and their VWAP sums.
 CANDLE_DAYS = T.StructType([
     T.StructField("symbol", T.StringType()),
     T.StructField("interval", T.StringType()),
     T.StructField("date", T.DateType()),
-    T.StructField("first_i", T.LongType()),
-    T.StructField("last_i", T.LongType()),
+    T.StructField("n", T.LongType()),
+    T.StructField("pv", T.DoubleType()),
+    T.StructField("v", T.DoubleType()),
+    T.StructField("month", T.DateType()),
 ])
 
 GOLD_DAILY = T.StructType([

@@ -8,5 +8,5 @@ from marketlake.streaming.bronze_stream import (  # noqa: F401
     start,
     stream_bronze,
 )
-from marketlake.streaming.candle_upsert import candle_upsert_query, upsert_candles  # noqa: F401,E402
+from marketlake.streaming.candle_upsert import candle_upsert_query, read_candles, upsert_all, upsert_candles  # noqa: F401,E402
 from marketlake.streaming.pipeline import await_all, each_batch, start_streams, ticker_query  # noqa: F401,E402

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from marketlake.operators.quality import QualityError, table_presence
 from marketlake.paths import Paths
 from marketlake.plans.pipeline import run_batch
+from marketlake.schemas import GOLD_DAILY, SILVER_TICKERS
+from marketlake.sources import read_layer
+from marketlake.streaming import read_candles
 from tests.fixtures import H, candle, envelope, land, ms, ticker, utc
 
 NOW = dt.datetime(2024, 3, 5, 0, 0)
@@ -26,7 +29,7 @@ def make_lake(root):
 
 
 def gold_rows(spark, paths):
-    g = spark.read.parquet(paths.gold_table("daily_summary")).drop("processed_at")
+    g = read_layer(spark, paths.gold_table("daily_summary"), GOLD_DAILY).drop("processed_at")
     return sorted(tuple(r) for r in g.select(sorted(g.columns)).collect())
 
 
@@ -36,13 +39,13 @@ def test_run_batch_end_to_end_and_idempotent(spark, tmp):
     assert all(r.present for r in reports["presence"].collect())
     rules = reports["ticker_rules"].collect()[0]
     assert (rules.n_input, rules.n_valid, rules.n_unique, rules.n_output) == (12, 12, 12, 12)
-    t = spark.read.parquet(paths.silver_table("tickers"))
+    t = read_layer(spark, paths.silver_table("tickers"), SILVER_TICKERS)
     assert t.count() == 12
-    k = spark.read.parquet(paths.silver_table("klines_1h"))
+    k = read_candles(spark, paths.silver_table("klines_1h"))
     # 2 symbols x 2 days x 3 polls x 3 candles, each candle fetched once
     assert k.count() == 36
     assert set(k.columns) >= {"sma_7", "bb_std", "rsi_14", "vwap"}
-    g = spark.read.parquet(paths.gold_table("daily_summary"))
+    g = read_layer(spark, paths.gold_table("daily_summary"), GOLD_DAILY)
     btc = g.filter((F.col("symbol") == "BTCUSDT") & (F.col("date") == dt.date(2024, 3, 1))).collect()[0]
     assert (btc.open, btc.close, btc.snapshot_count) == (101.0, 103.0, 3)
     assert abs(btc.pct_return - (103 - 101) / 101 * 100) < 1e-12
@@ -50,7 +53,7 @@ def test_run_batch_end_to_end_and_idempotent(spark, tmp):
     run_batch(spark, paths, now=NOW)
     assert gold_rows(spark, paths) == first
     # a full run rebuilds the candle tables: no row is kept twice
-    assert spark.read.parquet(paths.silver_table("klines_1h")).count() == 36
+    assert read_candles(spark, paths.silver_table("klines_1h")).count() == 36
 
 
 def test_run_batch_single_day_keeps_other_days(spark, tmp):
@@ -84,9 +87,9 @@ def test_run_batch_single_day_merges_candles(spark, tmp):
                       for r in df.select(cols).collect())
 
     run_batch(spark, paths, intervals=("klines_1h",), now=NOW)
-    before = rows(spark.read.parquet(paths.silver_table("klines_1h")))
+    before = rows(read_candles(spark, paths.silver_table("klines_1h")))
     run_batch(spark, paths, date="2024-03-02", intervals=("klines_1h",), now=NOW)
-    after = spark.read.parquet(paths.silver_table("klines_1h"))
+    after = read_candles(spark, paths.silver_table("klines_1h"))
     assert rows(after) == before
     expect = add_indicators(extract_klines(read_bronze(spark, paths.bronze), "klines_1h"))
     assert rows(after) == rows(expect)
@@ -104,6 +107,6 @@ def test_run_batch_without_tickers_reports_empty_layers(spark, tmp):
     reports = run_batch(spark, paths, strict=False, intervals=("klines_1h",), now=NOW)
     present = {r.table: r.present for r in reports["presence"].collect()}
     assert present == {"tickers": False, "klines_1h": True, "daily_summary": False}
-    assert spark.read.parquet(paths.silver_table("klines_1h")).count() == 6
+    assert read_candles(spark, paths.silver_table("klines_1h")).count() == 6
     rules = reports["ticker_rules"].collect()[0]
     assert (rules.n_input, rules.n_valid, rules.n_unique, rules.n_output) == (2, 0, 0, 0)

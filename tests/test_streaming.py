@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from marketlake.operators import clean
 from marketlake.operators.gold import build_gold_daily
 from marketlake.operators.silver import extract_ticker, project_ticker
-from marketlake.sinks.commit import side_path
-from marketlake.sources import read_bronze
-from marketlake.streaming import dedup_tickers, gold_daily_stream, run_to_completion, stream_bronze
+from marketlake.schemas import CANDLE_DAYS, SILVER_TICKERS
+from marketlake.sources import read_bronze, read_layer
+from marketlake.streaming import dedup_tickers, gold_daily_stream, read_candles, run_to_completion, stream_bronze
 from tests.test_pipeline import make_lake
 
 
@@ -108,7 +108,7 @@ def test_candle_upsert_replay_and_late_correction(spark, tmp, bucket_rows):
 
     allb = frame(docs_for([1, 2, 3, 4, 5]) + docs_for([2], bump_day=2, late=60))
     expect = add_indicators(extract_klines(allb, "klines_1h"), strategy="plain")
-    got = spark.read.parquet(path)
+    got = read_candles(spark, path)
     cols = ["open_time", "close"] + list(INDICATORS)
     e = sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in expect.select(cols).collect())
     g_ = sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in got.select(cols).collect())
@@ -124,9 +124,9 @@ def test_start_streams_matches_batch(spark, tmp):
     paths = make_lake(os.path.join(tmp, "lake"))
     await_all(start_streams(spark, paths, trigger=None, intervals=("klines_1h",)))
     batch_raw = read_bronze(spark, paths.bronze)
-    t = spark.read.parquet(paths.silver_table("tickers"))
+    t = read_layer(spark, paths.silver_table("tickers"), SILVER_TICKERS)
     assert t.count() == extract_ticker(batch_raw).count()
-    k = spark.read.parquet(paths.silver_table("klines_1h"))
+    k = read_candles(spark, paths.silver_table("klines_1h"))
     e = add_indicators(extract_klines(batch_raw, "klines_1h"), strategy="plain")
     cols = ["symbol", "open_time", "close", "sma_21", "rsi_14", "vwap"]
     rnd = lambda rows: sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in rows)
@@ -161,10 +161,10 @@ def test_candle_upsert_context_across_gap(spark, tmp, bucket_rows):
     expect = add_indicators(extract_klines(frame(docs([1, 2, 3, 20])), "klines_1h"), strategy="plain")
     cols = ["open_time", "close"] + list(INDICATORS)
     rnd = lambda rows: sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in rows)
-    got = spark.read.parquet(path)
+    got = read_candles(spark, path)
     assert rnd(got.select(cols).collect()) == rnd(expect.select(cols).collect())
-    days = {str(r.date): (r.first_i, r.last_i) for r in spark.read.parquet(side_path(path, "days")).collect()}
-    assert days == {f"2024-03-{d:02d}": (8 * i, 8 * i + 7) for i, d in enumerate((1, 2, 3, 20))}
+    days = {str(r.date): r.n for r in read_layer(spark, path + "_days", CANDLE_DAYS).collect()}
+    assert days == {f"2024-03-{d:02d}": 8 for d in (1, 2, 3, 20)}
 
 
 def test_candle_upsert_empty_batch_is_noop(spark, tmp):
@@ -185,9 +185,9 @@ def test_candle_upsert_empty_batch_is_noop(spark, tmp):
     full = frame([envelope("Bitcoin", "BTC", utc(2024, 3, 1, 23), ticker("1"),
                            k1h=[candle(ms(utc(2024, 3, 1, h)), str(10 + h)) for h in range(24)])])
     upsert_candles(spark, full, path)
-    before = sorted(spark.read.parquet(path).select("open_time", "close", "vwap", "_i").collect())
+    before = sorted(read_candles(spark, path).select("open_time", "close", "vwap", "_i").collect())
     upsert_candles(spark, empty, path)
-    assert sorted(spark.read.parquet(path).select("open_time", "close", "vwap", "_i").collect()) == before
+    assert sorted(read_candles(spark, path).select("open_time", "close", "vwap", "_i").collect()) == before
 
 
 def test_candle_merge_after_empty_rebuild(spark, tmp):
@@ -209,5 +209,5 @@ def test_candle_merge_after_empty_rebuild(spark, tmp):
     full = frame([envelope("Bitcoin", "BTC", utc(2024, 3, 1, 23), ticker("1"),
                            k5m=[candle(ms(utc(2024, 3, 1, h)), str(10 + h)) for h in range(6)])])
     upsert_candles(spark, full, path, "klines_5m")
-    rows = sorted(spark.read.parquet(path).select("_i", "close").collect())
+    rows = sorted(read_candles(spark, path).select("_i", "close").collect())
     assert [(r._i, r.close) for r in rows] == [(h, 10.0 + h) for h in range(6)]

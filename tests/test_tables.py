@@ -13,10 +13,10 @@ from marketlake.operators.quality import QualityError, ingest_totals, missing_pa
 from marketlake.operators.silver import extract_klines, extract_ticker
 from marketlake.paths import Paths
 from marketlake.plans.pipeline import run_batch
-from marketlake.schemas import BRONZE, CANDLE_TABLE, GOLD_DAILY, INGEST_LOG, SILVER_TICKERS
-from marketlake.sinks import commit as commits
+from marketlake.schemas import BRONZE, GOLD_DAILY, INGEST_LOG, SILVER_TICKERS
+from marketlake.sinks import lake
 from marketlake.sources import read_bronze, read_layer
-from marketlake.streaming import await_all, candle_upsert, start_streams, upsert_candles
+from marketlake.streaming import await_all, read_candles, start_streams, upsert_candles
 from tests.fixtures import candle, envelope, land, ms, ticker, utc
 from tests.test_pipeline import NOW, make_lake
 
@@ -68,9 +68,9 @@ def test_dated_runs_keep_snapshots_that_land_after_midnight(spark, tmp):
 def test_asset_runs_keep_the_other_assets(spark, tmp):
     paths = make_lake(os.path.join(tmp, "lake"))
     run_batch(spark, paths, intervals=("klines_1h",), now=NOW)
-    before = tables(spark, paths), rounded(read_layer(spark, paths.silver_table("klines_1h"), CANDLE_TABLE), CANDLES)
+    before = tables(spark, paths), rounded(read_candles(spark, paths.silver_table("klines_1h")), CANDLES)
     run_batch(spark, paths, assets=["Bitcoin"], intervals=("klines_1h",), now=NOW)
-    after = tables(spark, paths), rounded(read_layer(spark, paths.silver_table("klines_1h"), CANDLE_TABLE), CANDLES)
+    after = tables(spark, paths), rounded(read_candles(spark, paths.silver_table("klines_1h")), CANDLES)
     assert after == before
 
 
@@ -84,7 +84,7 @@ def test_full_run_leaves_no_stale_partition_and_no_staging(spark, tmp):
     run_batch(spark, paths, intervals=("klines_1h",), now=NOW)
     assert set(os.listdir(scratch)) <= held
     assert tables(spark, paths) == from_bronze(spark, paths)
-    assert {r[0] for r in rounded(read_layer(spark, paths.silver_table("klines_1h"), CANDLE_TABLE), CANDLES)} == {"BTCUSDT"}
+    assert {r[0] for r in rounded(read_candles(spark, paths.silver_table("klines_1h")), CANDLES)} == {"BTCUSDT"}
 
 
 def test_stream_and_batch_take_turns(spark, tmp):
@@ -170,7 +170,7 @@ def expected_candles(spark, docs):
 
 
 def stored_candles(spark, path):
-    df = read_layer(spark, path, CANDLE_TABLE)
+    df = read_candles(spark, path)
     rows = rounded(df, CANDLES)
     assert sorted(r[-1] for r in rows) == list(range(len(rows)))
     return [r[:-1] for r in rows]
@@ -183,7 +183,7 @@ def test_removed_candles_go_and_stay_away(spark, tmp):
     fix = day_docs(2, {5: 0}, late=60)                                # the day's only candle is taken back
     upsert_candles(spark, frame(spark, [fix]), path, bucket_rows=20)
     assert stored_candles(spark, path) == expected_candles(spark, [*docs, fix])
-    assert not os.path.exists(path + "/symbol=BTC/date=2024-03-02")
+    assert set(lake.snapshot(spark, tmp).tables["klines_1h"]) == {"2024-03-01", "2024-03-03"}
     upsert_candles(spark, frame(spark, [docs[1]]), path, bucket_rows=20)   # an older copy arrives late
     assert stored_candles(spark, path) == expected_candles(spark, [*docs, fix])
     back = day_docs(2, {5: 55, 6: 56}, late=120)
@@ -191,53 +191,134 @@ def test_removed_candles_go_and_stay_away(spark, tmp):
     assert stored_candles(spark, path) == expected_candles(spark, [*docs, fix, back])
 
 
-@pytest.mark.parametrize("damage", ["none", "days missing", "days empty"])
-def test_day_table_is_made_anew(spark, tmp, damage):
+def test_late_fix_rewrites_its_day_and_the_look_back(spark, tmp):
     path = tmp + "/klines_1h"
-    docs = [day_docs(d, normal(d)) for d in (1, 2, 3, 4)]
-    upsert_candles(spark, frame(spark, docs[:2]), path, bucket_rows=20)
-    side = commits.side_path(path, "days")
-    if damage != "none":
-        for f in os.listdir(side):
-            os.remove(os.path.join(side, f))
-        if damage == "days missing":
-            os.rmdir(side)
-    upsert_candles(spark, frame(spark, docs[2:]), path, bucket_rows=20)
-    assert stored_candles(spark, path) == expected_candles(spark, docs)
+    docs = [day_docs(d, normal(d)) for d in range(1, 9)] + [day_docs(10, {1: 7, 2: 8}), day_docs(11, normal(11)), day_docs(12, normal(12))]
+    upsert_candles(spark, frame(spark, docs), path, bucket_rows=20)
+    for fixed, changed in ((3, {3, 4}), (8, {8, 10, 11}), (12, {12})):
+        before = lake.snapshot(spark, tmp).tables["klines_1h"]
+        docs.append(day_docs(fixed, {h: v + 3 for h, v in normal(fixed).items()}, late=60 + fixed))
+        upsert_candles(spark, frame(spark, docs[-1:]), path, bucket_rows=20)
+        after = lake.snapshot(spark, tmp).tables["klines_1h"]
+        assert {int(d[-2:]) for d in after if before[d] != after[d]} == changed
+        assert stored_candles(spark, path) == expected_candles(spark, docs)
+
+
+def test_candles_of_other_symbols_are_carried_over(spark, tmp):
+    path = tmp + "/klines_1h"
+    other = [envelope("XRP", "XRP", utc(2024, 3, d, 23), ticker("1"),
+                      k1h=[candle(ms(utc(2024, 3, d, h)), str(d + h / 8)) for h in range(0, 24, 2)]) for d in (1, 2, 3, 4)]
+    docs = [*other, *[day_docs(d, normal(d)) for d in (1, 2, 3)]]
+    upsert_candles(spark, frame(spark, docs), path, bucket_rows=20)
+    docs.append(day_docs(1, {h: 50 + h for h in range(24)}, late=60))
+    upsert_candles(spark, frame(spark, docs[-1:]), path, bucket_rows=20)
+    assert rounded(read_candles(spark, path), CANDLES[:-1]) == expected_candles(spark, docs)
 
 
 class Died(Exception):
     pass
 
 
-@pytest.mark.parametrize("step, moment", [("announce", "before"), ("announce", "after"), ("overwrite", "after"),
-                                          ("drop_partitions", "after"), ("delete_path", "before")])
-def test_run_that_died_is_finished_or_forgotten(spark, tmp, monkeypatch, step, moment):
+def die(*_a, **_k):
+    raise Died
+
+
+@pytest.mark.parametrize("step", ["stage", "put_if_absent", "_state"])
+def test_run_that_died_changes_nothing(spark, tmp, monkeypatch, step):
     """Die at a step of a commit, then repeat the batch together with the next one."""
     docs = [day_docs(1, normal(1)), day_docs(2, {5: 100}), day_docs(3, normal(3))]
     fix, more = day_docs(2, {5: 0}, late=60), day_docs(4, normal(4))
     path = tmp + "/klines_1h"
+    monkeypatch.setattr(lake, "CHECKPOINT_EVERY", 2)
     upsert_candles(spark, frame(spark, docs), path, bucket_rows=20)
-    real = getattr(commits, step)
-
-    def dies(*a, **k):
-        if moment == "after":
-            real(*a, **k)
-        raise Died
-
     with monkeypatch.context() as m:
-        m.setattr(commits, step, dies)
+        m.setattr(lake, step, die)
         with pytest.raises(Died):
             upsert_candles(spark, frame(spark, [fix]), path, bucket_rows=20)
+    if step != "_state":                                              # that one dies when the commit is done
+        assert stored_candles(spark, path) == expected_candles(spark, docs)
     upsert_candles(spark, frame(spark, [fix, more]), path, bucket_rows=20)
     assert stored_candles(spark, path) == expected_candles(spark, [*docs, fix, more])
 
 
-def test_context_and_redo_read_only_their_days(spark, tmp):
-    """One joined read of the named days: no widening loop, no window over a series."""
-    import inspect
-    source = inspect.getsource(candle_upsert)
-    assert "while" not in source and ".persist(" not in source and "Window" not in source
+def test_silver_and_gold_change_together(spark, tmp):
+    """A reader sees both tables before or both after a commit, whenever it opens the lake."""
+    from marketlake.plans.tickers import merge_tickers
+    paths = Paths(os.path.join(tmp, "lake"))
+    docs = [envelope("Bitcoin", "BTC", utc(2024, 3, 1, h), ticker(str(h))) for h in (10, 11)]
+    merge_tickers(spark, frame(spark, docs[:1]), paths, now=NOW)
+    seen = []
+    merge_tickers(spark, frame(spark, docs[1:]), paths, now=NOW, on_staged=lambda _c: seen.append(tables(spark, paths)))
+    assert [len(seen[0][0]), seen[0][1][0][-2]] == [1, 1]
+    silver, gold = tables(spark, paths)
+    assert [len(silver), gold[0][-2]] == [2, 2]
+    with pytest.raises(Died):
+        merge_tickers(spark, frame(spark, [envelope("Bitcoin", "BTC", utc(2024, 3, 1, 12), ticker("9"))]), paths, on_staged=die)
+    assert tables(spark, paths) == (silver, gold)
+
+
+@pytest.mark.parametrize("days, versions", [((1, 1), 3), ((1, 2), 2)])
+def test_two_writers(spark, tmp, days, versions):
+    """On the same day the slower writer stages anew; on other days its change stands."""
+    from marketlake.plans.tickers import merge_tickers
+    paths = Paths(os.path.join(tmp, "lake"))
+    a, b = (envelope("Bitcoin", "BTC", utc(2024, 3, d, 10 + i), ticker(str(5 + i))) for i, d in enumerate(days))
+    staged = []
+
+    def meanwhile(change):
+        staged.append(change)
+        if len(staged) == 1:
+            merge_tickers(spark, frame(spark, [b]), paths, now=NOW)
+
+    merge_tickers(spark, frame(spark, [a]), paths, now=NOW, on_staged=meanwhile)
+    assert len(staged) == versions - 1
+    t = extract_ticker(frame(spark, [a, b]))
+    assert tables(spark, paths) == (rounded(t, TICKS), rounded(build_gold_daily(t), GOLD))
+    assert lake.snapshot(spark, paths.root).version == 2
+
+
+def test_one_record_per_version(spark, tmp):
+    """Of writers that put the same version at once exactly one succeeds."""
+    from concurrent.futures import ThreadPoolExecutor
+    os.makedirs(tmp + "/_log")
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda i: lake.put_if_absent(spark, tmp + "/_log/1.json", f"writer {i}" * 1000), range(24)))
+    assert sum(won) == 1
+    with open(tmp + "/_log/1.json") as f:
+        assert f.read() == f"writer {won.index(True)}" * 1000
+    assert os.listdir(tmp + "/_log").count("1.json") == 1 and not [x for x in os.listdir(tmp + "/_log") if "draft-" in x and ".crc" not in x]
+
+
+def test_versions_states_and_vacuum(spark, tmp, monkeypatch):
+    monkeypatch.setattr(lake, "CHECKPOINT_EVERY", 3)
+    rows = spark.createDataFrame([(dt.date(2024, 3, 1), "A", 1.0), (None, "B", 2.0)], "date date, symbol string, x double")
+
+    def put(k):
+        def staged(_at):
+            found = lake.stage(rows.withColumn("x", rows.x * k), tmp, "t", ("symbol",))
+            return lake.Change({"t": {d: f for (d,), f in found.items()}})
+        return lake.update(spark, tmp, staged)
+
+    def xs(at):
+        return sorted(r.x for r in lake.read(spark, at, "t", rows.schema).collect())
+
+    for k in range(1, 9):
+        assert put(k).version == k
+    assert [xs(lake.snapshot(spark, tmp, v)) for v in (1, 3, 5, 8)] == [[v, 2 * v] for v in (1, 3, 5, 8)]
+    with pytest.raises(ValueError):
+        lake.snapshot(spark, tmp, 9)
+    read = []
+    real = lake._read_text
+    monkeypatch.setattr(lake, "_read_text", lambda s, p: read.append(p) or real(s, p))
+    assert xs(lake.snapshot(spark, tmp)) == [8, 16]
+    assert len(read) <= 6                                             # a hint, a state, and the records behind it
+    orphan = lake.stage(rows, tmp, "t")                               # what a running writer has staged
+    assert len(lake.vacuum(spark, tmp, keep_versions=2)) == 12
+    assert xs(lake.snapshot(spark, tmp, 7)) == [7, 14] and lake.vacuum(spark, tmp, keep_versions=2) == []
+    put(9)
+    assert len(lake.vacuum(spark, tmp, keep_versions=2)) == 2
+    assert all(os.path.exists(f"{tmp}/{f}") for f in orphan.values())
+    assert lake.read(spark, lake.snapshot(spark, tmp), "t", rows.schema, days=[lake.NULL_DAY]).count() == 1
 
 
 # --- checks
