@@ -29,7 +29,7 @@ from marketlake.paths import Paths
 from marketlake.plans.tickers import GOLD_TABLE, merge_tickers
 from marketlake.schemas import CORRUPT, GOLD_DAILY, KLINE_ARRAYS
 from marketlake.session import delete_path, ensure_utc, scratch_path
-from marketlake.sinks import publish_table
+from marketlake.sinks import publish_table, quarantine
 from marketlake.sources import read_bronze, read_layer, split_corrupt
 from marketlake.streaming.candle_upsert import upsert_all
 
@@ -45,7 +45,7 @@ def stage_bronze(spark: SparkSession, paths: Paths, date=None, assets: Iterable[
     raw = raw.select("_file", "metadata", "ticker", *intervals, CORRUPT)
     raw.write.parquet(staged_path)
     good, bad = split_corrupt(spark.read.schema(raw.schema).parquet(staged_path))
-    bad.write.mode("append").json(paths.quarantine)
+    quarantine.add(spark, bad, paths)
     return select_assets(good, assets), staged_path
 
 

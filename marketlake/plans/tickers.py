@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -106,9 +107,11 @@ def stage_tickers(spark: SparkSession, new: DataFrame, paths: Paths, at: lake.Sn
         rows = rows.unionByName(_on_days(stored, keys, "left_anti"))
         gone = merged.filter(~F.col("_kept")).select(*columns).unionByName(_on_days(taken, keys, "left_anti"))
     change = lake.Change()
-    for name, df, cluster in ((silver, rows, ("symbol", "ingested_at")), (removed, gone, ("symbol", "ingested_at")),
-                              (gold, summary, ("symbol",))):
-        written = {d: f for (d,), f in lake.stage(df, root, name, cluster).items()}
+    out = {silver: (rows, ("symbol", "ingested_at")), removed: (gone, ("symbol", "ingested_at")), gold: (summary, ("symbol",))}
+    with ThreadPoolExecutor(len(out)) as pool:                       # three writes that do not need each other
+        writes = {name: pool.submit(lake.stage, df, root, name, cluster) for name, (df, cluster) in out.items()}
+    for name, write in writes.items():
+        written = {d: f for (d,), f in write.result().items()}
         change.days[name] = {**dict.fromkeys(days), **written}
         if replace:
             change.whole.add(name)

@@ -150,6 +150,14 @@ GOLD_DAILY = T.StructType([
     T.StructField("processed_at", T.TimestampType()),
 ])
 
+# Damaged documents: the file, a digest and the whole text, the day in the file's path.
+QUARANTINE = T.StructType([
+    T.StructField("file", T.StringType()),
+    T.StructField("digest", T.StringType()),
+    T.StructField("text", T.StringType()),
+    T.StructField("date", T.DateType()),
+])
+
 INGEST_LOG = T.StructType([
     T.StructField("cycle", T.LongType()),
     T.StructField("name", T.StringType()),

@@ -34,6 +34,7 @@ others' rows of that day.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -73,16 +74,15 @@ def _union(frames) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def _folders(df: DataFrame, key: str = "date") -> dict[str, set[str]]:
-    """The days (or months) of ``df`` by interval: bounded by the calendar, not by rows."""
-    found: dict[str, set[str]] = {}
-    for r in df.select("interval", F.col(key).cast("string").alias("d")).distinct().collect():
-        found.setdefault(r["interval"], set()).add(r["d"])
-    return found
-
-
-def _month() -> Column:
-    return F.trunc("date", "MM")
+def _folders(df: DataFrame, flag: Column) -> tuple[dict[str, set[str]], dict[str, set[str]]]:
+    """The days of ``df`` by interval, and those that have a row with the flag: bounded by the calendar, not by rows."""
+    every: dict[str, set[str]] = {}
+    flagged: dict[str, set[str]] = {}
+    for r in df.groupBy("interval", F.col("date").cast("string").alias("d")).agg(F.bool_or(flag).alias("f")).collect():
+        every.setdefault(r["interval"], set()).add(r["d"])
+        if r["f"]:
+            flagged.setdefault(r["interval"], set()).add(r["d"])
+    return every, flagged
 
 
 def _plan(days: DataFrame) -> DataFrame:
@@ -124,7 +124,8 @@ def _stage(spark: SparkSession, new: DataFrame, tables: Mapping[str, str], at: l
                        for i, t in tables.items()])
 
     touched = new.select(*DAY).distinct()
-    new_days = _folders(new)
+    new_days, _ = _folders(new, F.lit(False))
+    months = {i: {f"{d[:7]}-01" for d in days} for i, days in new_days.items()}
     held, taken = stored("", CANDLE_ROWS, new_days), stored("_removed", REMOVED, new_days)
     parts = [new, *[t.join(touched, DAY, "left_semi").select(*BASE, "date") for t in (held, taken)]]
     merged = _latest(_union(parts)).withColumn("_kept", F.coalesce(F.col("close") > 0, F.lit(False)))
@@ -134,15 +135,14 @@ def _stage(spark: SparkSession, new: DataFrame, tables: Mapping[str, str], at: l
     per_day = kept.groupBy(*DAY).agg(
         F.count(F.lit(1)).alias("n"), F.sum(typical_price("high", "low", "close") * F.col("volume")).alias("pv"),
         F.sum(F.col("volume").cast("double")).alias("v"))
-    per_day = _written(touched.join(per_day, DAY, "left").select(*DAY, F.coalesce("n", F.lit(0)).alias("n"), "pv", "v"),
-                       f"{scratch}/days")
+    per_day = touched.join(per_day, DAY, "left").select(*DAY, F.coalesce("n", F.lit(0)).alias("n"), "pv", "v")
     other_days = stored("_days", CANDLE_DAYS).join(new.select(*KEYS).distinct(), KEYS, "left_semi")
     other_days = other_days.join(touched, DAY, "left_anti")
     plan = _written(_plan(per_day.select(*DAY, "n", F.lit(True).alias("touched")).unionByName(
         other_days.select(*DAY, "n", F.lit(False).alias("touched")))), f"{scratch}/plan")
 
-    redo_days = _folders(plan.filter("redo"))
-    around = stored("", CANDLE_ROWS, _folders(plan)).join(touched, DAY, "left_anti").select(*BASE, "date")
+    all_days, redo_days = _folders(plan, F.col("redo"))
+    around = stored("", CANDLE_ROWS, all_days).join(touched, DAY, "left_anti").select(*BASE, "date")
     done = _with_indicators(kept.unionByName(around).join(plan, DAY), bucket_rows)
     carried = stored("", CANDLE_ROWS, redo_days).join(plan.filter("redo"), DAY, "left_anti")
     out = {
@@ -150,15 +150,16 @@ def _stage(spark: SparkSession, new: DataFrame, tables: Mapping[str, str], at: l
         "_removed": (merged.filter(~F.col("_kept")).select(*BASE, "date").unionByName(
             taken.join(touched, DAY, "left_anti").select(*BASE, "date")), ("interval", "date"), ("symbol", "open_time"), new_days),
     }
-    months = _folders(new.withColumn("month", _month()), "month")
     day_rows = per_day.filter("n > 0").unionByName(
         stored("_days", CANDLE_DAYS, months).join(touched, DAY, "left_anti").select(*DAY, "n", "pv", "v"))
-    out["_days"] = (day_rows.withColumn("month", _month()), ("interval", "month"), ("symbol", "date"), months)
-
-    change = lake.Change()
-    for suffix, (df, partition_by, cluster, folders) in out.items():
-        layer = next(iter(tables.values())).rpartition("/")[0]
-        written = lake.stage(df, at.root, f"{layer}/klines{suffix}".lstrip("/"), cluster, partition_by)
+    out["_days"] = (day_rows.withColumn("month", F.trunc("date", "MM")), ("interval", "month"), ("symbol", "date"), months)
+
+    change, layer = lake.Change(), next(iter(tables.values())).rpartition("/")[0]
+    with ThreadPoolExecutor(len(out)) as pool:                       # three writes that do not need each other
+        writes = {suffix: pool.submit(lake.stage, df, at.root, f"{layer}/klines{suffix}".lstrip("/"), cluster, partition_by)
+                  for suffix, (df, partition_by, cluster, _) in out.items()}
+    for suffix, (_, _, _, folders) in out.items():
+        written = writes[suffix].result()
         for interval, table in tables.items():
             name = table + suffix
             change.days[name] = {d: f for (i, d), f in written.items() if i == interval}

@@ -20,7 +20,9 @@ from marketlake.paths import Paths
 from marketlake.plans.tickers import merge_tickers
 from marketlake.schemas import CORRUPT, KLINE_ARRAYS
 from marketlake.session import delete_path, ensure_utc, scratch_path
+from marketlake.sinks import quarantine
 from marketlake.sources.bronze import split_corrupt
+from marketlake.sources.landing import EXCHANGE_LEVELS, Landing, drain
 from marketlake.streaming.bronze_stream import stream_bronze
 from marketlake.streaming.candle_upsert import upsert_all
 
@@ -55,6 +57,37 @@ def ticker_query(spark: SparkSession, envelopes: DataFrame, paths: Paths, checkp
     return each_batch(envelopes, lambda batch, _epoch: merge_tickers(spark, batch, paths), checkpoint, trigger)
 
 
+def handle_batch(spark: SparkSession, batch: DataFrame, paths: Paths, intervals: Sequence[str],
+                 bucket_rows: int = DEFAULT_BUCKET_ROWS) -> None:
+    """Merge one staged batch of Bronze documents into all tables; seeing a batch again changes nothing."""
+    good, bad = split_corrupt(batch)
+    quarantine.add(spark, bad, paths)
+    merge_tickers(spark, good, paths)
+    upsert_all(spark, good, paths.silver, intervals, bucket_rows)
+
+
+def drain_landing(spark: SparkSession, paths: Paths, intervals: Sequence[str] = tuple(KLINE_ARRAYS),
+                  max_files: int | None = None, levels: int = EXCHANGE_LEVELS, multiline: bool = True,
+                  bucket_rows: int = DEFAULT_BUCKET_ROWS) -> int:
+    """Merge what has landed since the last call, listing only open folders; returns the number of batches.
+
+    The state is ``{root}/_checkpoints/landing``; call it on a timer for a continuous form.
+    """
+    ensure_utc(spark)
+    landing = Landing(spark, paths.bronze, f"{paths.root.rstrip('/')}/_checkpoints/landing", levels, max_files=max_files)
+    columns = ["_file", "metadata", "ticker", *intervals, CORRUPT]
+
+    def handle(batch: DataFrame, _number: int) -> None:
+        staged = scratch_path(spark, "landed-batch")                 # one parse
+        batch.write.parquet(staged)
+        try:
+            handle_batch(spark, spark.read.schema(batch.schema).parquet(staged), paths, intervals, bucket_rows)
+        finally:
+            delete_path(spark, staged)
+
+    return drain(landing, handle, multiline, columns)
+
+
 def start_streams(spark: SparkSession, paths: Paths, trigger: str | None = None,
                   intervals: Sequence[str] = tuple(KLINE_ARRAYS),
                   max_files_per_trigger: int | None = None, layout: str = "exchange",
@@ -69,12 +102,8 @@ def start_streams(spark: SparkSession, paths: Paths, trigger: str | None = None,
                         multiline=(layout == "exchange"), layout=layout)
     raw = raw.select("_file", "metadata", "ticker", *intervals, CORRUPT)
 
-    def handle(batch: DataFrame, epoch: int) -> None:
-        good, bad = split_corrupt(batch)
-        # one folder per micro-batch: a repeated one replaces its own rows
-        bad.write.mode("overwrite").json(f"{paths.quarantine.rstrip('/')}/stream/batch={epoch}")
-        merge_tickers(spark, good, paths)
-        upsert_all(spark, good, paths.silver, intervals, bucket_rows)
+    def handle(batch: DataFrame, _epoch: int) -> None:
+        handle_batch(spark, batch, paths, intervals, bucket_rows)
 
     return {"lake": each_batch(raw, handle, f"{paths.root.rstrip('/')}/_checkpoints/lake", trigger, "lake")}
 
