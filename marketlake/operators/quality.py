@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -102,6 +102,55 @@ def missing_partitions(present: DataFrame, symbols: Iterable[str], time: str = "
     return missing
 
 
+def missing_intervals(present: DataFrame, symbols: Iterable[str], time: str = "ingested_at",
+                      symbol_col: str = "symbol", unit: str = "hour", granule: str = "day",
+                      start=None, end=None) -> DataFrame:
+    """DQ-1 as intervals: symbol, gap_from, gap_to (first and last missing slot), n_slots.
+
+    The same slots as ``missing_partitions``, without its grid: the work
+    follows the slots that are present.  Within a (symbol, ``granule``) each
+    slot looks at the next one; between granules the last slot of one meets the
+    first of the next, on a table of one row per symbol and granule.  The
+    bounds enter that table as two rows per listed symbol, so gaps at the ends
+    and symbols that are absent come out the same way.
+    """
+    symbols = sorted(set(symbols))
+    if not symbols:
+        raise ValueError("symbols must not be empty")
+    kind, spark = dict(present.dtypes)[time], present.sparkSession
+    step = F.expr(f"INTERVAL 1 {unit.upper()}")
+    if start is not None:
+        present = present.filter(F.col(time) >= F.date_trunc(unit, F.lit(start)).cast(kind))
+    if end is not None:
+        present = present.filter(F.col(time) < (F.date_trunc(unit, F.lit(end)) + step).cast(kind))
+    path = scratch_path(spark, "seen-slots")
+    present.select(F.col(symbol_col).alias("symbol"), _slot(present, time, unit).alias("slot")).distinct().write.parquet(path)
+    seen = spark.read.parquet(path)
+    slot = dict(seen.dtypes)["slot"]
+    lo, hi = (F.date_trunc(unit, F.lit(x)).cast(slot) if x is not None else whole
+              for x, whole in ((start, F.min("slot")), (end, F.max("slot"))))
+    ends = (seen.agg(lo.alias("lo"), hi.alias("hi")).filter("lo IS NOT NULL AND hi IS NOT NULL")
+            .withColumn("symbol", F.explode(F.array(*[F.lit(s) for s in symbols]))))
+    own = seen.filter(F.col("symbol").isin(symbols) & F.col("slot").isNotNull()).withColumn("g", F.date_trunc(granule, "slot").cast(slot))
+
+    def gap(after: Column, before: Column) -> list[Column]:
+        return [(after + step).cast(slot).alias("gap_from"), (before - step).cast(slot).alias("gap_to")]
+
+    following = F.lead("slot").over(Window.partitionBy("symbol", "g").orderBy("slot"))
+    inner = own.withColumn("next", following).select("symbol", *gap(F.col("slot"), F.col("next")))
+    edge = F.lit(None).cast(slot)
+    parts = (own.groupBy("symbol", "g").agg(F.min("slot").alias("first"), F.max("slot").alias("last"))
+             .select("symbol", F.lit(1).alias("at"), "g", "first", "last")
+             .unionByName(ends.select("symbol", F.lit(0).alias("at"), edge.alias("g"), edge.alias("first"),
+                                      (F.col("lo") - step).cast(slot).alias("last")))
+             .unionByName(ends.select("symbol", F.lit(2).alias("at"), edge.alias("g"), (F.col("hi") + step).cast(slot).alias("first"),
+                                      edge.alias("last"))))
+    previous = F.lag("last").over(Window.partitionBy("symbol").orderBy("at", "g"))
+    seams = parts.withColumn("previous", previous).select("symbol", *gap(F.col("previous"), F.col("first")))
+    n = F.timestamp_diff(unit.upper(), "gap_from", "gap_to") + 1
+    return inner.unionByName(seams).filter(F.col("gap_from") <= F.col("gap_to")).withColumn("n_slots", n)
+
+
 def layer_presence(tables: Mapping[str, DataFrame], strict: bool = False,
                    count_rows: bool = True) -> DataFrame:
     """DQ-2/DQ-3: one row per table: (table, n_rows, present).

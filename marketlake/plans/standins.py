@@ -57,6 +57,27 @@ def ticker_envelopes(ev: DataFrame) -> DataFrame:
                           ticker=ticker, source="events", asset_class="events")
 
 
+def depth_envelopes(ev: DataFrame) -> DataFrame:
+    """Envelopes with an order book (12 levels a side, in no order) and 6 trades per event, some of them malformed."""
+    ev = ev.select("event_id", "event_type", "ts", "value", props_k().alias("_k"))
+    k, v = F.col("_k"), F.col("value")
+    text = lambda c: c.cast("string")
+    places = F.transform(F.sequence(F.lit(0), F.lit(11)), lambda i: i * 5 % 12)
+
+    def side(sign: int, weight: int):
+        return F.transform(places, lambda j: F.array(
+            F.when((j == 0) & (k < 7), F.lit("abc")).otherwise(text(v + sign * j)), text(k + weight * j)))
+
+    book = F.to_json(F.struct(side(-1, 1).alias("bids"), side(1, 2).alias("asks")))
+    book = F.when(k < 3, F.lit('{"bids": [[')).when(k < 5, F.lit('{"bids": "none", "asks": [["1.5", "2"], 7, []]}')).otherwise(book)
+    trades = F.to_json(F.transform(F.sequence(F.lit(0), F.lit(5)), lambda j: F.struct(
+        F.when((j != 2) | (k >= 10), F.col("event_id") * 10 + j).alias("id"), text(v + j).alias("price"), text(k).alias("qty"),
+        (F.unix_millis(F.col("ts").cast("timestamp")) - j * 5 % 6 * 1000).alias("time"), (j % 2 == 0).alias("isBuyerMaker"))))
+    return build_envelope(ev, name=F.upper("event_type"), symbol="event_type", ingested_at="ts", order_book=book,
+                          recent_trades=F.when(k < 3, F.lit('[{"id": 1,')).otherwise(trades), source="events",
+                          asset_class="events")
+
+
 def tickers(ev: DataFrame) -> DataFrame:
     """Silver tickers from the event envelopes (the real extraction path)."""
     return extract_ticker(ticker_envelopes(ev))
