@@ -189,7 +189,7 @@ def table_presence(spark: SparkSession, paths: Mapping[str, str], fmt: str = "pa
         root, key = lake.locate(path)
         held = lake.snapshot(spark, root).tables
         if key in held:
-            folders = sorted(held[key].values())
+            folders = sorted(f for day in held[key].values() for f in day)
             table = spark.read.format(fmt).load([f"{root}/{f}" for f in folders]) if folders else None
         elif not lake.is_lake(spark, root) and path_exists(spark, path):
             try:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.schemas import BRONZE, COMPACT_BRONZE, CORRUPT, TICK
+from marketlake.sources.silver import read_stored
 
 # Fixed value: the exchange landing layout {prefix}/{name}/YYYY/MM/DD/HH/{file}.json
 PATH_PATTERN = r"/([^/]+)/(\d{4})/(\d{2})/(\d{2})/(\d{2})/[^/]+$"
@@ -49,8 +50,8 @@ def read_bronze(spark: SparkSession, paths: str | Sequence[str], date=None,
       the listing to these names' folders.
     * ``layout="hive"``: the ``name=/date=/hour=`` layout of ``write_bronze``
       (NDJSON); ``date`` becomes a partition filter.
-    * ``layout="compact"``: the Parquet table of ``streaming.compact_bronze``,
-      by asset and event day; ``date`` and ``assets`` become partition filters.
+    * ``layout="compact"``: the Parquet table of ``streaming.compact_bronze`` or
+      ``streaming.compact_landing``, by (asset and) event day; ``date`` and ``assets`` become partition filters.
     """
     reader = (spark.read.schema(BRONZE)
               .option("mode", "PERMISSIVE")
@@ -71,7 +72,8 @@ def read_bronze(spark: SparkSession, paths: str | Sequence[str], date=None,
             df = df.filter(F.col("date") == F.lit(d))
         return df
     if layout == "compact":
-        df = spark.read.schema(COMPACT_BRONZE).parquet(*_as_list(paths))
+        table = None if not isinstance(paths, str) else read_stored(spark, paths, COMPACT_BRONZE)
+        df = spark.read.schema(COMPACT_BRONZE).parquet(*_as_list(paths)) if table is None else table
         if date is not None:
             d = date if isinstance(date, _dt.date) else _dt.date.fromisoformat(str(date).replace("/", "-"))
             df = df.filter(F.col("date") == F.lit(d))

@@ -13,14 +13,15 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from marketlake.operators.indicators import DEFAULT_BUCKET_ROWS
 from marketlake.paths import Paths
 from marketlake.plans.tickers import merge_tickers
-from marketlake.schemas import CORRUPT, KLINE_ARRAYS
+from marketlake.schemas import COMPACT_BRONZE, CORRUPT, KLINE_ARRAYS
 from marketlake.session import delete_path, ensure_utc, scratch_path
-from marketlake.sinks import quarantine
+from marketlake.sinks import lake, quarantine
 from marketlake.sources.bronze import split_corrupt
 from marketlake.sources.landing import EXCHANGE_LEVELS, Landing, drain
 from marketlake.streaming.bronze_stream import stream_bronze
@@ -88,6 +89,34 @@ def drain_landing(spark: SparkSession, paths: Paths, intervals: Sequence[str] =
     return drain(landing, handle, multiline, columns)
 
 
+def compact_landing(spark: SparkSession, paths: Paths, today: str, max_files: int | None = None,
+                    levels: int = EXCHANGE_LEVELS, multiline: bool = True) -> list[str]:
+    """SNK-1: append what has landed to the Parquet table ``bronze_compact`` of the lake, then compact the closed days.
+
+    Every batch adds a folder to its event days; days before ``today`` end in
+    one folder with files of the target size.  Read it with
+    ``read_bronze(layout="compact")``, whose ``date`` opens that day's folder
+    only.  A repeated batch is appended once: a file that the day has is left out.
+    """
+    ensure_utc(spark)
+    root, table = lake.locate(paths.bronze_compact)
+    landing = Landing(spark, paths.bronze, f"{paths.root.rstrip('/')}/_checkpoints/compact", levels, max_files=max_files)
+    day = F.to_date(F.try_to_timestamp("metadata.ingested_at"))
+
+    def handle(batch: DataFrame, _number: int) -> None:
+        rows = batch.withColumns({"name": F.col("metadata.name"), "date": day}).select([f.name for f in COMPACT_BRONZE])
+        staged = scratch_path(spark, "landed-batch")                 # one parse
+        rows.write.parquet(staged)
+        rows = spark.read.schema(COMPACT_BRONZE).parquet(staged)
+        held = lake.read(spark, lake.snapshot(spark, root), table, COMPACT_BRONZE, lake.days_of(rows))
+        rows = rows.join(held.select("_file").distinct(), "_file", "left_anti").select([f.name for f in COMPACT_BRONZE])
+        lake.append(spark, root, table, rows, ("name",))
+        delete_path(spark, staged)
+
+    drain(landing, handle, multiline)
+    return lake.compact(spark, root, table, COMPACT_BRONZE, today, ("name",))
+
+
 def start_streams(spark: SparkSession, paths: Paths, trigger: str | None = None,
                   intervals: Sequence[str] = tuple(KLINE_ARRAYS),
                   max_files_per_trigger: int | None = None, layout: str = "exchange",

@@ -113,3 +113,37 @@ def test_damaged_documents_lie_in_quarantine_once(spark, tmp):
     assert quarantine.read(spark, paths).count() == 0
     days = read_layer(spark, paths.silver_table("tickers"), SILVER_TICKERS).groupBy("date").count().collect()
     assert {r.date.day: r["count"] for r in days} == {1: 6, 2: 6, 5: 1}
+
+
+def test_closed_days_are_compacted_once(spark, tmp, monkeypatch):
+    from marketlake.schemas import COMPACT_BRONZE
+    from marketlake.sinks import lake
+    from marketlake.sources import read_bronze
+    from marketlake.streaming import compact_landing
+    paths = make_lake(tmp + "/lake")
+
+    def files():
+        return sorted(os.path.basename(r[0]) for r in read_bronze(spark, paths.bronze_compact, layout="compact").select("_file").collect())
+
+    def folders():
+        return {d: len(f) for d, f in lake.snapshot(spark, paths.root).tables["bronze_compact"].items()}
+
+    def die(*_a, **_k):
+        raise KeyError
+
+    assert compact_landing(spark, paths, "2024-03-01", max_files=4) == []
+    landed = files()
+    assert len(landed) == len(set(landed)) == 12 and folders() == {"2024-03-01": 2, "2024-03-02": 2}
+    with monkeypatch.context() as m:                                  # dies when all is staged
+        m.setattr(lake, "commit", die)
+        with pytest.raises(KeyError):
+            compact_landing(spark, paths, "2024-03-02")
+    assert files() == landed and folders()["2024-03-01"] == 2
+    assert compact_landing(spark, paths, "2024-03-02") == ["2024-03-01"]
+    assert files() == landed and folders() == {"2024-03-01": 1, "2024-03-02": 2}
+    (only,) = lake.snapshot(spark, paths.root).tables["bronze_compact"]["2024-03-01"]
+    assert len([f for f in os.listdir(f"{paths.root}/{only}") if f.endswith(".parquet")]) == 1
+    version = lake.snapshot(spark, paths.root).version
+    assert compact_landing(spark, paths, "2024-03-02") == [] and lake.snapshot(spark, paths.root).version == version
+    one = read_bronze(spark, paths.bronze_compact, layout="compact", date="2024-03-01", assets=["XRP"])
+    assert one.count() == 3 and one.columns == COMPACT_BRONZE.names
