@@ -244,12 +244,17 @@ def _phrases(stripes: DataFrame) -> DataFrame:
 
 
 def _with_count(rows: DataFrame, part: str, counts: DataFrame, hot: DataFrame, name: str) -> DataFrame:
-    """``rows`` with the count of the phrase in column ``part``; ``hot`` (bounded) goes to every task, so no key is hot."""
+    """``rows`` with the count of the phrase in column ``part``.
+
+    The parts that many rows share are few (``hot``, bounded): joined apart,
+    Spark sends them to every task once it has measured them as small, or
+    splits their keys' tasks (AQE) if not.
+    """
     def renamed(c):
         return c.select(F.col("lang").alias("_lang"), F.col("phrase").alias("_phrase"), F.col("f").alias(name))
 
     same = (F.col("lang") == F.col("_lang")) & (F.col(part) == F.col("_phrase"))
-    few = F.broadcast(renamed(hot))
+    few = renamed(hot)
     return (rows.join(few, same).unionByName(rows.join(few, same, "left_anti").join(renamed(counts), same))
             .drop("_lang", "_phrase"))
 
