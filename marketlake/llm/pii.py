@@ -13,8 +13,10 @@ around it) and the other kinds found in the text are.  The score of a candidate
 is thus the share of strict spans among candidates that look and stand like it.
 On texts that took no part in the fit, each kind gets the lowest threshold at
 which at least ``PRECISION`` of the candidates above it are strict; candidates
-above it that no strict span touches are added.  A kind with fewer than
-``ENOUGH`` such candidates gets no threshold and nothing is added.
+above it that no strict span touches are added.  The threshold lies in the
+middle of the gap below the last score it admits, and never under a half.  A
+kind with fewer than ``ENOUGH`` such candidates gets no threshold and nothing
+is added.
 
 One pass reads the texts.  The fit works on distinct feature vectors with their
 counts, aggregated map-side; each level of a tree is one aggregate by (leaf,
@@ -262,18 +264,24 @@ def fit(vectors: DataFrame) -> dict:
         model["trees"].append(tree)
     steps = (vectors.filter("held_out").groupBy(F.col("f")[0].alias("kind"), F.floor(score(model, x) * STEPS).alias("step"))
              .agg(F.sum("n").alias("n"), F.sum("strict").alias("strict")).collect())
-    model["thresholds"] = []
-    for kind in range(len(KINDS)):
-        total = good = 0
-        threshold = None
-        for r in sorted((r for r in steps if r["kind"] == kind), key=lambda r: -r["step"]):
-            total, good = total + r["n"], good + r["strict"]
-            if total >= ENOUGH and good >= PRECISION * total:
-                threshold = r["step"] / STEPS
-        model["thresholds"].append(threshold)
+    model["thresholds"] = [_threshold(sorted(((r["step"], r["n"], r["strict"]) for r in steps if r["kind"] == kind), reverse=True))
+                           for kind in range(len(KINDS))]
     return model
 
 
+def _threshold(steps: list[tuple[int, int, int]]) -> float | None:
+    """The score from which candidates are chosen, given (step, candidates, strict ones) from the highest score down."""
+    total = good = 0
+    threshold = None
+    for (step, n, strict_), (below, _, _) in zip(steps, [*steps[1:], (0, 0, 0)]):
+        if 2 * step < STEPS:
+            break
+        total, good = total + n, good + strict_
+        if total >= ENOUGH and good >= PRECISION * total:
+            threshold = max(0.5, (step + below) / 2 / STEPS)
+    return threshold
+
+
 def find_candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The written table (doc_id, base, candidates) of all rows of ``docs``; the texts are read once, here."""
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), text_or_empty(text).alias("t"))

@@ -118,6 +118,13 @@ def test_trees_add_what_looks_and_stands_like_strict_spans(spark):
     assert key(found) == key(again)
 
 
+def test_thresholds():
+    assert pii._threshold([(199, 100, 100), (10, 50, 0)]) == (199 + 10) / 2 / 200
+    assert pii._threshold([(199, 1000, 1000), (60, 3, 2), (5, 10, 0)]) == 0.6475          # under a half: left out
+    assert pii._threshold([(199, 1000, 1000), (150, 10, 0), (120, 90, 0)]) == 0.675       # 95 % ends there
+    assert pii._threshold([(199, 1000, 1000)]) == 0.5 and pii._threshold([(199, 10, 10)]) is None and pii._threshold([]) is None
+
+
 def test_running_sums_over_blocks(spark):
     values = [i % 7 for i in range(1000)]
     for n in (1, 63, 64, 65, 1000):
