@@ -17,6 +17,7 @@ Flow (one JSON parse in total):
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,7 @@ from marketlake.plans.tickers import GOLD_TABLE, merge_tickers
 from marketlake.schemas import CORRUPT, GOLD_DAILY, KLINE_ARRAYS
 from marketlake.session import delete_path, ensure_utc, scratch_path
 from marketlake.sinks import publish_table, quarantine
+from marketlake.sinks.quality_log import log_counts
 from marketlake.sources import read_bronze, read_layer, split_corrupt
 from marketlake.streaming.candle_upsert import upsert_all
 
@@ -84,6 +86,7 @@ def run_batch(spark: SparkSession, paths: Paths, date: str | _dt.date | None = N
         missing = bronze_gate(good, expected, date, strict)
         reports["bronze_missing"] = spark.createDataFrame(missing.collect(), missing.schema)
     counts = merge_tickers(spark, good, paths, replace=rebuild, now=now)
+    log_counts(spark, paths, f"run {uuid.uuid4().hex}", 0, counts, now)
     tables = {"tickers": paths.silver_table("tickers")}
     upsert_all(spark, good, paths.silver, intervals, bucket_rows, replace=rebuild)
     for array_name in intervals:

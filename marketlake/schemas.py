@@ -150,6 +150,18 @@ GOLD_DAILY = T.StructType([
     T.StructField("processed_at", T.TimestampType()),
 ])
 
+# Rows after each ticker rule, of one run or micro-batch.
+QUALITY_LOG = T.StructType([
+    T.StructField("source", T.StringType()),
+    T.StructField("batch", T.LongType()),
+    T.StructField("n_input", T.LongType()),
+    T.StructField("n_valid", T.LongType()),
+    T.StructField("n_unique", T.LongType()),
+    T.StructField("n_output", T.LongType()),
+    T.StructField("logged_at", T.TimestampType()),
+    T.StructField("date", T.DateType()),
+])
+
 # Damaged documents: the file, a digest and the whole text, the day in the file's path.
 QUARANTINE = T.StructType([
     T.StructField("file", T.StringType()),

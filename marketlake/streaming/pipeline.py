@@ -10,6 +10,7 @@ micro-batch gives the same tables.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,7 @@ from marketlake.plans.tickers import merge_tickers
 from marketlake.schemas import COMPACT_BRONZE, CORRUPT, KLINE_ARRAYS
 from marketlake.session import delete_path, ensure_utc, scratch_path
 from marketlake.sinks import lake, quarantine
+from marketlake.sinks.quality_log import log_counts
 from marketlake.sources.bronze import split_corrupt
 from marketlake.sources.landing import EXCHANGE_LEVELS, Landing, drain
 from marketlake.streaming.bronze_stream import stream_bronze
@@ -59,11 +61,16 @@ def ticker_query(spark: SparkSession, envelopes: DataFrame, paths: Paths, checkp
 
 
 def handle_batch(spark: SparkSession, batch: DataFrame, paths: Paths, intervals: Sequence[str],
-                 bucket_rows: int = DEFAULT_BUCKET_ROWS) -> None:
-    """Merge one staged batch of Bronze documents into all tables; seeing a batch again changes nothing."""
+                 bucket_rows: int = DEFAULT_BUCKET_ROWS, source: str | None = None, number: int = 0) -> None:
+    """Merge one staged batch of Bronze documents into all tables; seeing a batch again changes nothing.
+
+    With a ``source`` its quality counts are logged as batch ``number``.
+    """
     good, bad = split_corrupt(batch)
     quarantine.add(spark, bad, paths)
-    merge_tickers(spark, good, paths)
+    counts = merge_tickers(spark, good, paths)
+    if source is not None:
+        log_counts(spark, paths, source, number, counts)
     upsert_all(spark, good, paths.silver, intervals, bucket_rows)
 
 
@@ -78,11 +85,12 @@ def drain_landing(spark: SparkSession, paths: Paths, intervals: Sequence[str] =
     landing = Landing(spark, paths.bronze, f"{paths.root.rstrip('/')}/_checkpoints/landing", levels, max_files=max_files)
     columns = ["_file", "metadata", "ticker", *intervals, CORRUPT]
 
-    def handle(batch: DataFrame, _number: int) -> None:
+    def handle(batch: DataFrame, number: int) -> None:
         staged = scratch_path(spark, "landed-batch")                 # one parse
         batch.write.parquet(staged)
         try:
-            handle_batch(spark, spark.read.schema(batch.schema).parquet(staged), paths, intervals, bucket_rows)
+            handle_batch(spark, spark.read.schema(batch.schema).parquet(staged), paths, intervals, bucket_rows,
+                         "landing", number)
         finally:
             delete_path(spark, staged)
 
@@ -131,10 +139,13 @@ def start_streams(spark: SparkSession, paths: Paths, trigger: str | None = None,
                         multiline=(layout == "exchange"), layout=layout)
     raw = raw.select("_file", "metadata", "ticker", *intervals, CORRUPT)
 
-    def handle(batch: DataFrame, _epoch: int) -> None:
-        handle_batch(spark, batch, paths, intervals, bucket_rows)
+    checkpoint = f"{paths.root.rstrip('/')}/_checkpoints/lake"
+
+    def handle(batch: DataFrame, epoch: int) -> None:
+        query = json.loads(lake._read_text(spark, f"{checkpoint}/metadata"))["id"]      # a new checkpoint has another
+        handle_batch(spark, batch, paths, intervals, bucket_rows, f"stream {query}", epoch)
 
-    return {"lake": each_batch(raw, handle, f"{paths.root.rstrip('/')}/_checkpoints/lake", trigger, "lake")}
+    return {"lake": each_batch(raw, handle, checkpoint, trigger, "lake")}
 
 
 def await_all(queries: dict[str, StreamingQuery]) -> None:

@@ -147,3 +147,17 @@ def test_closed_days_are_compacted_once(spark, tmp, monkeypatch):
     assert compact_landing(spark, paths, "2024-03-02") == [] and lake.snapshot(spark, paths.root).version == version
     one = read_bronze(spark, paths.bronze_compact, layout="compact", date="2024-03-01", assets=["XRP"])
     assert one.count() == 3 and one.columns == COMPACT_BRONZE.names
+
+
+def test_quality_counts_are_kept_once_per_batch(spark, tmp):
+    from marketlake.sinks.quality_log import log_counts, read_counts
+    paths = make_lake(tmp + "/lake")
+    await_all(start_streams(spark, paths, intervals=(), max_files_per_trigger=5))
+    await_all(start_streams(spark, paths, intervals=()))              # nothing new
+    run_batch(spark, paths, intervals=(), now=NOW)
+    counts = {"n_input": 5, "n_valid": 5, "n_unique": 5, "n_output": 5}
+    for _ in range(2):
+        log_counts(spark, paths, "landing", 7, counts, NOW)
+    kept = read_counts(spark, paths).groupBy(F.substring_index("source", " ", 1).alias("k")).agg(
+        F.sum("n_input").alias("n"), F.count("batch").alias("batches")).collect()
+    assert {r.k: (r.n, r.batches) for r in kept} == {"stream": (12, 3), "run": (12, 1), "landing": (5, 1)}
