@@ -155,7 +155,7 @@ def candidates(text: Column, base: Column) -> Column:
         found = matches(text, GENERATORS[kind], NEEDS[kind])
         others = F.size(F.array_distinct(F.transform(F.filter(base, lambda b: b["kind"] != kind), lambda b: b["kind"])))
 
-        def described(m: Column) -> Column:
+        def described(m: Column, others: Column) -> Column:
             domain = F.regexp_extract(m["match"], r"(?:@|[(\[]at[)\]] ?)(.*)$", 1)
             f = [F.lit(kind), F.least(F.length(m["digits"]), F.lit(20)),
                  F.least(F.size(F.regexp_extract_all(m["match"], F.lit("[0-9]++"), F.lit(0))), F.lit(8)),
@@ -168,7 +168,8 @@ def candidates(text: Column, base: Column) -> Column:
                             F.array(*[x.cast("int") for x in f]).alias("f"))
 
         low, high = DIGITS[kind]
-        return F.transform(F.filter(found, lambda m: F.length(m["digits"]).between(low, high)), described)
+        fitting = F.filter(found, lambda m: F.length(m["digits"]).between(low, high))
+        return let(others, lambda o: F.transform(fitting, lambda m: described(m, o)))       # counted once a text
     return F.concat(*[of(k) for k in range(len(KINDS))])
 
 
