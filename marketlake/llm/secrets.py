@@ -49,16 +49,22 @@ MAX_LAYER = 16 << 20                                 # what unpacks beyond this
 OVERLAP = 4096                                       # characters that windows share at least
 STEP = 1 << 18                                       # bytes unpacked at once
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-ESCAPE = re.compile(r"\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
+ESCAPE = re.compile(r"\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|%u[0-9A-Fa-f]{4}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
+# a string literal: an escaped backslash stands for itself and takes part in no other escape of its layer
+LITERAL = re.compile(r"""\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|\\[\\"'/bfnrt]""")
 SURROGATES = re.compile(r"\\u([dD][89abAB][0-9A-Fa-f]{2})\\u([dD][c-fC-F][0-9A-Fa-f]{2})")
-BREAK = r"[ \t]{0,32}(?:\r\n?|\n)[ \t]{0,32}"           # a wrapped run is one run
+# a wrapped run is one run, also if each line is quoted or commented out, or ends in a backslash
+BREAK = r"[ \t]{0,32}\\?(?:\r\n?|\n)[ \t]{0,32}(?:[>#*;|][ \t]{0,8}){0,8}"
 BASE64 = re.compile(rf"[A-Za-z0-9+/_-]{{16,}}(?:{BREAK}[A-Za-z0-9+/_-]+)*(?:(?:{BREAK})?=){{0,2}}")
+# lines too short to be a run of their own
+NARROW = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{1,15}}(?:{BREAK}[A-Za-z0-9+/_-]{{1,15}}(?![A-Za-z0-9+/_-]))+(?:(?:{BREAK})?=){{0,2}}")
 LINE = re.compile(r"[A-Za-z0-9+/_=-]+")
 PART = re.compile(r"[A-Za-z0-9]+|[+/_-]")
-RUN = re.compile(r"[A-Za-z0-9+/_\s-]*={0,2}")
+RUN = re.compile(r"[A-Za-z0-9+/_\s>#*;|\\-]*={0,2}")
 TO_STANDARD = str.maketrans("-_", "+/")
+JOINED = str.maketrans("", "", ">#*;|\\ \t\r\n\v\f")     # what may stand between the lines of a run
 # what may go on beyond the end of a text, read backwards: a base64 run, one with escapes, all without white space
-KREAB = r"[ \t]{0,32}(?:\n\r?|\r)[ \t]{0,32}"
+KREAB = r"(?:[ \t]{0,8}[>#*;|]){0,8}[ \t]{0,32}(?:\n\r?|\r)\\?[ \t]{0,32}"
 OPEN = [re.compile(x) for x in (rf"\s{{0,66}}={{0,2}}[A-Za-z0-9+/_-]*(?:{KREAB}[A-Za-z0-9+/_-]+)*",
                                 rf"\s{{0,66}}[A-Za-z0-9+/_=%\\&#;-]*(?:{KREAB}[A-Za-z0-9+/_=%\\&#;-]+)*", r"\S*")]
 # bytes as quote() and repr() write them: what stands for itself and what is escaped
@@ -167,6 +173,10 @@ def _escape(code: str):
     return None if n > 0x10FFFF or 0xD800 <= n <= 0xDFFF else [(chr(n), len(code))]
 
 
+def _literal(code: str):
+    return _escape(code) if len(code) > 2 else [(chr(SHORT.get(code, ord(code[1]))), 2)]
+
+
 class TooLarge(Exception):
     pass
 
@@ -190,7 +200,7 @@ class _Zstd:
 
     def __init__(self):
         import zstandard
-        self.d = zstandard.ZstdDecompressor(max_window_size=64 << 20).decompressobj()
+        self.d = zstandard.ZstdDecompressor(max_window_size=1 << 31).decompressobj()     # the format's own limit
         self.held, self.eof, self.needs_input, self.unused_data = b"", False, True, b""
 
     def decompress(self, data: bytes, most: int) -> bytes:
@@ -214,7 +224,7 @@ def _decompressor(head: bytes):
         return _Zlib()
     if head[:1] == b"B":
         return bz2.BZ2Decompressor()
-    return _Zstd() if head[:1] == b"\x28" else lzma.LZMADecompressor(memlimit=256 << 20)
+    return _Zstd() if head[:1] == b"\x28" else lzma.LZMADecompressor()
 
 
 class _Feed:
@@ -273,7 +283,7 @@ def _member(feed: _Feed):
                     return
                 if d.needs_input:
                     break
-    except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError, ImportError):
+    except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError):
         pass
     except Exception as error:                       # zstandard's own error type, without importing it above
         if type(error).__name__ != "ZstdError":
@@ -310,7 +320,7 @@ def _decoded(run):
     """The bytes of a base64 run that comes in pieces."""
     rest = ""
     for piece in run:
-        rest += "".join(piece.rstrip("=").split()).translate(TO_STANDARD)
+        rest += piece.rstrip("=").translate(JOINED).translate(TO_STANDARD)
         whole = len(rest) // 4 * 4
         yield base64.b64decode(rest[:whole])
         rest = rest[whole:]
@@ -320,7 +330,7 @@ def _decoded(run):
 
 def _from(run, start: int):
     for piece in run:
-        piece = "".join(piece.split())
+        piece = piece.translate(JOINED)
         yield piece[start:]
         start = max(0, start - len(piece))
 
@@ -537,8 +547,10 @@ def _rewritten(layer: Layer):
         steps.append((PERCENT, _percent))
     if "\\u" in text:
         steps.append((SURROGATES, _pair))
-    if "\\" in text or "&#" in text:
+    if "\\" in text or "&#" in text or "%u" in text:
         steps.append((ESCAPE, _escape))
+    if "\\" in text:
+        steps.append((LITERAL, _literal))
     for pattern, decode in steps:
         new = layer.replaced(pattern, decode)
         if new is not None:
@@ -557,6 +569,11 @@ def _inner(layer: Layer, refused: list[int]):
                 yield from _run(layer, [line], refused)
         if not whole and len(groups) > 1:
             yield from _run(layer, lines, refused)
+    for m in NARROW.finditer(text) if "\n" in text or "\r" in text else ():
+        lines = [(m.start() + p.start(), m.start() + p.end()) for p in LINE.finditer(m[0])]
+        for group in _wrapped(lines):
+            if len(group) > 1 and sum(b - a for a, b in group) >= 16:
+                yield from _run(layer, group, refused)
     if ("%" in text or "\\" in text) and ESCAPED_MAGIC.search(text):
         yield from _escaped(layer, QUOTED, "%", refused)
         yield from _escaped(layer, REPR, "\\", refused)
@@ -609,6 +626,7 @@ def secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     U+FFFD; the rest of their layer is scanned.  A null or empty text has no spans; a null id
     stays null; an empty table gives no rows; other columns are not read.
     """
+    import zstandard                                 # noqa: F401  fail here, not in a task
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("depth", pa.int32())]))
 
     def run(batches):

@@ -5,7 +5,9 @@ import bz2
 import gzip
 import hashlib
 import io
+import json
 import lzma
+import random
 import re
 import tarfile
 import urllib.parse
@@ -124,6 +126,14 @@ def test_simhash_links_across_crowded_tiles(spark):
     assert edges.count() < 20 * len(fps)
 
 
+def test_components_of_stars_are_split(spark, monkeypatch):
+    from marketlake.llm import graph
+    monkeypatch.setattr(graph, "PARTS", 4)
+    star = [(0, i) for i in range(1, 400)] + [(500, i) for i in range(501, 900)] + [(900, 399 + 500), (1000, 1001), (7, 7)]
+    got = dict(rows_of(components(spark.createDataFrame(star, "u long, v long")), "node", "root"))
+    assert got == {**dict.fromkeys(range(400), 0), **dict.fromkeys(range(500, 901), 500), 1000: 1000, 1001: 1000}
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.range(200).select((F.col("id") * 7 % 201).alias("u"), ((F.col("id") + 1) * 7 % 201).alias("v"))
     assert {r for _, r in rows_of(components(edges), "node", "root")} == {0}
@@ -364,6 +374,50 @@ def test_secrets_in_wrapped_glued_and_escaped_runs_are_found(run):
     assert found and all(3 < a < b <= 4 + len(run) for _, a, b, _ in found)
 
 
+def json_text(text, times=1):
+    for _ in range(times):
+        text = json.dumps(text)
+    return text
+
+
+def zstd_long_window(raw):
+    import zstandard
+    params = zstandard.ZstdCompressionParameters.from_level(1, window_log=27)
+    packer = zstandard.ZstdCompressor(compression_params=params).compressobj()       # of unknown size, so the window is declared
+    return packer.compress(raw) + packer.flush()
+
+
+def xz_large_dictionary(raw):
+    return lzma.compress(raw, filters=[{"id": lzma.FILTER_LZMA2, "preset": 0, "dict_size": 300 << 20}])
+
+
+@pytest.mark.parametrize("run", [
+    "password\\\\u003d\\\\u0022hunter2hunter2\\\\u0022", json_text(SECRET), json_text(SECRET, 2), json_text(SECRET, 4),
+    "password%u003D%u0022hunter2hunter2%u0022",
+    json_text(wrapped(gzip.compress(LOG), 64)), json_text(wrapped(b"x" * 50 + SECRET.encode(), 64) + "\n", 2),
+    wrapped(gzip.compress(LOG), 64, "\\n"), wrapped(gzip.compress(LOG), 64, "\\r\\n"), wrapped(gzip.compress(LOG), 64, "\\\n"),
+    *(wrapped(pack(LOG), 76, by) for pack in (gzip.compress, bytes) for by in ("\n> ", "\n# ", "\n>> > ", "\r\n * ", "\n  ; ")),
+    *(wrapped(pack(LOG), width) for pack in (gzip.compress, bytes) for width in (4, 8, 12, 15)), wrapped(SECRET.encode(), 10, "\n> "),
+    in_base64(zstd_long_window(LOG)), in_base64(xz_large_dictionary(LOG)),
+])
+def test_secrets_in_quoted_narrow_and_doubly_escaped_runs_are_found(run, monkeypatch):
+    text = f"see {run} end"
+    found = {s[:3] for s in secrets.find_secrets(text)[0] if s[0] == "assign"}
+    assert found and all(3 < a < b <= 4 + len(run) for _, a, b in found)
+    outer = in_base64(gzip.compress((noise_lines(900) + text + noise_lines(900)).encode()))
+    whole, windows = secrets.find_secrets(outer), None
+    monkeypatch.setattr(secrets, "MAX_LAYER", 20_000)
+    windows = secrets.find_secrets(outer)
+    assert [s[:3] for s in whole[0]] == [s[:3] for s in windows[0]] and (whole[1], windows[1] > 0) == (0, True)
+
+
+def test_long_quoted_runs_are_streams_of_their_own(monkeypatch):
+    run = wrapped(gzip.compress(random.Random(1).randbytes(60_000) + LOG), 76, "\n> ")
+    outer = in_base64(zlib.compress((noise_lines(300) + f"> {run}\n" + noise_lines(300)).encode()))
+    monkeypatch.setattr(secrets, "MAX_LAYER", 20_000)
+    assert ("assign", 0, len(outer)) in {s[:3] for s in secrets.find_secrets(outer)[0]}
+
+
 def test_secrets_over_wrapped_lines_are_whole():
     for at in range(20, 57):
         run = wrapped(b"." * at + b"token=" + b"a1B2" * 6 + b" \n" + b"." * 100)
