@@ -7,25 +7,40 @@ from pyspark.sql import functions as F
 
 from marketlake.llm.common import save
 
+PARTS = 1024                                         # parts that a node's links are split into
+
 
 def _neighbours(edges: DataFrame) -> DataFrame:
     return edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
 
 
+def _with_least(pairs: DataFrame) -> DataFrame:
+    """``pairs`` with m, the smallest v of their u.
+
+    A centre may have a third of all rows, so the rows of a node are split into
+    ``PARTS`` by v: the smallest is taken of each part, then of a node's parts,
+    and goes back to the parts and from them to the rows.  No step has more than
+    ``PARTS`` rows, or one part's rows, of a node in one place.
+    """
+    parts = pairs.withColumn("part", F.pmod(F.xxhash64("v"), F.lit(PARTS)).cast("int"))
+    by_part = parts.groupBy("u", "part").agg(F.min("v").alias("m"))
+    least = by_part.groupBy("u").agg(F.min("m").alias("m"))
+    return parts.join(by_part.select("u", "part").join(least, "u"), ["u", "part"]).drop("part")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Each node links its larger neighbours to the smallest node it sees, itself included."""
-    both = _neighbours(edges)
-    least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-    return (both.filter(F.col("v") > F.col("u")).join(least, "u")
-            .select(F.col("v").alias("u"), F.col("m").alias("v")))
+    return (_with_least(_neighbours(edges)).filter(F.col("v") > F.col("u"))
+            .select(F.col("v").alias("u"), F.least("u", "m").alias("v")))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Each node links itself and its smaller neighbours to the smallest of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").filter(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.union(least.select("u", F.col("m").alias("v")))
+    known = _with_least(down)
+    # the smallest neighbour's own row becomes the node's link to it
+    return known.select(F.when(F.col("v") != F.col("m"), F.col("v")).otherwise(F.col("u")).alias("u"),
+                        F.col("m").alias("v"))
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
