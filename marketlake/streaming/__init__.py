@@ -10,3 +10,4 @@ from marketlake.streaming.bronze_stream import (  # noqa: F401
 )
 from marketlake.streaming.candle_upsert import candle_upsert_query, read_candles, upsert_all, upsert_candles  # noqa: F401,E402
 from marketlake.streaming.pipeline import await_all, compact_landing, drain_landing, each_batch, start_streams, ticker_query  # noqa: F401,E402
+from marketlake.streaming.late import closed_days_query, late_counts, read_late, repair_late  # noqa: F401,E402

@@ -7,7 +7,8 @@ and state is bounded by a watermark.
 
 Late data (STR-6): a snapshot older than the watermark when it arrives is
 dropped by the dedup and the daily aggregate (its day is already final and
-emitted); candles are corrected by the upsert path instead.
+emitted); ``streaming.late`` keeps such rows aside, counts them and merges them
+on request, and candles are corrected by the upsert path.
 """
 
 from __future__ import annotations
