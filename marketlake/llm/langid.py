@@ -8,8 +8,13 @@ language is the one most of its n-grams belong to, each language's count
 corrected by the false-positive rate its own fill causes.
 
 Counting and the filter's positions are Spark aggregates over all training
-rows.  The filter has 2**LOG2_POSITIONS entries whatever the input size; only
-it goes to the tasks.  Scoring is one pass over the texts without a shuffle.
+rows.  The filter is sized from the counted n-grams of the largest language, so
+that a foreign n-gram is taken for one of its own at a rate of at most
+``FALSE_RATE``.  A language has at most 1 / min_share n-grams, which bounds the
+filter (2**23 positions at the default); only it goes to the tasks.  An n-gram
+that is rarer than ``min_share`` belongs to no language; a text loses at most
+the share of such n-grams in it.  Scoring is one pass over the texts without a
+shuffle.
 """
 
 from __future__ import annotations
@@ -22,7 +27,8 @@ from pyspark.sql import functions as F
 from marketlake.llm.common import as_table, crc_mod, read, save, text_or_empty, with_row_key, without
 
 GRAM = 4
-LOG2_POSITIONS = 20
+FALSE_RATE = 0.01
+LEAST_LOG2 = 12                                     # of the positions
 HASHES = (668_265_263, 374_761_393, 982_451_653)    # odd, below 2**30: gram * hash fits a long
 MIN_SHARE = 2e-6                                    # so at most 500,000 n-grams of a language
 PIECE = 2 << 20                                     # bytes of text looked up at once
@@ -59,8 +65,14 @@ def _grams(lengths: np.ndarray, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return codes[inside], piece[:-3][inside]
 
 
+def log2_positions(n_grams: int, rate: float = FALSE_RATE) -> int:
+    """The smallest filter in which ``n_grams`` are found wrongly at most at ``rate``."""
+    k = len(HASHES)
+    return max(LEAST_LOG2, int(np.ceil(np.log2(max(1, n_grams) * k / -np.log1p(-rate ** (1 / k))))))
+
+
 def train(rows: DataFrame, min_share: float = MIN_SHARE) -> dict:
-    """The filter over ``rows`` (lang, text): languages, masks by position, false-positive rates.
+    """The filter over ``rows`` (lang, text): languages, masks by position, their number, false-positive rates.
 
     Rows without a language or text teach nothing.  The number of languages is
     the number of distinct values of lang, one bit each.
@@ -84,14 +96,16 @@ def train(rows: DataFrame, min_share: float = MIN_SHARE) -> dict:
     counts = save(counts, "grams")
     totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     langs = sorted(totals)
-    size = 1 << LOG2_POSITIONS
-    words = max(1, -(-len(langs) // 63))
-    masks = np.zeros((size, words), np.int64)
+    words, log2 = max(1, -(-len(langs) // 63)), LEAST_LOG2
+    masks = np.zeros((1 << log2, words), np.int64)
     if langs:
         at = F.create_map(*[F.lit(x) for i, lang in enumerate(langs) for x in (lang, i)])
         least = F.create_map(*[F.lit(x) for lang in langs for x in (lang, float(max(1.0, min_share * totals[lang])))])
         chosen = counts.filter(F.col("n") >= least[F.col("lang")]).withColumn("i", at[F.col("lang")])
-        positions = [F.shiftright((F.col("gram") * F.lit(h)).bitwiseAND(F.lit(0xFFFFFFFF)), 32 - LOG2_POSITIONS)
+        most = chosen.groupBy("lang").count().agg(F.max("count")).first()[0]
+        log2 = log2_positions(most or 0)
+        masks = np.zeros((1 << log2, words), np.int64)
+        positions = [F.shiftright((F.col("gram") * F.lit(h)).bitwiseAND(F.lit(0xFFFFFFFF)), 32 - log2)
                      for h in HASHES]
         table = (chosen.select(F.explode(F.array(*positions)).alias("p"), F.floor(F.col("i") / 63).cast("int").alias("w"),
                                F.expr("shiftleft(1L, CAST(i % 63 AS INT))").alias("bit"))
@@ -99,7 +113,7 @@ def train(rows: DataFrame, min_share: float = MIN_SHARE) -> dict:
         masks[table["p"].to_numpy(), table["w"].to_numpy()] = table["mask"].to_numpy()
     fill = np.array([((masks[:, i // 63] >> (i % 63)) & 1).mean() for i in range(len(langs))])
     small = next(t for t in (np.uint8, np.uint16, np.uint32, np.int64) if len(langs) <= np.iinfo(t).bits or t is np.int64)
-    return {"langs": langs, "masks": [masks[:, w].astype(small) for w in range(words)],
+    return {"langs": langs, "masks": [masks[:, w].astype(small) for w in range(words)], "log2": log2,
             "false_rate": fill ** len(HASHES)}
 
 
@@ -116,7 +130,7 @@ def identify(texts: list[str], model: dict) -> tuple[np.ndarray, np.ndarray]:
             continue
         grams, piece = _grams(lengths, raw)
         total += np.bincount(who, np.bincount(piece, minlength=len(who)), len(texts))
-        at = [(grams * np.uint32(h)) >> np.uint32(32 - LOG2_POSITIONS) for h in HASHES]
+        at = [(grams * np.uint32(h)) >> np.uint32(32 - model["log2"]) for h in HASHES]
         for w, masks in enumerate(model["masks"]):
             mask = masks[at[0]]
             for p in at[1:]:
