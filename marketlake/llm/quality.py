@@ -6,9 +6,11 @@ and a linear model with hinge loss is fitted to the scaled, length-normalised
 rows by dual coordinate descent.  Margins become probabilities by a logistic
 curve fitted to rows that the model did not see.
 
-The fit uses the ``SAMPLE`` labelled rows whose doc_ids hash lowest, so its
-task is bounded whatever the size of the corpus; the sample's ids (16 bytes
-each) are the only thing joined to the texts, by broadcast.  Scoring is one
+The fit uses the ``SAMPLE`` labelled rows whose doc_ids hash lowest, each
+(doc_id, label, indicators) once, and of these no more than have
+``SAMPLE_BYTES`` of indicators, so its task is bounded in rows and bytes
+whatever the corpus; the sample's ids (16 bytes each) are the only thing joined
+to the texts, by broadcast.  Scoring is one
 pass over all texts with a weight vector of fixed size, and shuffles nothing.
 """
 
@@ -20,10 +22,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from marketlake.llm.common import crc_mod, read, text_or_empty
+from marketlake.llm.common import crc_mod, read, save, text_or_empty
 
 SAMPLE = 20_000
+SAMPLE_BYTES = 512 << 20
 LOG2_FEATURES = 18
 FEATURES = 1 << LOG2_FEATURES
 REPEATS = (1, 2, 3, 5, 8)
@@ -145,15 +149,17 @@ def margins(rows: list[np.ndarray], model: dict) -> np.ndarray:
                      + model["bias"] for r in rows])
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
+def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> dict:
     """Fit on rows (doc_id, quality) of ``labels`` whose crc32(doc_id as text) mod 5 is not 0.
 
     Labels other than 0 and 1, null ids and labels without a document teach
-    nothing.  At most ``sample`` rows are used, those whose ids hash lowest.
+    nothing.  At most ``sample`` rows are used, those whose ids hash lowest;
+    repeated rows count once, and rows of one id with other texts or labels
+    each.  In that order, rows behind ``sample_bytes`` of indicators are left out.
     """
     chosen = (labels.filter((crc_mod("doc_id", 5) > 0) & F.col("quality").isin(0, 1))
               .select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
-              .orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample))
+              .distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample))
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty("text").alias("t"))
     rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", "t")   # at most `sample` rows
 
@@ -165,13 +171,22 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
                                              names=["doc_id", "quality", "features"])
 
     def fit_all(table: pa.Table) -> pa.Table:
-        order = np.argsort(table["doc_id"].to_numpy(), kind="stable")
+        table = table.sort_by([(c, "ascending") for c in ("doc_id", "quality", "features")])
         found = [np.frombuffer(x, "<u4").astype(np.int64) for x in table["features"].to_pylist()]
-        m = fit([found[i] for i in order], table["quality"].to_numpy()[order])
+        m = fit(found, table["quality"].to_numpy())
         return pa.table({"weights": [np.ascontiguousarray(m["weights"], "<f4").tobytes()], "bias": [m["bias"]],
                          "slope": [m["slope"]], "offset": [m["offset"]]})
 
-    model = (rows.mapInArrow(extract, "doc_id bigint, quality int, features binary")
+    keys = ["doc_id", "quality", "digest"]
+    found = (rows.mapInArrow(extract, "doc_id bigint, quality int, features binary")
+             .withColumn("digest", F.md5("features")).groupBy(*keys).agg(F.first("features").alias("features")))
+    found = save(found, "quality-sample")
+    order = [F.xxhash64("doc_id"), *keys]
+    least = (found.select(*keys, F.length("features").cast("bigint").alias("n"))
+             .orderBy(*order).limit(sample)          # so the window has no more rows than this
+             .withColumn("upto", F.sum("n").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
+             .filter(F.col("upto") <= sample_bytes).select(*keys))
+    model = (found.join(least, keys, "left_semi").select("doc_id", "quality", "features")
              .groupBy().applyInArrow(fit_all, MODEL_DDL).first())
     if model is None:
         return {"weights": np.zeros((2, FEATURES), np.float32), "bias": 0.0, "slope": 0.0, "offset": 0.0}

@@ -455,6 +455,25 @@ def test_language_filter_has_no_false_negatives(spark):
     assert langid.identify([long_text], model)[1][0] > 0.5
 
 
+def test_language_filter_holds_its_rate_and_matches_exact_sets(spark):
+    rng = random.Random(3)
+    letters = ["abcdefgh", "efghijkl", "ijklmnop"]
+    rows = [(f"l{i % 3}", "".join(rng.choice(letters[i % 3] + " ") for _ in range(4000))) for i in range(60)]
+    model = langid.train(spark.createDataFrame(rows, "lang string, text string"), min_share=0.0)
+
+    def grams(text):
+        raw = b" " + text.lower().encode() + b" "
+        return [raw[i:i + 4] for i in range(len(raw) - 3)]
+
+    known = {lang: {g for x, t in rows if x == lang for g in grams(t)} for lang in model["langs"]}
+    assert (model["false_rate"] <= langid.FALSE_RATE).all()
+    assert 1 << model["log2"] < 30 * max(map(len, known.values()))
+    texts = ["".join(rng.choice(letters[i % 3] + " x") for _ in range(300)) for i in range(60)]
+    best, score = langid.identify(texts, model)
+    exact = np.array([[np.mean([g in known[x] for g in grams(t)]) for x in model["langs"]] for t in texts])
+    assert (exact.argmax(axis=1) == best).all() and abs(exact.max(axis=1) - score).max() < 0.03
+
+
 @pytest.mark.parametrize("lang", ["en", None])
 def test_only_texts_without_letters_have_no_language(spark, tmp_path, lang):
     rows = [(i, f"some words of text number {i}", lang) for i in range(20)]
@@ -486,6 +505,33 @@ def test_quality_held_out(spark):
     assert np.mean([[g > b for b in bad] for g in good]) > 0.97
 
 
+def test_quality_matches_a_plain_fit_and_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(quality, "LOG2_FEATURES", 12)
+    monkeypatch.setattr(quality, "FEATURES", 1 << 12)
+    rng = random.Random(5)
+    texts = {i: " ".join(rng.choice(("good fine well", "bad poor ugly")[i % 2].split() + ["word", "more"]) for _ in range(12))
+             for i in range(60)}
+    docs = spark.createDataFrame([*texts.items(), *[(7, texts[7])] * 200, (8, "another text of this id"), (None, "x")],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in texts] + [(7, 0)] * 50, "doc_id long, quality int")
+    flags = np.zeros(1 << 12, np.uint8)
+    rows = {(i, 1 - i % 2, quality.features(t, flags).astype("<u4").tobytes()) for i, t in [*texts.items(), (8, "another text of this id")]
+            if zlib.crc32(str(i).encode()) % 5}
+    rows = sorted(rows)
+    plain = quality.fit([np.frombuffer(r[2], "<u4").astype(np.int64) for r in rows], np.array([r[1] for r in rows]))
+    model = quality.learn(docs, labels)
+    assert np.array_equal(model["weights"], plain["weights"]) and model["bias"] == plain["bias"]
+    got = dict(rows_of(quality.score(docs.filter("doc_id != 8"), model), "doc_id", "score"))
+    for i, p in got.items():                         # the probability written out
+        idx = quality.features(texts[i], flags)
+        w, q = plain["weights"].astype(float)
+        margin = w[idx].sum() / np.sqrt(q[idx].sum()) + plain["bias"]
+        assert abs(p - 1 / (1 + np.exp(-(plain["slope"] * margin + plain["offset"])))) < 1e-9
+    assert len(got) == 59
+    one = quality.learn(docs, labels, sample_bytes=len(rows[0][2]) * 2)              # a few rows at most
+    assert not np.array_equal(one["weights"], plain["weights"])
+
+
 def test_dual_coordinate_descent_separates():
     rng = np.random.default_rng(0)
     rows = [np.sort(rng.choice(50, 8, replace=False)) + (0 if i % 2 else 40) for i in range(300)]
