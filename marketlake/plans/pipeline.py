@@ -84,7 +84,9 @@ def run_batch(spark: SparkSession, paths: Paths, date: str | _dt.date | None = N
     reports = {}
     if expected is not None:
         missing = bronze_gate(good, expected, date, strict)
-        reports["bronze_missing"] = spark.createDataFrame(missing.collect(), missing.schema)
+        kept = scratch_path(spark, "bronze-missing")                 # the staged documents go, the report stays
+        missing.write.parquet(kept)
+        reports["bronze_missing"] = spark.read.schema(missing.schema).parquet(kept)
     counts = merge_tickers(spark, good, paths, replace=rebuild, now=now)
     log_counts(spark, paths, f"run {uuid.uuid4().hex}", 0, counts, now)
     tables = {"tickers": paths.silver_table("tickers")}

@@ -12,6 +12,7 @@ are replaced), so an incremental run never deletes other days or symbols.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -64,7 +65,10 @@ def publish_table(df: DataFrame, table: str = "market.crypto_daily", url: str |
 
     With a JDBC ``url`` the rows go to that database table; a blank or
     none/null/n-a URL means no external warehouse, and the table is saved in
-    the session catalog instead.  Returns where it went.
+    the session catalog instead; a write that fails leaves the old table as it
+    is, and two renames put the new one in its place.  A run that dies between
+    them leaves the old rows as ``{table}__old``; the next publish puts them
+    back first.  Returns where it went.
     """
     if not _blank(url):
         opts = {"url": url, "dbtable": table}
@@ -78,5 +82,17 @@ def publish_table(df: DataFrame, table: str = "market.crypto_daily", url: str |
     spark = df.sparkSession
     if "." in table:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.split('.')[0]}")
-    df.write.mode(mode).saveAsTable(table)
+    if mode != "overwrite":
+        df.write.mode(mode).saveAsTable(table)
+        return "catalog"
+    # the new table is written beside the old one, which stays until then and goes only when the new has its name
+    new, old = f"{table}__new_{uuid.uuid4().hex[:12]}", f"{table}__old"      # a failed write leaves a folder of that name
+    if spark.catalog.tableExists(old):               # a run died here
+        there = spark.catalog.tableExists(table)
+        spark.sql(f"DROP TABLE {old}" if there else f"ALTER TABLE {old} RENAME TO {table}")
+    df.write.saveAsTable(new)
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
     return "catalog"

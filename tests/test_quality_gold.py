@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from marketlake.operators import gold, quality, serving
@@ -131,3 +132,27 @@ def test_table_presence_empty_partitioned_table(spark, tmp):
     assert [(r.table, r.n_rows, r.present) for r in report] == [("klines_5m", 0, False)]
     with pytest.raises(QualityError):
         table_presence(spark, {"klines_5m": path}, strict=True)
+
+
+def test_publish_keeps_the_old_table_until_the_new_one_is_written(spark):
+    from marketlake.sinks import publish_table
+    name = "market.swapped"
+    spark.sql("CREATE DATABASE IF NOT EXISTS market")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+    def rows():
+        return sorted(r[0] for r in spark.read.table(name).collect())
+
+    publish_table(spark.range(3), name)
+    with pytest.raises(Exception):
+        publish_table(spark.range(9).select((F.col("id") + F.raise_error(F.lit("lost"))).alias("id")), name)
+    assert rows() == [0, 1, 2]
+    publish_table(spark.range(5).withColumnRenamed("id", "other"), name)
+    assert rows() == [0, 1, 2, 3, 4]
+    spark.sql(f"ALTER TABLE {name} RENAME TO {name}__old")             # a run that died between its renames
+    with pytest.raises(Exception):
+        publish_table(spark.range(9).select((F.col("id") + F.raise_error(F.lit("lost"))).alias("id")), name)
+    assert rows() == [0, 1, 2, 3, 4]
+    publish_table(spark.range(2), name)
+    assert rows() == [0, 1] and not spark.catalog.tableExists(f"{name}__old")
+    assert [t.name for t in spark.catalog.listTables("market") if t.name.startswith("swapped")] == ["swapped"]
