@@ -106,6 +106,28 @@ def test_hmm_scores_against_brute_force(spark, root):
     assert np.allclose([r[5] for r in got], [r[5] for r in expected])
 
 
+def test_hmm_score_of_each_document_equals_a_plain_forward_recursion(spark):
+    rng = np.random.default_rng(4)
+    words = ["alpha", "beta", "gamma", "delta", "running", "walking", "x", "yy", "zz9"]
+    docs = [(i, " ".join(rng.choice(words, n))) for i, n in enumerate((0, 1, 5, 40, 127, 128, 129, 300, 700))]
+    docs += [(20, "unseen words only"), (21, "alpha unseen beta"), (22, None)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    held = F.col("doc_id") >= 20
+    tokens = {i: [w.encode() for w in (t or "").split()] + [hmm.END] for i, t in docs}
+    count = Counter(w for i, x in tokens.items() if i < 20 for w in x)
+    size, distinct = np.zeros(hmm.CLASSES), np.zeros(hmm.CLASSES)
+    for w, n in count.items():
+        size[hmm.word_class(w)] += n
+        distinct[hmm.word_class(w)] += 1
+    start, move, emit = hmm.baum_welch(hmm.encode(frame, held), hmm.initial(size, 3), 2)
+    emit = np.ascontiguousarray(emit.T)
+    got = dict(rows_of(hmm.hmm_scores(frame, held, states=3, rounds=2), "doc_id", "score"))
+    for i, x in tokens.items():
+        classes = [hmm.word_class(w) for w in x]
+        words_given_class = sum(math.log10((count[w] + 1) / (size[c] + distinct[c] + 1)) for w, c in zip(x, classes))
+        assert abs(direct(classes, start, move, emit) + words_given_class - got[i]) < 1e-5, i
+
+
 def test_hmm_beats_the_base_on_held_out_texts(spark):
     out = QUERIES["op7_hmm_scores"](spark, SF_SMALL)
     base, score = out.filter("held_out").agg(F.sum("base_score"), F.sum("score")).first()
