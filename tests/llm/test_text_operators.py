@@ -540,3 +540,13 @@ def test_dual_coordinate_descent_separates():
     assert (((quality.margins(rows, model) > 0) == (y == 1)).mean()) > 0.97
     one_class = quality.fit(rows, np.ones(300, int))
     assert one_class["slope"] == 0 and one_class["offset"] > 0
+
+
+def test_texts_of_50_mb():
+    text = ("some words of a long text, number 12345; and so on\n" * 1_000_000)[:50_000_000]
+    whole, flags = quality.features(text, np.zeros(quality.FEATURES, np.uint8)), np.zeros(quality.FEATURES, np.uint8)
+    assert set(quality.features(text[:10_000], flags)) <= set(whole) and len(whole) < 500
+    model = {"langs": ["x"], "log2": 12, "masks": [np.ones(1 << 12, np.uint8)], "false_rate": np.zeros(1)}
+    assert langid.identify([text, "b"], model)[1].tolist() == [1.0, 1.0]
+    spans, refused = secrets.find_secrets(f"{text} {B64} {text[:1000]}")
+    assert [s[0] for s in spans] == ["assign"] and spans[0][1] >= len(text) and refused == 0
