@@ -11,10 +11,9 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
 
 from marketlake.functions.scalar import is_valid_number, safe_div
-from marketlake.operators.scan import index_series
+from marketlake.operators.scan import running_sums
 from marketlake.session import scratch_path
 
 
@@ -234,21 +233,22 @@ def ingest_totals(log: DataFrame, cycle: str = "cycle", ok: str = "ok",
                   granule: str | int | None = None) -> DataFrame:
     """DQ-5: per cycle passed/total, and running ok / fail / success %.
 
-    The running totals use the two-level prefix scan of ``index_series`` over
-    the per-cycle rows, so no single task receives every cycle.  ``granule``
-    is a time unit or a number of cycles; by default a month, or 4096 cycles
-    where the cycle column is a number.
+    The running totals come from ``running_sums`` over the per-cycle rows, in
+    blocks of 65,536 cycle numbers: no window has more rows, and none spans the
+    table.  Cycles are whole numbers, dates or timestamps.  A number as
+    ``granule`` sets the size of the blocks (the next power of two, from 1024
+    on); a time unit, which the blocks do not need, changes nothing.
     """
-    if granule is None:
-        granule = 4096 if isinstance(log.schema[cycle].dataType, NumericType) else "month"
+    fan = 1 << 16 if not isinstance(granule, int) else max(1024, 1 << (granule - 1).bit_length())
     per = log.groupBy(cycle).agg(
         F.count_if(F.col(ok)).alias("passed"),
         F.count(F.lit(1)).alias("total"),
     )
-    run = index_series(per, [], cycle, sums={
-        "cum_ok": F.col("passed"),
-        "cum_fail": F.col("total") - F.col("passed"),
-    }, unit=granule, index_col="_i").drop("_i")
+    spark = log.sparkSession                         # one row a cycle, written: each level reads it, none the log
+    staged = scratch_path(spark, "cycles")
+    per.write.parquet(staged)
+    per = spark.read.schema(per.schema).parquet(staged)
+    run = running_sums(per, cycle, {"cum_ok": F.col("passed"), "cum_fail": F.col("total") - F.col("passed")}, fan)
     return run.withColumn(
         "success_pct",
         safe_div(F.col("cum_ok") * F.lit(100.0), F.col("cum_ok") + F.col("cum_fail")))

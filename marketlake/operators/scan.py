@@ -116,6 +116,45 @@ def index_series(df: DataFrame, keys: Sequence[str], order: str,
     return out.drop(*drop)
 
 
+def running_sums(df: DataFrame, order: str, sums: Mapping[str, Column], fan: int = 1 << 16) -> DataFrame:
+    """Running sums over a whole table by one ordered column of distinct values, no task with all rows.
+
+    ``index_series`` without keys ends in one window over all granules.  Here
+    the values are numbers and fall into blocks of ``fan`` (a power of two), so
+    no window has more rows; the sums before each block are the same problem
+    over the table of blocks, with as many levels as numbers of the column's
+    type need.  At the top only the blocks of negative and of other numbers
+    are left.  Dates count as days,
+    timestamps as microseconds, and a NULL comes before all others.  The sums
+    must be integers.
+    """
+    kind = df.schema[order].dataType
+    number = {"date": F.unix_date, "timestamp": F.unix_micros,
+              "timestamp_ntz": lambda c: F.unix_micros(F.col(c).cast("timestamp"))}.get(kind.simpleString(), F.col)(order)
+    bits = {"date": 23, "tinyint": 7, "smallint": 15, "int": 31}.get(kind.simpleString(), 63)
+    rows = df.withColumns({"_n": F.coalesce(number.cast("bigint"), F.lit(NULL_NUMERIC_GRANULE if bits == 63 else -(2 ** bits))),
+                           **{f"_x_{name}": e.cast("bigint") for name, e in sums.items()}})
+    before = _before(rows.groupBy("_n").agg(*[F.sum(f"_x_{name}").alias(f"_x_{name}") for name in sums]), list(sums), bits, fan)
+    out = rows.join(before, "_n").withColumns({name: F.col(f"_b_{name}") + F.coalesce(F.col(f"_x_{name}"), F.lit(0))
+                                               for name in sums})
+    return out.drop("_n", *[f"_x_{name}" for name in sums], *[f"_b_{name}" for name in sums])
+
+
+def _before(values: DataFrame, names: Sequence[str], bits: int, fan: int) -> DataFrame:
+    """(_n, _b_{name}): the sums of _x_{name} over the rows with a smaller _n; |_n| is at most 2**bits."""
+    if bits <= 0:                                    # -1 and 0 are left
+        low = values.filter(F.col("_n") < 0).select((F.col("_n") + 1).alias("_n"), *[F.col(f"_x_{n}").alias(f"_b_{n}") for n in names])
+        return values.select("_n").join(low, "_n", "left").select(
+            "_n", *[F.coalesce(F.col(f"_b_{n}"), F.lit(0)).alias(f"_b_{n}") for n in names])
+    inside = Window.partitionBy("_block").orderBy("_n").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = values.withColumn("_block", F.expr(f"(_n - pmod(_n, {int(fan)}L)) div {int(fan)}L"))
+    above = _before(blocks.groupBy(F.col("_block").alias("_n")).agg(*[F.sum(f"_x_{n}").alias(f"_x_{n}") for n in names]),
+                    names, bits - (fan.bit_length() - 1), fan)
+    above = above.select(F.col("_n").alias("_block"), *[F.col(f"_b_{n}").alias(f"_a_{n}") for n in names])
+    local = blocks.select("_n", "_block", *[F.coalesce(F.sum(f"_x_{n}").over(inside), F.lit(0)).alias(f"_b_{n}") for n in names])
+    return local.join(above, "_block").select("_n", *[(F.col(f"_a_{n}") + F.col(f"_b_{n}")).alias(f"_b_{n}") for n in names])
+
+
 def add_lookback_buckets(df: DataFrame, index_col: str, bucket_rows: int, lookback: int,
                          bucket_col: str = "_b", own_col: str = "_own") -> DataFrame:
     """Assign rows to buckets of ``bucket_rows`` consecutive positions and copy the

@@ -156,3 +156,27 @@ def test_publish_keeps_the_old_table_until_the_new_one_is_written(spark):
     publish_table(spark.range(2), name)
     assert rows() == [0, 1] and not spark.catalog.tableExists(f"{name}__old")
     assert [t.name for t in spark.catalog.listTables("market") if t.name.startswith("swapped")] == ["swapped"]
+
+
+@pytest.mark.parametrize("kind", ["bigint", "int", "date", "timestamp", "timestamp_ntz"])
+def test_running_sums_span_no_table(spark, kind):
+    from marketlake.operators.scan import running_sums
+    n = [-(2 ** 61), -70_000, -65_537, -65_536, -1, 0, 1, 5, 65_535, 65_536, 2 ** 30, 2 ** 40, 2 ** 62]
+    n = [x for x in n if abs(x) < {"bigint": 2 ** 63, "int": 2 ** 31, "date": 700_000}.get(kind, 2 ** 50)]
+    rows = spark.createDataFrame([(x, i + 1) for i, x in enumerate(n)] + [(None, 100)], "n long, v int")
+    of = {"date": F.date_from_unix_date(F.col("n").cast("int")), "timestamp": F.timestamp_micros("n"),
+          "timestamp_ntz": F.timestamp_micros("n").cast("timestamp_ntz")}.get(kind, F.col("n").cast(kind))
+    rows = rows.withColumn("o", of)
+    for fan in (1024, 1 << 16):
+        out = running_sums(rows, "o", {"s": F.col("v"), "none": F.lit(None).cast("int")}, fan)
+        got = {r["n"]: (r["s"], r["none"]) for r in out.collect()}
+        assert got == {None: (100, 0), **{x: (100 + (i + 1) * (i + 2) // 2, 0) for i, x in enumerate(n)}}
+    assert out.columns == ["n", "v", "o", "s", "none"]
+
+
+def test_ingest_totals_has_no_single_partition(spark):
+    log = spark.range(5000).select((F.col("id") * 7).alias("cycle"), (F.col("id") % 3 > 0).alias("ok"))
+    t = quality.ingest_totals(log)
+    plan = t._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+    assert t.agg(F.max("cum_ok"), F.max("cum_fail")).first() == (3333, 1667)
